@@ -647,6 +647,7 @@ def union_books(given):
     life = df.filter(F.col("zivot_nezivot") == "zivot").drop("I17KEYDATE")
     other = df.filter(F.col("zivot_nezivot") == "nezivot")
     books = grouping.union_books([other, life])
+    books = books.withColumn("I17KEYDATE", F.col("I17KEYDATE").cast("string"))
     return counted(books, ["zivot_nezivot", "I17KEYDATE"], ["I17ESTAMOUNT"])
 
 
