@@ -15,11 +15,23 @@ from closebook.functions.money import row_total, zero_if_null
 
 
 def group_sum(df: DataFrame, keys: Sequence[str], measures: Iterable[str]) -> DataFrame:
-    """Rows with a null key drop out; a group whose values are all null gives 0."""
+    """Groups with a null key drop out; a group whose values are all null gives 0.
+
+    Whether a key is null is carried through the aggregate. A plain filter on
+    the keys would be pushed below the joins, and every derived key (parsed
+    ids, buckets) would be evaluated there a second time.
+    """
+    complete = F.lit(True)
+    for key in keys:
+        complete = complete & F.col(key).isNotNull()
     return (
-        df.dropna(subset=list(keys))
-        .groupBy(*keys)
-        .agg(*[zero_if_null(F.sum(F.col(m))).alias(m) for m in measures])
+        df.groupBy(*keys)
+        .agg(
+            *[zero_if_null(F.sum(F.col(m))).alias(m) for m in measures],
+            F.bool_and(complete).alias("_complete"),
+        )
+        .filter("_complete")
+        .drop("_complete")
     )
 
 
