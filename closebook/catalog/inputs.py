@@ -10,12 +10,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from closebook.functions import dates
 from closebook.operators.lookups import bounded
-from closebook.operators.valuation import wide_curves
+from closebook.operators.valuation import wide_curves, widen_curves
 from closebook.params import CloseParams
 
 PARAMS = CloseParams(
@@ -48,19 +48,13 @@ TABLES = {
 }
 
 
-def _pick(values: tuple[str, ...], number: Column) -> Column:
-    listed = F.array(*[F.lit(v) for v in values])
-    return F.element_at(listed, (number % len(values) + 1).cast("int"))
+def _pick(values: tuple[str, ...], number: str) -> str:
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({listed}), CAST({number} % {len(values)} + 1 AS INT))"
 
 
-def _flag(condition: Column) -> Column:
-    return F.when(condition, F.lit("ON")).otherwise(F.lit("NO"))
-
-
-def _text(*parts) -> Column:
-    return F.concat(
-        *[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts]
-    )
+def _ymd(day: str) -> str:
+    return f"year({day}) * 10000 + month({day}) * 100 + day({day})"
 
 
 def _values(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
@@ -83,125 +77,129 @@ class StarInputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
 
+    def fact(self, name: str, *keys: str) -> DataFrame:
+        """A fact table; one with fewer row groups than cores is dealt out first.
+
+        Large tables have more partitions than cores and are read as they are.
+        """
+        df = self.table(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+    def lines(self) -> DataFrame:
+        return self.fact("lineitem", "l_orderkey", "l_linenumber", "l_partkey")
+
     # --- facts ------------------------------------------------------------
 
     def _bcm(self, lines: DataFrame) -> DataFrame:
         joined = lines.join(
             self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey")
         ).join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        year = F.year("o_orderdate")
-        reference = _text(
-            "CZR_ACP_", _pick(SEGMENTS, F.col("l_suppkey")),
-            "_P", F.lit(500) + F.col("l_partkey") % 5,
-            "_", year,
-            "_", _flag(F.col("l_returnflag") == "R"),
-            "_", F.col("l_partkey") % NUMBERS,
-            F.when(F.col("l_linenumber") % 3 == 0, F.lit("/1")).otherwise(F.lit("")),
-        )
-        return joined.select(
-            reference.alias("I17REFOBJID"),
-            F.when(F.col("l_linestatus") == "F", F.lit(10)).otherwise(F.lit(60)).alias("I17EXPCHANGE"),
-            _pick(CODES, F.col("l_partkey")).alias("I17COSTREVENUE"),
-            (year * 10000 + 1231).alias("I17KEYDATE"),
-            _pick(CURRENCIES, F.col("s_nationkey")).alias("I17ESTCURR"),
-            dates.to_int(F.col("o_orderdate")).alias("I17INCURREDDATE"),
-            dates.to_int(F.col("l_shipdate")).alias("I17SETTLEMDATE"),
-            (F.col("l_extendedprice") * (1 - 2 * (F.col("l_linenumber") % 2))).alias("I17ESTAMOUNT"),
+        return joined.selectExpr(
+            f"concat('CZR_ACP_', {_pick(SEGMENTS, 'l_suppkey')}, '_P', 500 + l_partkey % 5, '_', "
+            "year(o_orderdate), '_', if(l_returnflag = 'R', 'ON', 'NO'), '_', "
+            f"l_partkey % {NUMBERS}, if(l_linenumber % 3 = 0, '/1', '')) AS I17REFOBJID",
+            "if(l_linestatus = 'F', 10, 60) AS I17EXPCHANGE",
+            f"{_pick(CODES, 'l_partkey')} AS I17COSTREVENUE",
+            "year(o_orderdate) * 10000 + 1231 AS I17KEYDATE",
+            f"{_pick(CURRENCIES, 's_nationkey')} AS I17ESTCURR",
+            f"{_ymd('o_orderdate')} AS I17INCURREDDATE",
+            f"{_ymd('l_shipdate')} AS I17SETTLEMDATE",
+            "l_extendedprice * (1 - 2 * (l_linenumber % 2)) AS I17ESTAMOUNT",
         )
 
     def bcm(self) -> DataFrame:
-        return self._bcm(self.table("lineitem"))
+        return self._bcm(self.lines())
 
     def bcm_open(self) -> DataFrame:
         """The opening book: first lines of all orders, opening exposure."""
-        first = self.table("lineitem").filter(F.col("l_linenumber") == 1)
+        first = self.lines().filter(F.col("l_linenumber") == 1)
         return self._bcm(first).withColumn("I17EXPCHANGE", F.lit(10))
 
     def bcm_new(self) -> DataFrame:
         """The new book: all other lines."""
-        return self._bcm(self.table("lineitem").filter(F.col("l_linenumber") != 1))
-
-    def _order_id(self, *middle) -> Column:
-        return _text(
-            "CZR_ACP_", _pick(SEGMENTS, F.col("o_custkey")), *middle,
-            "_", F.year("o_orderdate"),
-            "_", _flag(F.col("o_orderstatus") == "F"),
-            "_", F.col("o_custkey") % NUMBERS,
-        )
+        return self._bcm(self.lines().filter(F.col("l_linenumber") != 1))
 
     def act(self) -> DataFrame:
-        value = F.col("o_totalprice") * (1 - 2 * (F.col("o_orderkey") % 2))
-        suffix = F.when(F.col("o_orderkey") % 3 == 0, F.lit("/1")).otherwise(F.lit(""))
-        return self.table("orders").select(
-            F.concat(
-                self._order_id("_P", F.lit(500) + F.col("o_custkey") % 5), suffix
-            ).alias("I17PORTID"),
-            _pick(CODES, F.col("o_custkey")).alias("I17CFTYPE"),
-            value.alias("I17VALUE"),
-            (value / 7).alias("I17FUNCTVALUE"),
+        value = "o_totalprice * (1 - 2 * (o_orderkey % 2))"
+        return self.table("orders").selectExpr(
+            f"concat('CZR_ACP_', {_pick(SEGMENTS, 'o_custkey')}, '_P', 500 + o_custkey % 5, '_', "
+            "year(o_orderdate), '_', if(o_orderstatus = 'F', 'ON', 'NO'), '_', "
+            f"o_custkey % {NUMBERS}, if(o_orderkey % 3 = 0, '/1', '')) AS I17PORTID",
+            f"{_pick(CODES, 'o_custkey')} AS I17CFTYPE",
+            f"{value} AS I17VALUE",
+            f"{value} / 7 AS I17FUNCTVALUE",
         )
 
     def csm(self) -> DataFrame:
-        return self.table("orders").select(
-            self._order_id().alias("I17REFOBJID"),
-            _pick(CODES, F.col("o_custkey")).alias("I17COSTREVENUE"),
-            _pick(CURRENCIES, F.col("o_custkey")).alias("I17ESTCURR"),
-            F.col("o_totalprice").alias("I17ESTAMOUNT"),
+        return self.table("orders").selectExpr(
+            f"concat('CZR_ACP_', {_pick(SEGMENTS, 'o_custkey')}, '_', year(o_orderdate), '_', "
+            f"if(o_orderstatus = 'F', 'ON', 'NO'), '_', o_custkey % {NUMBERS}) AS I17REFOBJID",
+            f"{_pick(CODES, 'o_custkey')} AS I17COSTREVENUE",
+            f"{_pick(CURRENCIES, 'o_custkey')} AS I17ESTCURR",
+            "o_totalprice AS I17ESTAMOUNT",
         )
 
-    def _ledger(self, account: Column) -> DataFrame:
-        return self.table("orders").select(
-            F.date_format("o_orderdate", "yyyyMMdd").alias("Posting Date"),
-            _pick(CODES, F.col("o_custkey")).alias("Cost or Revenue Element"),
-            _pick(SEGMENTS, F.col("o_orderkey")).alias("NewGL Segment"),
-            account.alias("G/L Account"),
-            (F.col("o_totalprice") * (1 - 2 * (F.col("o_orderkey") % 2))).alias(
-                "Amount in Functional Currency"
-            ),
+    def _ledger(self, account: str) -> DataFrame:
+        return self.table("orders").selectExpr(
+            "date_format(o_orderdate, 'yyyyMMdd') AS `Posting Date`",
+            f"{_pick(CODES, 'o_custkey')} AS `Cost or Revenue Element`",
+            f"{_pick(SEGMENTS, 'o_orderkey')} AS `NewGL Segment`",
+            f"{account} AS `G/L Account`",
+            "o_totalprice * (1 - 2 * (o_orderkey % 2)) AS `Amount in Functional Currency`",
         )
 
     def ledger_a(self) -> DataFrame:
         """First extract; its accounts 96 to 98 are posted as suspense ``S0``."""
-        number = F.col("o_custkey") % 99
-        return self._ledger(F.when(number >= 96, F.lit("S0")).otherwise(_text("I", number)))
+        return self._ledger("if(o_custkey % 99 >= 96, 'S0', concat('I', o_custkey % 99))")
 
     def ledger_b(self) -> DataFrame:
         """Second extract; its accounts 0 to 2 are posted as suspense ``S1``."""
-        number = F.col("o_custkey") % 99
-        return self._ledger(F.when(number < 3, F.lit("S1")).otherwise(_text("I", number)))
+        return self._ledger("if(o_custkey % 99 < 3, 'S1', concat('I', o_custkey % 99))")
 
     # --- curves and rates -------------------------------------------------
 
-    def _curve_months(self) -> DataFrame:
-        """Month ends at which cash flows settle; no factors exist for November."""
+    def _nodes(self) -> DataFrame:
+        """Month end and currency of the curves; November has no factors."""
         month = dates.align_month_end(F.to_date("l_shipdate"))
         months = self.table("lineitem").select(month.alias("day")).distinct()
-        return bounded(months.filter(F.month("day") != 11))
+        listed = ", ".join(f"'{c}'" for c in CURRENCIES)
+        return months.filter("month(day) <> 11").selectExpr(
+            "day", f"explode(array({listed})) AS I17ESTCURR"
+        )
 
-    def curve(self, name: str, months: DataFrame | None = None) -> DataFrame:
+    @staticmethod
+    def _factor(k: int | str) -> str:
+        return f"997D / (997 + 2 * {k} * (12 * year(day) + month(day) - 23976)) AS I17DISCFACT"
+
+    def curve(self, name: str) -> DataFrame:
         """One curve as its file would hold it: integer or dotted-text dates."""
         k = CURVES.index(name) + 1
-        months = self._curve_months() if months is None else months
-        nodes = months.withColumn(
-            "I17ESTCURR", F.explode(F.array(*[F.lit(c) for c in CURRENCIES]))
-        )
-        age = 12 * F.year("day") + F.month("day") - 23976
-        day = F.col("day")
-        shown = dates.to_int(day) if k in (1, 3) else F.date_format(day, "dd.MM.yyyy")
-        return nodes.select(
-            shown.alias("I17DISCDATE"),
-            "I17ESTCURR",
-            (F.lit(997.0) / (997 + 2 * k * age)).alias("I17DISCFACT"),
+        shown = _ymd("day") if k in (1, 3) else "date_format(day, 'dd.MM.yyyy')"
+        return self._nodes().selectExpr(
+            f"{shown} AS I17DISCDATE", "I17ESTCURR", self._factor(k)
         )
 
+    def curve_files(self) -> DataFrame:
+        """The wide table from five separate curves."""
+        return wide_curves({name: self.curve(name) for name in CURVES})
+
     def curves(self, **names: str) -> DataFrame:
-        """Wide curve table; ``alias=curve`` pairs, all five by their own names
-        if none are given."""
+        """Wide curve table from stacked curves; ``alias=curve`` pairs, all five
+        by their own names if none are given."""
         chosen = names or {name: name for name in CURVES}
-        months = self._curve_months()
-        return bounded(
-            wide_curves({alias: self.curve(c, months) for alias, c in chosen.items()})
+        pairs = ", ".join(
+            f"named_struct('name', '{alias}', 'k', {CURVES.index(c) + 1})"
+            for alias, c in chosen.items()
+        )
+        stacked = (
+            self._nodes()
+            .selectExpr("*", f"explode(array({pairs})) AS item")
+            .selectExpr(
+                "day AS date_adjusted", "I17ESTCURR", "item.name AS curve", self._factor("item.k")
+            )
         )
+        return bounded(widen_curves(stacked, list(chosen)))
 
     def rates_open(self) -> DataFrame:
         rows = [(c, 2.0 * i + 3) for i, c in enumerate(CURRENCIES) if c not in ("EUR", "XXX")]
@@ -253,36 +251,31 @@ class StarInputs:
         ]
         return _values(self.spark, [*rows, ("NPRLIC", "CNPRLIC")], "account, counter_account")
 
-    def _years(self) -> DataFrame:
-        return self.table("orders").select(F.year("o_orderdate").alias("year")).distinct()
-
-    def _contract_numbers(self) -> DataFrame:
-        numbers = self.spark.range(NUMBERS).withColumnRenamed("id", "n")
-        return numbers.withColumn("marker", F.explode(F.array(F.lit("ON"), F.lit("NO"))))
-
     def portfolios(self) -> DataFrame:
         """Contract (segment form) -> local portfolio; every eleventh is missing."""
+        segments = ", ".join(f"'{s}'" for s in SEGMENTS)
         listed = (
-            self._years()
-            .withColumn("seg", F.explode(F.array(*[F.lit(s) for s in SEGMENTS])))
-            .withColumn("marker", F.explode(F.array(F.lit("ON"), F.lit("NO"))))
-            .withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(NUMBERS - 1))))
+            self.table("orders")
+            .selectExpr("year(o_orderdate) AS year")
+            .distinct()
+            .selectExpr("year", f"explode(array({segments})) AS seg")
+            .selectExpr("*", "explode(array('ON', 'NO')) AS marker")
+            .selectExpr("*", f"explode(sequence(0, {NUMBERS - 1})) AS n")
         )
-        contract = _text(F.col("seg"), "_", F.col("year"), "_", F.col("marker"), "_", F.col("n"))
-        return bounded(self._placed(listed, contract))
+        return bounded(self._placed(listed, "concat(seg, '_', year, '_', marker, '_', n)"))
 
     def portfolios_by_tail(self) -> DataFrame:
         """The same for the two-part contract key of the closing balance."""
-        numbers = self._contract_numbers()
-        contract = _text(F.col("marker"), "_", F.col("n"))
-        return bounded(self._placed(numbers, contract))
-
-    def _placed(self, listed: DataFrame, contract: Column) -> DataFrame:
-        return listed.filter(F.col("n") % 11 != 0).select(
-            contract.alias("contract"), _text("LP", F.col("n") % 7).alias("local_portfolio")
-        )
+        return self._placed(self._numbers(), "concat(marker, '_', n)")
 
     def old_contracts(self) -> DataFrame:
-        numbers = self._contract_numbers()
-        listed = numbers.filter(F.col("n") % 3 == 0)
-        return bounded(listed.select(_text(F.col("marker"), "_", F.col("n")).alias("contract")))
+        return self._numbers().filter("n % 3 = 0").selectExpr("concat(marker, '_', n) AS contract")
+
+    def _numbers(self) -> DataFrame:
+        return self.spark.range(NUMBERS).selectExpr("id AS n", "explode(array('ON', 'NO')) AS marker")
+
+    @staticmethod
+    def _placed(listed: DataFrame, contract: str) -> DataFrame:
+        return listed.filter("n % 11 <> 0").selectExpr(
+            f"{contract} AS contract", "concat('LP', n % 7) AS local_portfolio"
+        )

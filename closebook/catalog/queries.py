@@ -75,13 +75,13 @@ def contract_keys(given: StarInputs) -> DataFrame:
 
 @query
 def month_end_align(given):
-    df = valuation.with_aligned_dates(given.bcm())
+    df = valuation.with_aligned_date(given.bcm())
     summed = counted(df, ["I17SETTLEMDATE", "date_adjusted"], ["I17ESTAMOUNT"])
     return summed.withColumn("date_adjusted", dates.to_int(F.col("date_adjusted")))
 
 
 def _buckets(given: StarInputs, by: str) -> DataFrame:
-    df = valuation.with_buckets(valuation.with_aligned_dates(given.bcm()), PARAMS, by)
+    df = valuation.with_buckets(given.bcm(), PARAMS, by)
     return counted(df, ["settlement", "incurred"], ["I17ESTAMOUNT"])
 
 
@@ -123,7 +123,7 @@ def lrc_lic_by_date(given):
 
 @query
 def lrc_lic_by_code(given):
-    df = valuation.with_buckets(valuation.with_aligned_dates(given.bcm()), PARAMS)
+    df = valuation.with_buckets(given.bcm(), PARAMS)
     keys = ["I17COSTREVENUE", "settlement", "incurred"]
     summed = counted(df, keys, ["I17ESTAMOUNT"])
     opening = classify.class_by_code(summed, PARAMS, first_quarter_is_claim=False)
@@ -134,7 +134,7 @@ def lrc_lic_by_code(given):
 @query
 def null_safe_not_equal(given):
     """Rows whose selecting period is not the first quarter, null ones kept."""
-    df = valuation.with_buckets(valuation.with_aligned_dates(given.bcm()), PARAMS)
+    df = valuation.with_buckets(given.bcm(), PARAMS)
     df = classify.class_by_code(df, PARAMS, first_quarter_is_claim=False)
     kept = df.filter(~F.col("date_select").eqNullSafe(F.lit("Q1")))
     return counted(kept, ["I17COSTREVENUE", "date_select"], ["I17ESTAMOUNT"])
@@ -176,13 +176,13 @@ def fx_average_set(given):
 
 @query
 def wide_curves(given):
-    return given.curves().withColumn("date_adjusted", dates.to_int(F.col("date_adjusted")))
+    return given.curve_files().withColumn("date_adjusted", dates.to_int(F.col("date_adjusted")))
 
 
 @query
 def discount_pv(given):
     names = list(CURVES)
-    df = valuation.with_aligned_dates(given.bcm())
+    df = valuation.with_aligned_date(given.bcm())
     df = valuation.with_rate(df, given.rates_open(), PARAMS.base_currency)
     df = valuation.with_factors(df, given.curves(), names, PARAMS.opening)
     df = valuation.present_values(df, names).withColumn("year", F.year("date_adjusted"))
@@ -192,7 +192,7 @@ def discount_pv(given):
 @query
 def ccy_rounding(given):
     names = list(CURVES)
-    df = valuation.with_aligned_dates(given.bcm())
+    df = valuation.with_aligned_date(given.bcm())
     df = valuation.with_rate(df, given.rates_open(), PARAMS.base_currency)
     df = valuation.with_factors(df, given.curves(), names, PARAMS.opening)
     df = valuation.rounded_present_values(df, names, PARAMS)

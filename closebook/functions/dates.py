@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from closebook.params import CloseParams
+from closebook.params import CloseParams, shift_month_end
 
 
 def from_int(ymd: Column) -> Column:
@@ -39,26 +39,40 @@ def shift_month_ends(day: Column, months: int) -> Column:
     return F.last_day(F.add_months(day, months))
 
 
-def _quarter_label(aligned: Column) -> Column:
-    return F.concat(F.lit("Q"), F.quarter(aligned).cast("string"))
+# Buckets compare the raw integer date with the month ends of the plan year.
+# A day belongs to the period its aligned month end lies in, so a period starts
+# at the month end of its first month: the first quarter runs from 31 January
+# to 29 April. Integer ranges are cheap to repeat in a pushed-down filter and
+# reach the file scan.
 
 
-def bucket_by_year(aligned: Column, params: CloseParams) -> Column:
-    """Quarter inside the plan year, otherwise the year itself."""
-    year = F.year(aligned)
-    return F.when(year == params.plan_year, _quarter_label(aligned)).otherwise(
-        F.date_format(aligned, "yyyy")
-    )
+def _as_int(day: dt.date) -> int:
+    return day.year * 10000 + day.month * 100 + day.day
+
 
+def _quarters(ymd: Column, params: CloseParams, before: Column, after: Column) -> Column:
+    opening_year_end = dt.date(params.plan_year - 1, 12, 31)
+    starts = [_as_int(shift_month_end(opening_year_end, m)) for m in (1, 4, 7, 10, 13)]
+    label = F.when(ymd < starts[0], before)
+    for number, start in enumerate(starts[1:], 1):
+        label = label.when(ymd < start, F.lit(f"Q{number}"))
+    return label.when(ymd >= starts[-1], after)
 
-def bucket_by_window(aligned: Column, params: CloseParams) -> Column:
+
+def bucket_by_window(ymd: Column, params: CloseParams) -> Column:
     """Quarter inside the plan year, one label for all before and one for all after."""
-    year = F.year(aligned)
-    return (
-        F.when(year < params.plan_year, F.lit(params.past_label))
-        .when(year > params.plan_year, F.lit(params.future_label))
-        .otherwise(_quarter_label(aligned))
-    )
+    return _quarters(ymd, params, F.lit(params.past_label), F.lit(params.future_label))
+
+
+def bucket_by_year(ymd: Column, params: CloseParams) -> Column:
+    """Quarter inside the plan year, otherwise the year of the aligned month end."""
+    in_previous_year = (ymd % 10000 < 131).cast("int")
+    year = ((ymd / 10000).cast("int") - in_previous_year).cast("string")
+    return _quarters(ymd, params, year, year)
+
+
+def on_or_before(ymd: Column, day: dt.date) -> Column:
+    return ymd <= _as_int(day)
 
 
 def is_day(day: Column, wanted: dt.date) -> Column:

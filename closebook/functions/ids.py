@@ -1,8 +1,8 @@
 """Contract id expressions.
 
 An id reads ``<org>_<org>_<seg>_<portf>_<year>_<ON|NO>_<number>[/<n>]``; the
-part after the first slash never counts. Positions that are missing give NULL
-or an empty text, never an error.
+part after the first slash never counts. A missing segment gives NULL, other
+missing parts give an empty text; neither is an error.
 """
 
 from __future__ import annotations
@@ -17,22 +17,25 @@ def stem(ref: Column) -> Column:
     return F.substring_index(ref, "/", 1)
 
 
-def _parts(ref: Column) -> Column:
-    return F.split(ref, "_")
+def _slice(ref: Column, start: int, count: int | None = None) -> Column:
+    """Parts ``start`` to ``start + count`` (counted from 0), joined again.
+
+    Plain byte scans: splitting into an array would run a regular expression
+    and copy every part of every row.
+    """
+    head = F.length(F.substring_index(ref, "_", start))
+    rest = F.substring(ref, head + 2, F.length(ref))
+    return rest if count is None else F.substring_index(rest, "_", count)
 
 
 def _segment_code(ref: Column) -> Column:
-    return F.get(_parts(stem(ref)), F.lit(2))
+    return F.nullif(_slice(stem(ref), 2, 1), F.lit(""))
 
 
 def contract_by_segment(ref: Column) -> Column:
     """Segment, then year, marker and number: ``LRH_2021_NO_10260``."""
-    parts = _parts(stem(ref))
-    return F.concat(
-        F.array_join(F.slice(parts, 3, 1), "_"),
-        F.lit("_"),
-        F.array_join(F.slice(parts, 5, 3), "_"),
-    )
+    base = stem(ref)
+    return F.concat(_slice(base, 2, 1), F.lit("_"), _slice(base, 4, 3))
 
 
 def contract_tail(ref: Column, count: int) -> Column:
@@ -47,14 +50,12 @@ def contract_segment_tail(ref: Column) -> Column:
 
 def contract_from_segment(ref: Column) -> Column:
     """Everything from the segment on (ids that carry no portfolio part)."""
-    parts = _parts(stem(ref))
-    length = F.greatest(F.size(parts) - 2, F.lit(0))
-    return F.array_join(F.slice(parts, F.lit(3), length), "_")
+    return _slice(stem(ref), 2)
 
 
 def contract_of_portfolio(ref: Column) -> Column:
     """Four parts from the segment on; the slash is not treated specially."""
-    return F.array_join(F.slice(_parts(ref), 3, 4), "_")
+    return _slice(ref, 2, 4)
 
 
 def life_flag(ref: Column) -> Column:
@@ -68,7 +69,7 @@ def segment(ref: Column) -> Column:
 
 def onerous_marker(contract: Column) -> Column:
     """Marker inside a three-part contract key: ``2021_NO_10260`` -> ``NO``."""
-    return F.get(_parts(contract), F.lit(1))
+    return F.nullif(_slice(contract, 1, 1), F.lit(""))
 
 
 CONTRACT_FORMS = {

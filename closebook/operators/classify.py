@@ -27,8 +27,8 @@ def derive_contract(
 
 def class_by_date(df: DataFrame, calculation_date: dt.date) -> DataFrame:
     """Incurred (as given, not aligned) by the calculation date -> claims."""
-    incurred = dates.from_int(F.col("I17INCURREDDATE"))
-    label = F.when(incurred <= F.lit(calculation_date), F.lit(CLAIMS))
+    past = dates.on_or_before(F.col("I17INCURREDDATE"), calculation_date)
+    label = F.when(past, F.lit(CLAIMS))
     return df.withColumn("lrc_lic", label.otherwise(F.lit(COVERAGE)))
 
 

@@ -14,24 +14,33 @@ from pyspark.sql import functions as F
 from closebook.functions.money import row_total, zero_if_null
 
 
-def group_sum(df: DataFrame, keys: Sequence[str], measures: Iterable[str]) -> DataFrame:
+def group_sum(
+    df: DataFrame,
+    keys: Sequence[str],
+    measures: Iterable[str],
+    required: Sequence[str] = (),
+) -> DataFrame:
     """Groups with a null key drop out; a group whose values are all null gives 0.
 
-    Whether a key is null is carried through the aggregate. A plain filter on
-    the keys would be pushed below the joins, and every derived key (parsed
-    ids, buckets) would be evaluated there a second time.
+    Rows with a null in a ``required`` column do not count either. All this is
+    decided inside the aggregate: a filter on the keys would be pushed below
+    the joins, and every derived key (parsed ids, buckets) would be evaluated
+    there a second time.
     """
-    complete = F.lit(True)
+    whole = F.lit(True)
     for key in keys:
-        complete = complete & F.col(key).isNotNull()
-    return (
-        df.groupBy(*keys)
-        .agg(
-            *[zero_if_null(F.sum(F.col(m))).alias(m) for m in measures],
-            F.bool_and(complete).alias("_complete"),
-        )
-        .filter("_complete")
-        .drop("_complete")
+        whole = whole & F.col(key).isNotNull()
+    counts = F.lit(True)
+    for column in required:
+        counts = counts & F.col(column).isNotNull()
+    sums = [
+        F.sum(F.when(counts, F.col(m)) if required else F.col(m)).alias(m)
+        for m in measures
+    ]
+    grouped = df.groupBy(*keys).agg(*sums, F.bool_or(whole & counts).alias("_whole"))
+    return grouped.filter("_whole").select(
+        *[F.col(f"`{key}`") for key in keys],
+        *[zero_if_null(F.col(f"`{m}`")).alias(m) for m in measures],
     )
 
 
@@ -54,7 +63,8 @@ def control_total(df: DataFrame, measures: Iterable[str]) -> DataFrame:
 
 
 def distinct_pairs(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.dropna(subset=list(keys)).select(*keys).distinct()
+    """Distinct combinations without nulls."""
+    return group_sum(df, keys, [])
 
 
 def fill_missing(
@@ -78,7 +88,10 @@ def union_books(books: Sequence[DataFrame]) -> DataFrame:
 
 
 def align(
-    components: Sequence[DataFrame], keys: Sequence[str], measures: Sequence[str]
+    components: Sequence[DataFrame],
+    keys: Sequence[str],
+    measures: Sequence[str],
+    required: Sequence[str] = (),
 ) -> DataFrame:
     """Several balances side by side on common keys: one shuffle, no outer joins.
 
@@ -89,6 +102,7 @@ def align(
     shaped = [
         part.select(
             *keys,
+            *required,
             *[
                 F.col(m) if m in part.columns else F.lit(0.0).alias(m)
                 for m in measures
@@ -96,7 +110,7 @@ def align(
         )
         for part in components
     ]
-    return group_sum(union_books(shaped), keys, measures)
+    return group_sum(union_books(shaped), keys, measures, required)
 
 
 def align_by_join(

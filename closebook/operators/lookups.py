@@ -48,18 +48,18 @@ def assert_unique(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
 def left_lookup(
     df: DataFrame, dim: DataFrame, keys: Sequence[str], keep: Sequence[str] | None = None
 ) -> DataFrame:
-    """Left join on equal keys. Unmatched rows stay with null, and several
-    dimension rows for one key multiply the row, as in a plain left join."""
+    """Left join on equal keys. Unmatched rows and rows with a null key stay with
+    null; several dimension rows for one key multiply the row."""
     if keep is not None:
         dim = dim.select(*keys, *keep)
-    return df.join(dim.dropna(subset=list(keys)), on=list(keys), how="left")
+    return df.join(dim, on=list(keys), how="left")
 
 
 def semi_anti(
     df: DataFrame, members: DataFrame, key: str
 ) -> tuple[DataFrame, DataFrame]:
     """Rows whose key is in a table's column, and all the others."""
-    listed = members.select(key).dropna().distinct()
+    listed = members.select(key).distinct()
     return df.join(listed, key, "left_semi"), df.join(listed, key, "left_anti")
 
 
@@ -73,7 +73,7 @@ def tag_members(
 ) -> DataFrame:
     """Mark rows by membership of a table's column, in one pass over ``df``."""
     hit = "_listed_"
-    listed = members.select(key).dropna().distinct().withColumn(hit, F.lit(True))
+    listed = members.select(key).distinct().withColumn(hit, F.lit(True))
     tagged = df.join(listed, key, "left")
     label = F.when(F.col(hit), F.lit(inside)).otherwise(F.lit(outside))
     return tagged.withColumn(tag, label).drop(hit)

@@ -94,13 +94,9 @@ def curve_date(curve: DataFrame) -> Column:
     return dates.from_dotted(column) if kind == "string" else dates.from_int(column)
 
 
-def wide_curves(curves: Mapping[str, DataFrame]) -> DataFrame:
-    """N curves -> one row per (date, currency) with a ``factor_<name>`` each.
-
-    A curve that holds two rows for one key would silently multiply cash
-    flows later; it stops the job here.
-    """
-    long = union_books(
+def stack_curves(curves: Mapping[str, DataFrame]) -> DataFrame:
+    """All curves below each other, named in ``curve``, dates as DATE."""
+    return union_books(
         [
             curve.select(
                 curve_date(curve).alias("date_adjusted"),
@@ -111,8 +107,16 @@ def wide_curves(curves: Mapping[str, DataFrame]) -> DataFrame:
             for name, curve in curves.items()
         ]
     )
+
+
+def widen_curves(stacked: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Stacked curves -> one row per (date, currency) with a ``factor_<name>`` each.
+
+    A curve that holds two rows for one key would silently multiply cash
+    flows later; it stops the job here.
+    """
     columns = []
-    for name in curves:
+    for name in names:
         here = F.when(F.col("curve") == name, F.col("I17DISCFACT"))
         twice = F.raise_error(F.lit(f"curve {name}: duplicate date and currency"))
         columns.append(
@@ -120,34 +124,27 @@ def wide_curves(curves: Mapping[str, DataFrame]) -> DataFrame:
             .otherwise(F.max(here))
             .alias(f"factor_{name}")
         )
-    return (
-        long.dropna(subset=["date_adjusted", CURRENCY])
-        .groupBy("date_adjusted", CURRENCY)
-        .agg(*columns)
-    )
+    return stacked.groupBy("date_adjusted", CURRENCY).agg(*columns)
 
 
-def with_aligned_dates(df: DataFrame) -> DataFrame:
-    """``date_adjusted`` and ``incurred_adjusted`` as month ends."""
-    return df.withColumns(
-        {
-            "date_adjusted": dates.align_month_end(
-                dates.from_int(F.col("I17SETTLEMDATE"))
-            ),
-            "incurred_adjusted": dates.align_month_end(
-                dates.from_int(F.col("I17INCURREDDATE"))
-            ),
-        }
-    )
+def wide_curves(curves: Mapping[str, DataFrame]) -> DataFrame:
+    """N curve files -> one wide table, joined once instead of N times."""
+    return widen_curves(stack_curves(curves), list(curves))
+
+
+def with_aligned_date(df: DataFrame) -> DataFrame:
+    """``date_adjusted``: the settlement date as a month end."""
+    settled = dates.from_int(F.col("I17SETTLEMDATE"))
+    return df.withColumn("date_adjusted", dates.align_month_end(settled))
 
 
 def with_buckets(df: DataFrame, params: CloseParams, by: str = "window") -> DataFrame:
-    """``settlement`` and ``incurred`` period labels from the aligned dates."""
+    """``settlement`` and ``incurred`` period labels."""
     bucket = dates.bucket_by_window if by == "window" else dates.bucket_by_year
     return df.withColumns(
         {
-            "settlement": bucket(F.col("date_adjusted"), params),
-            "incurred": bucket(F.col("incurred_adjusted"), params),
+            "settlement": bucket(F.col("I17SETTLEMDATE"), params),
+            "incurred": bucket(F.col("I17INCURREDDATE"), params),
         }
     )
 

@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from closebook.functions import dates
 from closebook.functions.money import divide
 from closebook.operators.classify import (
     CLAIMS,
@@ -32,6 +31,7 @@ from closebook.operators.valuation import (
     balance_rates,
     npr_amount,
     present_values,
+    with_aligned_date,
     with_factors,
     with_rate,
 )
@@ -75,10 +75,8 @@ def opening_cash_flows(
 
     Rates come from the table for every currency, the base one included.
     """
-    df = bcm.withColumn(
-        "date_adjusted", dates.align_month_end(dates.from_int(F.col("I17SETTLEMDATE")))
-    )
-    df = with_factors(with_rate(df, rates), curves, [curve], params.opening)
+    df = with_rate(with_aligned_date(bcm), rates)
+    df = with_factors(df, curves, [curve], params.opening)
     df = derive_contract(class_by_date(df, params.opening), "segment")
     df = present_values(df, [curve]).withColumnRenamed(f"discount_{curve}", "discount")
     return group_sum(df, CONTRACT_GRAIN, OPEN_BCM)
@@ -104,9 +102,7 @@ def closing_cash_flows(
     Origin depends on the contract alone, so both discounts are summed per
     contract first and the list of old contracts meets the summed rows only.
     """
-    df = bcm.filter(F.col("I17EXPCHANGE") == CLOSING_EXPOSURE).withColumn(
-        "date_adjusted", dates.align_month_end(dates.from_int(F.col("I17SETTLEMDATE")))
-    )
+    df = with_aligned_date(bcm.filter(F.col("I17EXPCHANGE") == CLOSING_EXPOSURE))
     df = with_rate(df, balance_rates(rates), params.base_currency)
     df = with_factors(df, curves, ["locked_in", "current"], params.closing)
     df = derive_contract(class_by_date(df, params.closing), "tail2")
@@ -289,9 +285,9 @@ def portfolio_balance_close(components: Sequence[DataFrame]) -> DataFrame:
     of those drop out, and the sum over them is taken in the same shuffle.
     """
     parts = ["nominal_original_CCY", *CLOSE_PARTS]
-    whole = [df.dropna(subset=CLOSE_ACCOUNT_GRAIN) for df in components]
-    summed = align(whole, ["origin", "account", "I17COSTREVENUE"], parts)
-    return with_total(summed, CLOSE_PARTS)
+    keys = ["origin", "account", "I17COSTREVENUE"]
+    required = ["ri_rh", "zivot_nezivot"]
+    return with_total(align(components, keys, parts, required), CLOSE_PARTS)
 
 
 def control_totals(components: Sequence[DataFrame]) -> DataFrame:

@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from closebook.functions import ids
-from closebook.functions.money import divide, zero_if_null
-from closebook.operators.classify import CLAIMS, COVERAGE, class_by_code
+from closebook.functions.money import divide, member, zero_if_null
+from closebook.operators.classify import class_by_code
 from closebook.operators.grouping import combine_runs, group_sum
 from closebook.operators.lookups import left_lookup
 from closebook.operators.valuation import average_rates, with_rate
 from closebook.params import CloseParams
 from closebook.plans.runs import TYC, TYC_SHIFT, YEAR_END, YEAR_END_SHIFT
 
+FIRST_QUARTER = "Q1"
 MOVEMENT_KEYS = ["contract", "I17COSTREVENUE", "lrc_lic", "I17ESTCURR"]
 
 
@@ -32,8 +33,21 @@ def classify_run(run: DataFrame, params: CloseParams, closing: bool) -> DataFram
     return class_by_code(short, params, first_quarter_is_claim=closing)
 
 
-def _in_first_quarter(df: DataFrame):
-    return F.col("date_select").eqNullSafe(F.lit("Q1"))
+def _selected(
+    run: DataFrame, periods: list[str], params: CloseParams, inside: bool = True
+) -> DataFrame:
+    """Rows whose selecting period is one of the given ones, or is not.
+
+    A row without a selecting period counts as outside. The period stands for
+    the class as well: claims are exactly the past period and, in a closing
+    run, the first quarter. Spelled per code list, so that the optimizer turns
+    each label test into a date range before pushing it to the scan.
+    """
+    code = F.col("I17COSTREVENUE")
+    hit = (member(code, params.settlement_codes) & member(F.col("settlement"), periods)) | (
+        member(code, params.incurred_codes) & member(F.col("incurred"), periods)
+    )
+    return run.filter(hit if inside else ~hit)
 
 
 def _to_base(df: DataFrame, rates: DataFrame, columns: dict[str, str], params) -> DataFrame:
@@ -47,7 +61,7 @@ def _to_base(df: DataFrame, rates: DataFrame, columns: dict[str, str], params) -
 def movement_ir(ir: DataFrame, accounts: DataFrame, rates: DataFrame, params: CloseParams) -> DataFrame:
     """Release of the opening run: past and first-quarter rows, negated."""
     df = classify_run(ir, params, closing=False)
-    df = df.filter(F.col("date_select").isin(params.past_label, "Q1"))
+    df = _selected(df, [params.past_label, FIRST_QUARTER], params)
     df = left_lookup(df, accounts, ["I17COSTREVENUE"], ["account"])
     keys = ["account", *MOVEMENT_KEYS]
     originals = ["nominal_original_CCY", _original(TYC), _original(YEAR_END)]
@@ -72,9 +86,9 @@ def movement_lrc(
     ir: DataFrame, sm: DataFrame, accounts: DataFrame, rates: DataFrame, params: CloseParams
 ) -> DataFrame:
     """Coverage: closing less opening, first-quarter opening rows left out."""
-    opening = classify_run(ir, params, closing=False)
-    opening = opening.filter((F.col("lrc_lic") == COVERAGE) & ~_in_first_quarter(opening))
-    closing = classify_run(sm, params, closing=True).filter(F.col("lrc_lic") == COVERAGE)
+    left_out = [params.past_label, FIRST_QUARTER]
+    opening = _selected(classify_run(ir, params, closing=False), left_out, params, inside=False)
+    closing = _selected(classify_run(sm, params, closing=True), left_out, params, inside=False)
     shifted, shifted_year = _original(TYC_SHIFT), _original(YEAR_END_SHIFT)
     change = combine_runs(
         closing,
@@ -99,9 +113,8 @@ def movement_lic_past(
     ir: DataFrame, sm: DataFrame, accounts: DataFrame, rates: DataFrame, params: CloseParams
 ) -> DataFrame:
     """Past claims: closing on shifted curves less opening on unshifted ones."""
-    opening = classify_run(ir, params, closing=False).filter(F.col("lrc_lic") == CLAIMS)
-    closing = classify_run(sm, params, closing=True)
-    closing = closing.filter((F.col("lrc_lic") == CLAIMS) & ~_in_first_quarter(closing))
+    opening = _selected(classify_run(ir, params, closing=False), [params.past_label], params)
+    closing = _selected(classify_run(sm, params, closing=True), [params.past_label], params)
     change = combine_runs(
         closing,
         opening,
@@ -128,8 +141,7 @@ def movement_lic_current(
     sm: DataFrame, accounts: DataFrame, rates: DataFrame, params: CloseParams
 ) -> DataFrame:
     """Claims of the first quarter: closing rows as they are."""
-    closing = classify_run(sm, params, closing=True)
-    closing = closing.filter((F.col("lrc_lic") == CLAIMS) & _in_first_quarter(closing))
+    closing = _selected(classify_run(sm, params, closing=True), [FIRST_QUARTER], params)
     originals = ["nominal_original_CCY", _original(TYC_SHIFT), _original(YEAR_END_SHIFT)]
     summed = group_sum(closing, MOVEMENT_KEYS, originals).withColumnRenamed(
         "nominal_original_CCY", "amount_original_CCY"

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from closebook.functions import dates, ids
+from closebook.functions import ids
 from closebook.operators.classify import derive_contract
 from closebook.operators.grouping import fill_missing, group_sum
 from closebook.operators.valuation import (
@@ -15,7 +15,7 @@ from closebook.operators.valuation import (
     present_values,
     rounded_present_values,
     shift_correction,
-    with_aligned_dates,
+    with_aligned_date,
     with_buckets,
     with_factors,
     with_rate,
@@ -53,7 +53,7 @@ def valued_rows(
     params: CloseParams,
 ) -> DataFrame:
     """Cash flows with period buckets and rounded present values, row by row."""
-    df = with_buckets(with_aligned_dates(bcm), params, by="window")
+    df = with_buckets(with_aligned_date(bcm), params, by="window")
     df = with_rate(df, rates, params.base_currency)
     df = with_factors(df, curves, names, params.opening)
     df = rounded_present_values(df, names, params)
@@ -111,7 +111,7 @@ def bcm_reduction(bcm, opening_rates, closing_rates, curves, params: CloseParams
     Rates follow the exposure; missing rates and factors are skipped.
     """
     names = ["locked_in", "tyc", "current"]
-    df = with_buckets(with_aligned_dates(bcm), params, by="year")
+    df = with_buckets(with_aligned_date(bcm), params, by="year")
     df = with_rate_by_exposure(df, opening_rates, closing_rates, params)
     df = present_values(with_factors(df, curves, names, params.closing), names)
     measures = ["nominal_original_CCY", "nominal", *[f"discount_{n}" for n in names]]
@@ -120,12 +120,8 @@ def bcm_reduction(bcm, opening_rates, closing_rates, curves, params: CloseParams
 
 def ungrouped_detail(new, rates, curves, params: CloseParams) -> DataFrame:
     """Opening-exposure cash flows one by one, without buckets or sums."""
-    df = new.filter(F.col("I17EXPCHANGE") == OPENING_EXPOSURE).withColumns(
-        {
-            "contract": F.col("I17REFOBJID"),
-            "date_adjusted": dates.align_month_end(dates.from_int(F.col("I17SETTLEMDATE"))),
-        }
-    )
+    df = with_aligned_date(new.filter(F.col("I17EXPCHANGE") == OPENING_EXPOSURE))
+    df = df.withColumn("contract", F.col("I17REFOBJID"))
     df = with_rate(df, rates, params.base_currency)
     df = with_factors(df, curves, OPENING_CURVES, params.opening)
     df = npr_columns(present_values(df, OPENING_CURVES), [TYC, YEAR_END], params)
