@@ -7,11 +7,13 @@ from closebook.session import apply_settings
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
     session = (
         SparkSession.builder.master("local[4]")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", shared)
         .config("spark.driver.memory", "4g")
         .getOrCreate()
     )
