@@ -61,7 +61,7 @@ def timed(spark: SparkSession, name: str, folder: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 4))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     wanted = os.environ.get("BENCH_QUERIES")
     names = wanted.split(",") if wanted else list(HEADLINE)
     spark = session(cpus)
