@@ -394,12 +394,15 @@ def portfolio_balance_open(given):
 
 @query
 def control_totals(given):
-    return balances.control_totals(_open_components(given))
+    by_component = tables.hand_off(balances.component_balances(_open_components(given)))
+    return balances.control_totals(by_component)
 
 
 @query
 def sign_flag_remap(given):
-    balance = balances.portfolio_balance_open(_open_components(given))
+    # Flags and rows both read the balance. Adaptive execution does not share
+    # its last shuffle between them, so the small balance is handed over once.
+    balance = tables.hand_off(balances.portfolio_balance_open(_open_components(given)))
     return balances.sign_flag_remap(balance, given.counter_accounts())
 
 

@@ -290,15 +290,22 @@ def portfolio_balance_close(components: Sequence[DataFrame]) -> DataFrame:
     return with_total(align(components, keys, parts, required), CLOSE_PARTS)
 
 
-def control_totals(components: Sequence[DataFrame]) -> DataFrame:
-    """Grand totals before and after the alignment; the two rows must agree."""
-    labelled = align(
+def component_balances(components: Sequence[DataFrame]) -> DataFrame:
+    """Each component by portfolio and account, numbered in ``component``."""
+    return align(
         [df.withColumn("component", F.lit(i)) for i, df in enumerate(components)],
         [*OPEN_ACCOUNT_GRAIN, "component"],
         OPEN_PARTS,
     )
-    aligned = group_sum(labelled, OPEN_ACCOUNT_GRAIN, OPEN_PARTS)
-    before = control_total(labelled, OPEN_PARTS).withColumn("stage", F.lit("before"))
+
+
+def control_totals(by_component: DataFrame) -> DataFrame:
+    """Grand totals before and after the alignment; the two rows must agree.
+
+    The component balances are read twice: hand them over first.
+    """
+    aligned = group_sum(by_component, OPEN_ACCOUNT_GRAIN, OPEN_PARTS)
+    before = control_total(by_component, OPEN_PARTS).withColumn("stage", F.lit("before"))
     after = control_total(aligned, OPEN_PARTS).withColumn("stage", F.lit("after"))
     return with_total(before.unionByName(after), OPEN_PARTS)
 
@@ -324,7 +331,8 @@ def sign_flag_remap(
 
     With the default key a portfolio held by both segments meets two flags
     and counts under each; pass ``("ri_rh", "local_portfolio")`` to match the
-    flag's own grain. Flagged rows without a counter-account drop out.
+    flag's own grain. Flagged rows without a counter-account drop out. The
+    balance is read twice: hand over one that is costly to compute.
     """
     flags = sign_flags(balance).select(*flag_keys, "mapping_change_flag")
     flagged = left_lookup(balance, flags, list(flag_keys))

@@ -191,7 +191,7 @@ def test_opening_balance_and_charge(book, rates, curves, lookups, rows):
     assert {round(r[4], 6) for r in rows(separate)} == {round(-0.003 * 22.5, 6)}
     only_rh = balances.npr_charge(codes, charges, PARAMS, balances.OPEN_ACCOUNT_GRAIN, segments=["RH"])
     assert [r[0] for r in rows(only_rh)] == ["RH"]
-    stages = {r.stage: r for r in balances.control_totals([one_pass]).collect()}
+    stages = {r.stage: r for r in balances.control_totals(balances.component_balances([one_pass])).collect()}
     assert stages["before"].total_balance == pytest.approx(stages["after"].total_balance)
 
 
