@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from closebook.llm import mixing, sharding
-from closebook.llm.common import hand_over, table
+from closebook.llm import langid, mixing, sharding, simhash
+from closebook.llm.common import fold_of, table
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +28,24 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the rows outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where(fold_of(F.col("doc_id")) != 0).select("text", "lang"))
+    return langid.identify(docs.drop("lang"), model).select(
+        "doc_id", (fold_of(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of 3-word shingles, linked at 2 or fewer differing bits."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = simhash.with_fingerprints(docs, shingle=3).drop("text")
+    return simhash.clusters(marked, radius=2).select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards of equal row count, each with the corpus' mixture of sources."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -53,6 +71,8 @@ def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op7_language": op7_language,
+    "op8_simhash": op8_simhash,
     "op9_shards": op9_shards,
 }
 
