@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from closebook.llm import langid, mixing, sharding, simhash
+from closebook.llm import decontaminate, langid, mixing, sharding, simhash
 from closebook.llm.common import fold_of, table
 
 
@@ -28,6 +28,20 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside an occurrence of 10 consecutive benchmark words."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"), window=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the rows outside the held-out fold."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -71,6 +85,7 @@ def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op3_decontaminate": op3_decontaminate,
     "op7_language": op7_language,
     "op8_simhash": op8_simhash,
     "op9_shards": op9_shards,
@@ -108,6 +123,37 @@ counted AS (
 SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies FROM counted
 """
 
+_OP3 = r"""
+WITH item_words AS (
+  SELECT item_id, regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL),
+item_windows AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS gram
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM item_words WHERE len(w) > 0)),
+doc_words AS (
+  SELECT row_number() OVER () AS doc_row, doc_id, coalesce(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents),
+doc_windows AS (
+  SELECT doc_row, i, n, array_to_string(w[i:i + n - 1], ' ') AS gram
+  FROM (SELECT doc_row, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM doc_words, (SELECT DISTINCT n FROM item_windows) WHERE len(w) >= n)),
+met AS (SELECT d.doc_row, d.i, d.n, b.item_id FROM doc_windows d JOIN item_windows b ON d.n = b.n AND d.gram = b.gram),
+hits AS (
+  SELECT doc_row, count(DISTINCT p) AS n_hit
+  FROM (SELECT DISTINCT doc_row, unnest(range(i, i + n)) AS p FROM met) GROUP BY doc_row),
+items AS (
+  SELECT doc_row, count(*) AS n_items, string_agg(named, ',' ORDER BY named) AS listed
+  FROM (SELECT DISTINCT doc_row, CAST(item_id AS VARCHAR) AS named FROM met WHERE item_id IS NOT NULL) GROUP BY doc_row)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN hits USING (doc_row) LEFT JOIN items USING (doc_row)
+"""
+
 ORACLES = {
     "op1_mix_sources": _OP1,
+    "op3_decontaminate": _OP3,
 }
