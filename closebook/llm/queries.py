@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from closebook.llm import decontaminate, langid, mixing, sharding, simhash
+from closebook.llm import decontaminate, langid, mixing, neighbours, sharding, simhash
 from closebook.llm.common import fold_of, table
 
 
@@ -83,12 +83,19 @@ def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of every hundredth vector."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.search(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op3_decontaminate": op3_decontaminate,
     "op7_language": op7_language,
     "op8_simhash": op8_simhash,
     "op9_shards": op9_shards,
+    "op10_neighbours": op10_neighbours,
 }
 
 _OP1 = r"""
