@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from closebook.llm import decontaminate, langid, mixing, neighbours, sharding, simhash
+from closebook.llm import decontaminate, langid, mixing, neighbours, sharding, simhash, toxicity
 from closebook.llm.common import fold_of, table
 
 
@@ -42,6 +42,16 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from labels outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    labels = table(spark, sf_dir, "labels").where(fold_of(F.col("doc_id")) != 0)
+    model = toxicity.fit(docs, labels)
+    return toxicity.score(docs.drop("lang"), model).select(
+        "doc_id", (fold_of(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted"
+    )
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the rows outside the held-out fold."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -92,6 +102,7 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op3_decontaminate": op3_decontaminate,
+    "op6_toxicity": op6_toxicity,
     "op7_language": op7_language,
     "op8_simhash": op8_simhash,
     "op9_shards": op9_shards,
