@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from closebook.llm import decontaminate, langid, mixing, neighbours, sharding, simhash, toxicity
+from closebook.llm import decontaminate, extract, langid, mixing, neighbours, sharding, simhash, toxicity
 from closebook.llm.common import fold_of, table
 
 
@@ -42,6 +42,12 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from labels outside the held-out fold."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -102,6 +108,7 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op3_decontaminate": op3_decontaminate,
+    "op5_main_text": op5_main_text,
     "op6_toxicity": op6_toxicity,
     "op7_language": op7_language,
     "op8_simhash": op8_simhash,
