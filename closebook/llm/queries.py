@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from closebook.llm import decontaminate, extract, langid, mixing, neighbours, sharding, simhash, toxicity
+from closebook.llm import decontaminate, extract, langid, mixing, neighbours, sharding, simhash, toxicity, urlfilter
 from closebook.llm.common import fold_of, table
 
 
@@ -28,6 +28,22 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Rules of the url filter, as host and path.
+URL_RULES = [
+    urlfilter.Rule("allow", "org", "/"),
+    urlfilter.Rule("block", "example.org", "/es/"),
+    urlfilter.Rule("block", "example.org", "/en/1"),
+    urlfilter.Rule("allow", "com", "/fr/"),
+    urlfilter.Rule("block", "com", "/de/"),
+]
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by rules, and else by trust spread over host links."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return urlfilter.judge(pages, URL_RULES).drop("url", "html")
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside an occurrence of 10 consecutive benchmark words."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -107,6 +123,7 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_url_filter": op2_url_filter,
     "op3_decontaminate": op3_decontaminate,
     "op5_main_text": op5_main_text,
     "op6_toxicity": op6_toxicity,
@@ -178,7 +195,63 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM doc_words LEFT JOIN hits USING (doc_row) LEFT JOIN items USING (doc_row)
 """
 
+_OP2 = r"""
+WITH cut AS (
+  SELECT *, coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+rules(act, rhost, rpath) AS (
+  VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+         ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+numbered AS (SELECT row_number() OVER () AS page_row, * FROM cut),
+fits AS (
+  SELECT page_row, arg_max(rhost || rpath, len(rhost || rpath)) AS rule, arg_max(act, len(rhost || rpath)) AS act
+  FROM numbered JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+  GROUP BY page_row),
+judged AS (SELECT n.*, f.rule, f.act FROM numbered n LEFT JOIN fits f USING (page_row)),
+targets AS (
+  SELECT host AS src, unnest(regexp_extract_all(html, '(?i)<a\s[^>]*?\bhref\s*=\s*["'']?([^"''\s>]*)', 1)) AS target
+  FROM judged),
+named AS (
+  SELECT src, translate(regexp_extract(CASE WHEN starts_with(target, '//') THEN ':' || target ELSE target END,
+                        '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS dst
+  FROM targets WHERE contains(target, '://') OR starts_with(target, '//')),
+links AS (SELECT src, dst, count(*) AS n FROM named WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY src, dst),
+both_ways AS (
+  SELECT 'trust' AS kind, src AS host, dst AS dest, n FROM links
+  UNION ALL SELECT 'distrust', dst, src, n FROM links),
+edges AS (SELECT *, sum(n) OVER (PARTITION BY kind, host) AS total FROM both_ways),
+hosts AS (
+  SELECT host, count(*) AS pages, count(*) FILTER (WHERE act = 'allow') AS trust,
+         count(*) FILTER (WHERE act = 'block') AS distrust
+  FROM judged WHERE host <> '' GROUP BY host),
+seeds AS (
+  SELECT kind, host, CAST(floor(1000000000000.0::DOUBLE * seeded / pages) AS BIGINT) AS rank
+  FROM (SELECT 'trust' AS kind, host, pages, trust AS seeded FROM hosts
+        UNION ALL SELECT 'distrust', host, pages, distrust FROM hosts) WHERE seeded > 0),
+base AS (SELECT kind, host, CAST(floor(rank * CAST(1 - 0.85::DOUBLE AS DOUBLE)) AS BIGINT) AS rank FROM seeds),
+r0 AS (SELECT * FROM seeds),
+""" + "".join(
+    f"""r{i + 1} AS (
+  SELECT kind, host, CAST(sum(rank) AS BIGINT) AS rank FROM (
+    SELECT * FROM base UNION ALL
+    SELECT r.kind, e.dest, CAST(floor(r.rank * 0.85::DOUBLE * e.n / e.total) AS BIGINT)
+    FROM r{i} r JOIN edges e ON r.kind = e.kind AND r.host = e.host) GROUP BY kind, host),
+"""
+    for i in range(urlfilter.ROUNDS)
+) + f"""scored AS (
+  SELECT host, CAST(coalesce(sum(rank) FILTER (WHERE kind = 'trust'), 0) AS BIGINT) AS trust,
+         CAST(coalesce(sum(rank) FILTER (WHERE kind = 'distrust'), 0) AS BIGINT) AS distrust
+  FROM r{urlfilter.ROUNDS} GROUP BY host)
+SELECT page_id, host, path, rule,
+       coalesce(act, CASE WHEN coalesce(distrust, 0) > coalesce(trust, 0) THEN 'block' ELSE 'allow' END) AS verdict,
+       coalesce(trust, 0) AS trust, coalesce(distrust, 0) AS distrust
+FROM judged LEFT JOIN scored USING (host)
+"""
+
 ORACLES = {
     "op1_mix_sources": _OP1,
+    "op2_url_filter": _OP2,
     "op3_decontaminate": _OP3,
 }
