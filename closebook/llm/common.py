@@ -51,3 +51,9 @@ def unit(hashed: Column) -> Column:
 def fold_of(key: Column) -> Column:
     """crc32 of the key's text modulo 5; null keys count as an empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % 5
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate files that nothing reads any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

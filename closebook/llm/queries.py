@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from closebook.llm import decontaminate, extract, langid, mixing, neighbours, sharding, simhash, toxicity, urlfilter
-from closebook.llm.common import fold_of, table
+from closebook.llm import decontaminate, extract, langid, mixing, neighbours, sharding, simhash, tokencount, toxicity, urlfilter
+from closebook.llm.common import fold_of, hand_over, remove, table
+from closebook.session import fresh_path
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +59,22 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Vocabulary the token files are written with; at this place on every machine.
+VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted in the flat token files made of all texts."""
+    path = fresh_path(spark, "tokens")
+    tokencount.write_tokens(table(spark, sf_dir, "documents").select("text"), path, VOCABULARY)
+    # A row for each block of a file; the files themselves are not needed after it.
+    blocks = hand_over(tokencount.scan(spark, path), "token-blocks")
+    remove(spark, path)
+    found = tokencount.stitch(blocks)
+    part = F.concat_ws("-", F.regexp_extract("file", r"part-(\d+)", 1), F.regexp_extract("file", r"-c(\d+)", 1))
+    return found.withColumn("file", part)
+
+
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -125,6 +142,7 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_url_filter": op2_url_filter,
     "op3_decontaminate": op3_decontaminate,
+    "op4_token_counts": op4_token_counts,
     "op5_main_text": op5_main_text,
     "op6_toxicity": op6_toxicity,
     "op7_language": op7_language,
