@@ -23,6 +23,15 @@ def hand_over(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows and bytes of text that go to Python at once.
+
+    Bounds what a worker and its executor hold beside the heap; long texts count by bytes.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def free_prefix(*frames: DataFrame) -> str:
     """A prefix no column of the frames starts with, for working columns."""
     taken = {name.lower() for df in frames for name in df.columns}

@@ -18,12 +18,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from closebook.llm.common import free_prefix, hand_over, without
+from closebook.llm.common import free_prefix, hand_over, small_batches, without
 from closebook.llm.fmindex import FMIndex
 
 #: Words of a window; symbols of one index; bytes of a text read at once; bytes of
 #: benchmark text that are searched, and sent to the executors, at once.
-WINDOW, SHARD, BLOCK, BENCHMARK_BYTES = 10, 1 << 20, 1 << 20, 1 << 24
+WINDOW, SHARD, BLOCK, BENCHMARK_BYTES = 10, 1 << 18, 1 << 20, 1 << 24
 #: Symbol of words outside the benchmark and of the ends of documents.
 OTHER = 1
 
@@ -159,6 +159,7 @@ def _binary(texts: pa.Array) -> pa.Array:
 
 
 def _with_block(docs: DataFrame, phrases: Phrases, text: str, name: str) -> DataFrame:
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(phrases)
     @F.arrow_udf(_FOUND)
     def found(texts: pa.Array) -> pa.Array:
@@ -170,7 +171,8 @@ def _with_block(docs: DataFrame, phrases: Phrases, text: str, name: str) -> Data
         ]
         return pa.StructArray.from_arrays(columns, names=["n_words", "spans", "items"])
 
-    return docs.withColumn(name, found(F.col(text)))
+    # So named, it is not evaluated again where a filter and the result both need it.
+    return docs.withColumn(name, found.asNondeterministic()(F.col(text)))
 
 
 def _merged(spans: Column) -> Column:
@@ -271,5 +273,7 @@ def remove_passages(
     found = find(moved, benchmark, window, w + text, item, item_text)
     left = found.where(~F.col("contaminated") | (F.col("n_hit") < F.col("n_words")))
     whole = F.col(w + text)
-    body = F.when(F.col("contaminated"), _without_spans(whole, F.col("spans"))).otherwise(whole)
+    # Only texts with a hit go to Python a second time.
+    hit = F.when(F.col("contaminated"), whole)
+    body = F.when(F.col("contaminated"), _without_spans(hit, F.col("spans"))).otherwise(whole)
     return left.select(*[(body if c == text else F.col(w + c)).alias(c) for c in docs.columns])

@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from closebook.llm.common import free_prefix, unit, without
+from closebook.llm.common import free_prefix, small_batches, unit, without
 
 UNKNOWN = "und"
 #: Characters of a text that are cleaned at once, bytes compressed at once.
@@ -56,6 +56,7 @@ def fit(
     seeded hash of the text, so the same rows give the same model; equal texts
     are used once. More than ``MOST_LANGUAGES`` languages are refused.
     """
+    small_batches(docs.sparkSession)
     w = free_prefix(docs)
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     known = known.select(F.col(lang).alias(w + "lang"), F.col(text).alias(w + "text"))
@@ -159,6 +160,7 @@ def identify(
     or its margin is not above ``min_margin``; ``lang_pred`` names the best language
     all the same. Input columns of the three names are replaced.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("struct<lang: string, margin: double>")

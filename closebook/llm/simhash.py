@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from closebook.llm.common import free_prefix, hand_over, without
+from closebook.llm.common import free_prefix, hand_over, small_batches, without
 from closebook.llm.components import components
 
 BITS = 64
@@ -77,6 +77,7 @@ def with_fingerprints(
     docs: DataFrame, shingle: int = 3, text: str = "text", name: str = "fingerprint"
 ) -> DataFrame:
     """``docs`` with the fingerprint as a signed long. Null and empty texts get zero."""
+    small_batches(docs.sparkSession)
 
     @F.arrow_udf("long")
     def prints(texts: pa.Array) -> pa.Array:
