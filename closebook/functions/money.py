@@ -49,12 +49,38 @@ def trailing_minus(text: Column) -> Column:
     return F.regexp_replace(text, "^(.*)-$", "-$1").cast("double")
 
 
-def decimal_comma(text: Column) -> Column:
-    """``1234,5`` -> 1234.5; an empty field is NULL."""
-    return F.nullif(F.translate(text, ",", "."), F.lit("")).cast("double")
+def point_text(text: Column) -> Column:
+    """Decimal comma to point; an empty field is NULL."""
+    return F.nullif(F.translate(text, ",", "."), F.lit(""))
 
 
-def to_decimal_comma(amount: Column, scale: int = 12) -> Column:
-    """Plain notation (never an exponent), trailing zeros cut, comma as the mark."""
-    plain = amount.cast(f"decimal(38,{scale})").cast("string")
-    return F.translate(F.regexp_replace(plain, r"\.?0+$", ""), ".", ",")
+def decimal_comma(text: Column) -> Column:
+    """``1234,5`` -> 1234.5; an empty field and NaN are NULL."""
+    return null_if_nan(point_text(text).cast("double"))
+
+
+def plain_text(amount: Column) -> Column:
+    """The shortest text that gives the same number, without an exponent; NaN is NULL.
+
+    Spark writes a double as digits, or as digits, E and a power of ten; the
+    power moves the point.
+    """
+    text = amount.cast("string")
+    sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    mantissa = F.substring_index(F.ltrim(text, F.lit("-")), "E", 1)
+    power = F.coalesce(F.regexp_extract(text, "E(-?[0-9]+)$", 1).try_cast("int"), F.lit(0))
+    whole = F.substring_index(mantissa, ".", 1)
+    part = F.when(F.contains(mantissa, F.lit(".")), F.substring_index(mantissa, ".", -1)).otherwise(F.lit(""))
+    digits, point = F.concat(whole, part), F.length(whole) + power
+    zeros = F.repeat(F.lit("0"), F.greatest(-point, F.lit(0)))
+    filled = F.concat(zeros, F.rpad(digits, F.greatest(F.length(digits), point), "0"))
+    point = F.greatest(point, F.lit(0))
+    left = F.when(point == 0, F.lit("0")).otherwise(F.substr(filled, F.lit(1), point))
+    moved = F.concat(left, F.lit("."), F.substr(filled, point + 1))
+    plain = F.regexp_replace(F.when(F.contains(text, F.lit("E")), moved).otherwise(mantissa), r"(\.[0-9]*?)0+$", "$1")
+    return F.when(text != "NaN", F.concat(sign, F.regexp_replace(plain, r"\.$", "")))
+
+
+def to_decimal_comma(amount: Column) -> Column:
+    """``plain_text`` with a comma as the mark."""
+    return F.translate(plain_text(amount), ".", ",")

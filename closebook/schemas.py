@@ -23,7 +23,7 @@ ACCOUNT_OF_CHARGE = "lrc_lic string, account string"
 LOCAL_PORTFOLIOS = "contract string, local_portfolio string"
 COUNTER_ACCOUNTS = "account string, counter_account string"
 OLD_CONTRACTS = "contract string"
-FIELD_NAMES = "Field string, Name string"
+FIELD_NAMES = "Field string, Name string, Position int"
 
 # Column names of the ledger extracts.
 LEDGER_COLUMNS = (
@@ -37,6 +37,7 @@ LEDGER = (
     "`Posting Date` string, `Cost or Revenue Element` string, `NewGL Segment` string, "
     "`G/L Account` string, `Amount in Functional Currency` double"
 )
+# Technical field names of a ledger extract.
 LEDGER_FIELDS = (
     "/BA1/K5SAMBAL", "AARK5SAMO", "/BA1C/BTTRAMTC", "/BA1/BIL_CURR", "/BA1C/BTPOSTDT",
     "/WSV/PORTL", "/BA1/C55CMETHY", "/BA1/C55PROCID", "/BA1/C55DOCNUM", "/BA1/C55ALST",

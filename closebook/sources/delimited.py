@@ -10,8 +10,6 @@ from pyspark.sql import types as T
 
 from closebook.functions import money
 
-MAX_FIELD_NAMES = 5000
-
 
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
@@ -26,9 +24,12 @@ def typed(raw: DataFrame, schema: str, decimal: str = ",") -> DataFrame:
     columns = []
     for field in declared:
         text = F.col(_quoted(field.name))
-        fractional = isinstance(field.dataType, (T.DoubleType, T.FloatType))
-        if fractional and decimal == ",":
-            value = money.decimal_comma(text)
+        if isinstance(field.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
+            if decimal == ",":
+                text = money.point_text(text)
+            value = text.cast(field.dataType)
+            if not isinstance(field.dataType, T.DecimalType):
+                value = money.null_if_nan(value)
         else:
             value = text.cast(field.dataType)
         columns.append(value.alias(field.name))
@@ -53,11 +54,15 @@ def read_delimited(
     return typed(raw, schema, decimal)
 
 
-def field_names(dictionary: DataFrame) -> list[str]:
-    """Ordered technical names of a field dictionary (one row per column)."""
-    rows = dictionary.select("Field").limit(MAX_FIELD_NAMES + 1).collect()
-    if len(rows) > MAX_FIELD_NAMES:
-        raise ValueError("a field dictionary has one row per column, not this many")
+def field_names(dictionary: DataFrame, position: str = "Position") -> list[str]:
+    """Technical names of a field dictionary by their position in the file.
+
+    A dictionary has one row per column of the file.
+    """
+    rows = dictionary.select("Field", position).orderBy(position).collect()
+    places = [row[position] for row in rows]
+    if None in places or len(set(places)) < len(places):
+        raise ValueError("each field of a dictionary needs a position of its own")
     return [row["Field"] for row in rows]
 
 
@@ -70,8 +75,12 @@ def read_headerless(
 
 
 def rename_by_dictionary(df: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Technical names -> business names; names not listed stay."""
-    pairs = dictionary.select("Field", "Name").limit(MAX_FIELD_NAMES).collect()
+    """Technical names -> business names; names not listed stay.
+
+    Only the entries for the file's own columns are fetched.
+    """
+    own = F.col("Field").isin(df.columns)
+    pairs = dictionary.select("Field", "Name").filter(own).collect()
     return df.withColumnsRenamed({row["Field"]: row["Name"] for row in pairs})
 
 
@@ -84,7 +93,7 @@ def with_source(df: DataFrame, length: int | None = None) -> DataFrame:
 def write_delimited(
     df: DataFrame, path: str, sep: str = ";", decimal: str = ",", mode: str = "errorifexists"
 ) -> None:
-    """One file per partition with a header; amounts in plain notation."""
+    """One file per partition with a header; amounts exact and in plain notation."""
     columns = []
     for field in df.schema:
         value = F.col(_quoted(field.name))
@@ -95,3 +104,8 @@ def write_delimited(
             value = money.to_decimal_comma(value)
         columns.append(value.alias(field.name))
     df.select(*columns).write.csv(path, sep=sep, header=True, mode=mode)
+
+
+def write_by_source(df: DataFrame, path: str, sep: str = ";", mode: str = "errorifexists") -> None:
+    """Files with a header in one folder for each value of ``src``."""
+    df.write.partitionBy("src").csv(path, sep=sep, header=True, mode=mode)

@@ -16,10 +16,6 @@ def write_result(
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
-def save_table(df: DataFrame, name: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).saveAsTable(name)
-
-
 def read_result(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.parquet(path)
