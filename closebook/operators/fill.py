@@ -4,57 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_SLICES = 1000
+from closebook.session import cut_lineage
 
+#: Rows of a slice, on average: what one window of an unpartitioned fill holds.
+SLICE_ROWS = 100_000
 
-def _slice_number(value: Column, bounds: Sequence, first: int = 0) -> Column:
-    """How many bounds lie at or below the value, as a halving search."""
-    if not bounds:
-        return F.lit(first)
-    middle = len(bounds) // 2
-    below = _slice_number(value, bounds[:middle], first)
-    above = _slice_number(value, bounds[middle + 1 :], first + middle + 1)
-    return F.when(value < F.lit(bounds[middle]), below).otherwise(above)
 
+def with_slices(df: DataFrame, order: str, slices: int | None = None) -> DataFrame:
+    """Rows with ``_slice``, their range of the order; written once to the shared folder.
 
-def order_bounds(df: DataFrame, order: str, slices: int) -> list:
-    """At most ``slices - 1`` values that cut the order column into equal shares."""
-    shares = [i / slices for i in range(1, slices)]
-    if not shares:
-        return []
-    cut = df.agg(F.percentile_approx(order, shares, max(10_000, slices * 20)).alias("cut"))
-    found = cut.first()["cut"]
-    return sorted(set(found or []))
+    The number of slices follows from the row count, whatever it is. Spark cuts the
+    ranges itself; they are written because a second run could cut them elsewhere.
+    """
+    if slices is None:
+        slices = df.count() // SLICE_ROWS + 1
+    ranged = df.repartitionByRange(slices, F.col(order)).withColumn("_slice", F.spark_partition_id())
+    return cut_lineage(ranged, "slices")
 
 
-def forward_fill(
-    df: DataFrame,
-    order: str,
-    columns: Sequence[str],
-    partition_by: Sequence[str] = (),
-    slices: int | None = None,
+def fill_slices(
+    sliced: DataFrame, order: str, columns: Sequence[str], partition_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Blank cells take the last value above them, within each partition if given.
-
-    ``order`` is a numeric, date or timestamp column with unique values. Its
-    quantiles cut the rows into slices, each slice is filled by its own window,
-    and the last value of the slices before it (one row per slice) carries
-    over. So neither an unpartitioned fill nor one huge partition runs in a
-    single task.
-    """
-    if slices is None:
-        configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        slices = min(configured, MAX_SLICES)
-    bounds = order_bounds(df, order, slices)
+    """Forward fill of rows that hold their ``_slice``; several fills may follow each other."""
     # A struct equals another one with nulls in the same places, so null
     # partition values need no special join.
     group = F.struct(*[F.col(p) for p in partition_by]) if partition_by else F.struct(F.lit(0))
-    sliced = df.withColumns({"_group": group, "_slice": _slice_number(F.col(order), bounds)})
-
-    ends = sliced.groupBy("_group", "_slice").agg(
+    grouped = sliced.withColumn("_group", group)
+    ends = grouped.groupBy("_group", "_slice").agg(
         *[
             F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_end_{c}")
             for c in columns
@@ -75,9 +54,26 @@ def forward_fill(
         .orderBy(order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    filled = sliced.withColumns(
+    filled = grouped.withColumns(
         {c: F.last(c, ignorenulls=True).over(within) for c in columns}
     ).join(carried, ["_group", "_slice"], "left")
     return filled.withColumns(
         {c: F.coalesce(F.col(c), F.col(f"_from_{c}")) for c in columns}
-    ).select(*df.columns)
+    ).select(*sliced.columns)
+
+
+def forward_fill(
+    df: DataFrame,
+    order: str,
+    columns: Sequence[str],
+    partition_by: Sequence[str] = (),
+    slices: int | None = None,
+) -> DataFrame:
+    """Blank cells take the last value above them, within each partition if given.
+
+    ``order`` has unique values. Ranges of it cut the rows into slices, each slice is
+    filled by its own window, and the last value of the slices before it (one row
+    per slice) carries over. So neither an unpartitioned fill nor one huge
+    partition runs in a single task.
+    """
+    return fill_slices(with_slices(df, order, slices), order, columns, partition_by).select(*df.columns)

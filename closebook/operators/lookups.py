@@ -1,10 +1,9 @@
 """Lookups against dimension tables.
 
-No join here carries a broadcast hint of its own. File-backed dimensions have
-a known size and Spark compares it with ``spark.sql.autoBroadcastJoinThreshold``
-itself. A dimension that Spark derived from a large table has no usable
-estimate; ``bounded`` counts it and hints only a small one. A larger one is
-joined by sort-merge, where the skew handling of AQE splits hot keys.
+No join here carries a broadcast hint. Spark compares the size of a dimension with
+``spark.sql.autoBroadcastJoinThreshold``, adaptive execution does so again with the
+bytes that a shuffled side really has, and beyond that limit the join is by
+sort-merge with hot keys split.
 """
 
 from __future__ import annotations
@@ -14,22 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def bounded(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint a narrow dimension for broadcast if it has at most ``max_rows`` rows.
-
-    Runs one small job: the dimension is held in the block manager (memory,
-    then disk; recomputed if an executor is lost) and counted up to the bound.
-    """
-    level = dim.storageLevel
-    held = dim if level.useMemory or level.useDisk else dim.persist()
-    if held.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(held)
-    held.unpersist()
-    return dim
-
 
 def duplicate_keys(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that would make a lookup multiply rows."""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,10 +25,10 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``.
+    """Folder named by ``spark.checkpoint.dir``, which all executors share.
 
-    A machine-local folder is made only for a local master, where driver and
-    executors are one process.
+    Where it is unset, a local master (tests, trials) uses a folder in the warehouse;
+    a cluster is refused, because a folder of one machine would not do.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -39,19 +38,24 @@ def shared_folder(spark: SparkSession) -> str:
         return held.rsplit("/", 1)[0]
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="closebook-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/shared"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: computed once, read back after an executor loss."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+    """A new, unused path below the shared folder, deleted when the session's JVM ends."""
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    # Only a path that exists can be marked; whoever writes it wants it to be new.
+    system.mkdirs(place)
+    system.deleteOnExit(place)
+    system.delete(place, True)
+    return path
+
+
+def cut_lineage(df: DataFrame, name: str = "hand-off") -> DataFrame:
+    """Computed once and written to the shared folder: read back after an executor loss,
+    and its size is known to later joins."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -106,20 +106,11 @@ def test_membership(frame, rows):
     assert rows(mapped) == [("Q1", 1), ("b", 2), (None, 3)]
 
 
-def test_bounded_hints_only_small_dimensions(spark):
-    dim = spark.range(100)
-    assert "broadcast" in lookups.bounded(dim, 100)._jdf.queryExecution().logical().toString().lower()
-    large = spark.range(101)
-    kept = lookups.bounded(large, 100)
-    assert "broadcast" not in kept._jdf.queryExecution().logical().toString().lower()
-    assert not kept.storageLevel.useMemory
-
-
 def test_large_dimension_joins_the_same_without_broadcast(spark, rows):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         df = spark.range(2000).selectExpr("if(id % 3 = 0, 0, id) AS k", "id AS v")
-        dim = lookups.bounded(spark.range(500).selectExpr("id AS k", "id * 2 AS d"), max_rows=10)
+        dim = spark.range(500).selectExpr("id AS k", "id * 2 AS d")
         joined = lookups.left_lookup(df, dim, ["k"])
         assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
         assert joined.count() == 2000
@@ -159,3 +150,18 @@ def test_forward_fill_over_dates_and_empty(frame):
     df = frame([("2022-01-01", "a"), ("2022-01-03", None)], "t string, v string")
     df = df.select(F.to_date("t").alias("o"), "v")
     assert [r.v for r in fill.forward_fill(df, "o", ["v"]).orderBy("o").collect()] == ["a", "a"]
+
+
+def test_forward_fill_over_more_than_a_thousand_slices(frame):
+    data = [(i, "b" if i % 2 else None, "x" if i % 700 == 3 else None) for i in range(2600)]
+    df = frame(data, "o long, g string, v string")
+    sliced = fill.with_slices(df, "o", slices=1300)
+    assert sliced.select("_slice").distinct().count() > 1000
+    both = fill.fill_slices(fill.fill_slices(sliced, "o", ["v"]), "o", ["g"])
+    assert {r.o: r.v for r in both.collect()} == _python_fill(data, False)
+
+
+def test_slices_follow_the_row_count(frame, monkeypatch):
+    monkeypatch.setattr(fill, "SLICE_ROWS", 10)
+    sliced = fill.with_slices(frame([(i,) for i in range(95)], "o long"), "o")
+    assert sliced.select("_slice").distinct().count() == 10
