@@ -2,25 +2,21 @@
 
 Cash flows are line items with their order and supplier, actual payments and
 margins are orders, ledger postings are orders by account. Every table is
-used whole. Lookups that follow from the tables are counted before they may
-be broadcast.
+used whole. Calendars are literal, so building an input starts no job.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from closebook.functions import dates
-from closebook.operators.lookups import bounded
+from closebook.functions.money import null_if_nan
 from closebook.operators.valuation import wide_curves, widen_curves
-from closebook.params import CloseParams
+from closebook.params import OPENING_EXPOSURE, CloseParams
+from closebook.plans import runs
 
-PARAMS = CloseParams(
-    closing=dt.date(1998, 3, 31), opening=dt.date(1997, 12, 31), plan_year=1998
-)
+PARAMS = CloseParams.for_closing("31.03.1998")
 
 # Fixed values of the derived inputs.
 SEGMENTS = ("PRI", "PRH", "LRI", "LRH")
@@ -31,6 +27,9 @@ CODES = (
 CURRENCIES = ("EUR", "CZK", "HUF", "TWD", "JPY", "KRW", "ISK", "USD", "XXX")
 CURVES = ("tyc", "ycu_31_12", "tyc_shift", "ycu_31_12_shift", "ycu_31_03")
 NUMBERS = 200
+#: First month end and number of months of the curves; first and last year of portfolios.
+FIRST_MONTH, MONTHS = "1991-12-31", 240
+FIRST_YEAR, LAST_YEAR = 1990, 2011
 UNMAPPED_CODE = "Y999"
 DOUBLE_CODE = "Y204"
 
@@ -75,19 +74,10 @@ class StarInputs:
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
-
-    def fact(self, name: str, *keys: str) -> DataFrame:
-        """A fact table; one with fewer row groups than cores is dealt out first.
-
-        Large tables have more partitions than cores and are read as they are.
-        """
-        df = self.table(name)
-        cores = self.spark.sparkContext.defaultParallelism
-        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
-
-    def lines(self) -> DataFrame:
-        return self.fact("lineitem", "l_orderkey", "l_linenumber", "l_partkey")
+        """A given table; NaN in a double counts as no value."""
+        df = self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
+        doubles = [f.name for f in df.schema if f.dataType.typeName() == "double"]
+        return df.withColumns({c: null_if_nan(F.col(c)) for c in doubles})
 
     # --- facts ------------------------------------------------------------
 
@@ -109,16 +99,35 @@ class StarInputs:
         )
 
     def bcm(self) -> DataFrame:
-        return self._bcm(self.lines())
+        return self._bcm(self.table("lineitem"))
 
     def bcm_open(self) -> DataFrame:
-        """The opening book: first lines of all orders, opening exposure."""
-        first = self.lines().filter(F.col("l_linenumber") == 1)
-        return self._bcm(first).withColumn("I17EXPCHANGE", F.lit(10))
+        """The opening book: all lines, at opening exposure."""
+        return self.bcm().withColumn("I17EXPCHANGE", F.lit(OPENING_EXPOSURE))
 
     def bcm_new(self) -> DataFrame:
-        """The new book: all other lines."""
-        return self._bcm(self.lines().filter(F.col("l_linenumber") != 1))
+        """The new book: all lines."""
+        return self.bcm()
+
+    def bcm_runs(self) -> DataFrame:
+        """The rows of both runs from one scan, tagged in ``run``.
+
+        Every line is a row of the opening book and, by its own exposure, of
+        the new book's opening or closing rows.
+        """
+        books = F.array(
+            F.struct(F.lit(runs.OPENING).alias("run"), F.lit(OPENING_EXPOSURE).alias("exposure")),
+            F.struct(
+                F.when(F.col("I17EXPCHANGE") == OPENING_EXPOSURE, F.lit(runs.OPENING))
+                .otherwise(F.lit(runs.CLOSING))
+                .alias("run"),
+                F.col("I17EXPCHANGE").alias("exposure"),
+            ),
+        )
+        tagged = self.bcm().withColumn("_book", F.explode(books))
+        return tagged.withColumns(
+            {"run": F.col("_book.run"), "I17EXPCHANGE": F.col("_book.exposure")}
+        ).drop("_book")
 
     def act(self) -> DataFrame:
         value = "o_totalprice * (1 - 2 * (o_orderkey % 2))"
@@ -159,10 +168,15 @@ class StarInputs:
 
     # --- curves and rates -------------------------------------------------
 
-    def _nodes(self) -> DataFrame:
-        """Month end and currency of the curves; November has no factors."""
-        month = dates.align_month_end(F.to_date("l_shipdate"))
-        months = self.table("lineitem").select(month.alias("day")).distinct()
+    def _nodes(self, months: DataFrame | None = None) -> DataFrame:
+        """Month end and currency of the curves; November has no factors.
+
+        The months are a literal calendar unless given.
+        """
+        if months is None:
+            months = self.spark.range(MONTHS).selectExpr(
+                f"last_day(add_months(DATE'{FIRST_MONTH}', CAST(id AS INT))) AS day"
+            )
         listed = ", ".join(f"'{c}'" for c in CURRENCIES)
         return months.filter("month(day) <> 11").selectExpr(
             "day", f"explode(array({listed})) AS I17ESTCURR"
@@ -172,17 +186,19 @@ class StarInputs:
     def _factor(k: int | str) -> str:
         return f"997D / (997 + 2 * {k} * (12 * year(day) + month(day) - 23976)) AS I17DISCFACT"
 
-    def curve(self, name: str) -> DataFrame:
+    def _curve(self, name: str, months: DataFrame | None = None) -> DataFrame:
         """One curve as its file would hold it: integer or dotted-text dates."""
         k = CURVES.index(name) + 1
         shown = _ymd("day") if k in (1, 3) else "date_format(day, 'dd.MM.yyyy')"
-        return self._nodes().selectExpr(
+        return self._nodes(months).selectExpr(
             f"{shown} AS I17DISCDATE", "I17ESTCURR", self._factor(k)
         )
 
     def curve_files(self) -> DataFrame:
-        """The wide table from five separate curves."""
-        return wide_curves({name: self.curve(name) for name in CURVES})
+        """The wide table from five separate curves over the months of the line items."""
+        month = dates.align_month_end(F.to_date("l_shipdate"))
+        months = self.table("lineitem").select(month.alias("day")).distinct()
+        return wide_curves({name: self._curve(name, months) for name in CURVES})
 
     def curves(self, **names: str) -> DataFrame:
         """Wide curve table from stacked curves; ``alias=curve`` pairs, all five
@@ -199,7 +215,7 @@ class StarInputs:
                 "day AS date_adjusted", "I17ESTCURR", "item.name AS curve", self._factor("item.k")
             )
         )
-        return bounded(widen_curves(stacked, list(chosen)))
+        return widen_curves(stacked, list(chosen))
 
     def rates_open(self) -> DataFrame:
         rows = [(c, 2.0 * i + 3) for i, c in enumerate(CURRENCIES) if c not in ("EUR", "XXX")]
@@ -255,14 +271,12 @@ class StarInputs:
         """Contract (segment form) -> local portfolio; every eleventh is missing."""
         segments = ", ".join(f"'{s}'" for s in SEGMENTS)
         listed = (
-            self.table("orders")
-            .selectExpr("year(o_orderdate) AS year")
-            .distinct()
-            .selectExpr("year", f"explode(array({segments})) AS seg")
+            self.spark.range(FIRST_YEAR, LAST_YEAR)
+            .selectExpr("id AS year", f"explode(array({segments})) AS seg")
             .selectExpr("*", "explode(array('ON', 'NO')) AS marker")
             .selectExpr("*", f"explode(sequence(0, {NUMBERS - 1})) AS n")
         )
-        return bounded(self._placed(listed, "concat(seg, '_', year, '_', marker, '_', n)"))
+        return self._placed(listed, "concat(seg, '_', year, '_', marker, '_', n)")
 
     def portfolios_by_tail(self) -> DataFrame:
         """The same for the two-part contract key of the closing balance."""

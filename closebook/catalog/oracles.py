@@ -62,7 +62,7 @@ def _life(x: str) -> str:
 _VIEWS: dict[str, str] = {}
 
 _VIEWS["bcm0"] = f"""
-SELECT l_linenumber AS line,
+SELECT
   'CZR_ACP_' || ({_SEGMENTS})[l_suppkey % 4 + 1] || '_P' || (500 + l_partkey % 5) || '_' || year(o_orderdate)
     || '_' || CASE WHEN l_returnflag = 'R' THEN 'ON' ELSE 'NO' END || '_' || (l_partkey % 200)
     || CASE WHEN l_linenumber % 3 = 0 THEN '/1' ELSE '' END AS I17REFOBJID,
@@ -216,8 +216,8 @@ def _rounded_pv(names: tuple[str, ...], rates: str, source: str) -> str:
     ) + f" FROM ({step4})"
 
 
-_VIEWS["bcm_open"] = "SELECT * REPLACE (10 AS I17EXPCHANGE) FROM bcm WHERE line = 1"
-_VIEWS["bcm_new"] = "SELECT * FROM bcm WHERE line <> 1"
+_VIEWS["bcm_open"] = "SELECT * REPLACE (10 AS I17EXPCHANGE) FROM bcm"
+_VIEWS["bcm_new"] = "SELECT * FROM bcm"
 _OPEN4 = _CURVES[:4]
 
 
@@ -694,9 +694,10 @@ _state("single_contract", _count(
 _state("distinct_pairs", f"""
 SELECT DISTINCT local_portfolio, I17COSTREVENUE
 FROM (SELECT *, {_form_segment('I17REFOBJID')} AS contract FROM bcm) b JOIN portfolios p ON p.contract = b.contract""")
-_state("union_books", _count(
-    f"{_life('I17REFOBJID')} AS zivot_nezivot, CASE WHEN substr(split_part(I17REFOBJID, '_', 3), 1, 1) = 'L' "
-    "THEN NULL ELSE CAST(I17KEYDATE AS VARCHAR) END AS I17KEYDATE"))
+_state("union_books", f"""
+SELECT I17COSTREVENUE, I17ESTCURR, count(*) AS n, {_sum('I17ESTAMOUNT')} FROM (
+  SELECT I17COSTREVENUE, I17ESTCURR, I17ESTAMOUNT FROM bcm UNION ALL SELECT code, NULL, v FROM act0)
+GROUP BY I17COSTREVENUE, I17ESTCURR""")
 _state("sample_scan", """
 SELECT o_orderkey, o_custkey, round(o_totalprice, 2) AS o_totalprice FROM orders ORDER BY o_orderkey LIMIT 1000""")
 _state("ffill", """
@@ -708,3 +709,16 @@ SELECT o_orderkey, o_custkey % 5 AS grp,
 FROM orders""")
 _state("scan_decimal_comma", f"SELECT I17COSTREVENUE, {_sum('I17ESTAMOUNT', 'amount')} FROM bcm GROUP BY I17COSTREVENUE")
 STATEMENTS["csv_sink_roundtrip"] = STATEMENTS["bcm_balance_open"]
+STATEMENTS["scan_decimal_point"] = STATEMENTS["scan_decimal_comma"]
+STATEMENTS["result_table_roundtrip"] = STATEMENTS["bcm_balance_open"]
+_state("decimal_scan", """
+SELECT 'I' || (o_custkey % 99) AS account, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS amount
+FROM orders GROUP BY account""")
+_state("nan_as_null", f"""
+SELECT 'I' || (o_custkey % 99) AS account,
+  {_sum('CASE WHEN o_orderkey % 5 <> 0 THEN CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS DOUBLE) END', 'amount')}
+FROM orders GROUP BY account""")
+_state("ccy_rounding_base", f"""
+SELECT I17ESTCURR, {_sum("CASE WHEN I17ESTCURR IN ('HUF','ISK','JPY','KRW') THEN round_even(nominal, 0) ELSE nominal END", 'nominal')}
+FROM (SELECT I17ESTCURR, I17ESTAMOUNT / CASE WHEN I17ESTCURR = 'EUR' THEN 1 ELSE rate END AS nominal
+      FROM bcm LEFT JOIN fx_open ON ccy = I17ESTCURR) GROUP BY I17ESTCURR""")

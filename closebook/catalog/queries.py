@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from closebook import schemas
 from closebook.catalog.inputs import CODES, CURVES, PARAMS, StarInputs
 from closebook.functions import dates, ids, money
 from closebook.operators import classify, fill, grouping, lookups, valuation
+from closebook.params import WHOLE_EUR_CURRENCIES
 from closebook.plans import balances, ledger, movements, runs
 from closebook.session import fresh_path
 from closebook.sources import delimited, tables
@@ -239,12 +240,10 @@ def tag_origin(given):
 
 @query
 def semi_anti_split(given):
+    """Contracts that a table lists, and all others: summed first, split in one pass."""
     df = classify.derive_contract(given.bcm(), "tail2")
-    inside, outside = lookups.semi_anti(df, given.old_contracts(), "contract")
-    both = inside.withColumn("side", F.lit("semi")).unionByName(
-        outside.withColumn("side", F.lit("anti"))
-    )
-    return counted(both, ["side", "contract"], ["I17ESTAMOUNT"])
+    summed = counted(df, ["contract"], ["I17ESTAMOUNT"])
+    return lookups.tag_members(summed, given.old_contracts(), "contract", "side", "semi", "anti")
 
 
 def _closing_curves(given: StarInputs) -> DataFrame:
@@ -275,18 +274,22 @@ def fanout_lookup(given):
     return lookups.left_lookup(summed, given.accounts_by_code(), ["I17COSTREVENUE"])
 
 
+def _by_account(given: StarInputs) -> DataFrame:
+    """Cash flows summed by code and currency, then by their accounts."""
+    summed = counted(given.bcm(), ["I17COSTREVENUE", "I17ESTCURR"], ["I17ESTAMOUNT"])
+    return lookups.left_lookup(summed, given.accounts_by_code(), ["I17COSTREVENUE"])
+
+
 @query
 def group_sum_dropnull(given):
     """Unmatched accounts leave the sum; the diagnostic row says how much."""
-    df = lookups.left_lookup(given.bcm(), given.accounts_by_code(), ["I17COSTREVENUE"])
-    kept = grouping.group_sum(df, ["account", "I17ESTCURR"], ["I17ESTAMOUNT"])
-    return kept
+    return grouping.group_sum(_by_account(given), ["account", "I17ESTCURR"], ["I17ESTAMOUNT"])
 
 
 @query
 def dropped_amounts(given):
-    df = lookups.left_lookup(given.bcm(), given.accounts_by_code(), ["I17COSTREVENUE"])
-    return grouping.dropped_by_null_key(df, ["account", "I17ESTCURR"], ["I17ESTAMOUNT"])
+    keys = ["account", "I17ESTCURR"]
+    return grouping.dropped_by_null_key(_by_account(given), keys, ["I17ESTAMOUNT"], rows="n")
 
 
 # --- balances -------------------------------------------------------------
@@ -394,8 +397,9 @@ def portfolio_balance_open(given):
 
 @query
 def control_totals(given):
-    by_component = tables.hand_off(balances.component_balances(_open_components(given)))
-    return balances.control_totals(by_component)
+    # Each component is read by itself and by the balance: handed over once.
+    each = [tables.hand_off(c) for c in balances.component_balances(_open_components(given))]
+    return balances.control_totals(each, balances.portfolio_balance_open(each))
 
 
 @query
@@ -448,8 +452,16 @@ def bcm_reduction(given):
     )
 
 
-def _ir(given: StarInputs, make) -> DataFrame:
-    return make(given.bcm_open(), given.bcm_new(), given.rates_open(), given.curves(), PARAMS)
+def _ir(given: StarInputs) -> DataFrame:
+    both = given.bcm_runs().filter(F.col("run") == runs.OPENING)
+    return runs.opening_rows_of(both, given.rates_open(), given.curves(), PARAMS)
+
+
+def _both_runs(given: StarInputs) -> DataFrame:
+    balance = valuation.balance_rates(given.rates_close())
+    return runs.tagged_rows(
+        given.bcm_runs(), given.rates_open(), balance, given.curves(), PARAMS
+    )
 
 
 def _sm(given: StarInputs, make) -> DataFrame:
@@ -459,7 +471,7 @@ def _sm(given: StarInputs, make) -> DataFrame:
 
 @query
 def ir_rollforward(given):
-    return _ir(given, runs.opening_rollforward)
+    return runs.summed_opening(_ir(given), PARAMS)
 
 
 @query
@@ -481,23 +493,21 @@ def onerous_check(given):
 @query
 def pl_movement_ir(given):
     return movements.movement_ir(
-        _ir(given, runs.opening_rows), given.accounts_by_code("IR"), given.rates_close(), PARAMS
+        _ir(given), given.accounts_by_code("IR"), given.rates_close(), PARAMS
     )
 
 
 @query
 def pl_movement_lrc(given):
-    return movements.movement_lrc(
-        _ir(given, runs.opening_rows), _sm(given, runs.closing_rows),
-        given.accounts_by_code("LRC"), given.rates_close(), PARAMS,
+    return movements.movement_lrc_of(
+        _both_runs(given), given.accounts_by_code("LRC"), given.rates_close(), PARAMS
     )
 
 
 @query
 def pl_movement_lic_past(given):
-    return movements.movement_lic_past(
-        _ir(given, runs.opening_rows), _sm(given, runs.closing_rows),
-        given.accounts_by_code("LIC"), given.rates_close(), PARAMS,
+    return movements.movement_lic_past_of(
+        _both_runs(given), given.accounts_by_code("LIC"), given.rates_close(), PARAMS
     )
 
 
@@ -557,8 +567,10 @@ def _field_dictionary(spark: SparkSession) -> DataFrame:
         "/BA1C/BTPOSTDT": "Posting Date",
         "/BA1/BIL_CURR": "Currency",
     }
-    rows = ", ".join(f"('{f}', '{named.get(f, 'Field ' + f)}')" for f in schemas.LEDGER_FIELDS)
-    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(Field, Name)")
+    rows = ", ".join(
+        f"('{f}', '{named.get(f, 'Field ' + f)}', {i})" for i, f in enumerate(schemas.LEDGER_FIELDS)
+    )
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(Field, Name, Position)")
 
 
 def _extract_totals(raw: DataFrame, given: StarInputs) -> DataFrame:
@@ -586,8 +598,12 @@ def headerless_scan(given):
 
 @query
 def ledger_project(given):
+    """Wanted columns of the files, written to one folder by file name and read back."""
     columns = ["o_orderkey", "o_custkey", "o_totalprice"]
-    files = ledger.ledger_project(given.table("orders"), columns)
+    path = fresh_path(given.spark, "by-source")
+    delimited.write_by_source(ledger.ledger_project(given.table("orders"), columns), path)
+    schema = "src string, o_orderkey bigint, o_custkey bigint, o_totalprice double"
+    files = delimited.read_delimited(given.spark, path, schema, decimal=".")
     return files.groupBy("src", (F.col("o_custkey") % 99).alias("account")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("amount")
     )
@@ -608,9 +624,10 @@ def _assigned(df: DataFrame, source: str) -> DataFrame:
 
 @query
 def portfolio_lookup(given):
-    found = lookups.bounded(ledger.portfolio_lookup(_assigned(given.bcm(), "I17REFOBJID")))
-    results = ledger.enrich_with_portfolio(_assigned(given.act(), "I17PORTID"), found)
-    return counted(results, ["contract", "local_portfolio"])
+    """Payments counted by contract, then placed; pairs of contract and portfolio are distinct."""
+    found = ledger.portfolio_lookup(_assigned(given.bcm(), "I17REFOBJID"))
+    results = counted(ledger.portfolio_contracts(_assigned(given.act(), "I17PORTID")), ["contract"])
+    return lookups.left_lookup(results, found, ["contract"])
 
 
 @query
@@ -645,13 +662,13 @@ def distinct_pairs(given):
 
 @query
 def union_books(given):
-    """Life and non-life book; one of them lacks the key date."""
-    df = classify.derive_contract(given.bcm(), "segment")
-    life = df.filter(F.col("zivot_nezivot") == "zivot").drop("I17KEYDATE")
-    other = df.filter(F.col("zivot_nezivot") == "nezivot")
-    books = grouping.union_books([other, life])
-    books = books.withColumn("I17KEYDATE", F.col("I17KEYDATE").cast("string"))
-    return counted(books, ["zivot_nezivot", "I17KEYDATE"], ["I17ESTAMOUNT"])
+    """Cash flows and actual payments; the payments lack the currency."""
+    flows = given.bcm().select("I17COSTREVENUE", "I17ESTCURR", "I17ESTAMOUNT")
+    paid = given.act().select(
+        F.col("I17CFTYPE").alias("I17COSTREVENUE"), F.col("I17VALUE").alias("I17ESTAMOUNT")
+    )
+    books = grouping.union_books([flows, paid])
+    return counted(books, ["I17COSTREVENUE", "I17ESTCURR"], ["I17ESTAMOUNT"])
 
 
 @query
@@ -672,8 +689,9 @@ def ffill(given):
         F.when(key % 7 == 0, F.col("o_orderpriority")).alias("label"),
         F.when(key % 11 == 0, F.col("o_totalprice")).alias("amount"),
     )
-    whole = fill.forward_fill(df, "o_orderkey", ["label"])
-    return fill.forward_fill(whole, "o_orderkey", ["amount"], ["grp"])
+    sliced = fill.with_slices(df, "o_orderkey")
+    whole = fill.fill_slices(sliced, "o_orderkey", ["label"])
+    return fill.fill_slices(whole, "o_orderkey", ["amount"], ["grp"]).drop("_slice")
 
 
 def _comma_files(given: StarInputs) -> str:
@@ -700,11 +718,70 @@ def csv_sink_roundtrip(given):
     return delimited.read_delimited(given.spark, path, schema)
 
 
+@query
+def scan_decimal_point(given):
+    """The same through comma files with decimal point."""
+    path = fresh_path(given.spark, "cashflows")
+    delimited.write_delimited(given.bcm(), path, sep=",", decimal=".")
+    read = delimited.read_delimited(given.spark, path, schemas.CASH_FLOWS, sep=",", decimal=".")
+    return ledger.code_totals(read).withColumnRenamed("I17ESTAMOUNT", "amount")
+
+
+@query
+def decimal_scan(given):
+    """Ledger amounts as exact decimals, through files with decimal comma."""
+    amount = F.col("o_totalprice").cast("decimal(18,2)").alias("amount")
+    posted = given.table("orders").select(_account().alias("account"), amount)
+    path = fresh_path(given.spark, "decimals")
+    delimited.write_delimited(posted, path)
+    read = delimited.read_delimited(given.spark, path, "account string, amount decimal(18,2)")
+    return read.groupBy("account").agg(F.sum("amount").cast("double").alias("amount"))
+
+
+def _account() -> Column:
+    return F.concat(F.lit("I"), (F.col("o_custkey") % 99).cast("string"))
+
+
+@query
+def nan_as_null(given):
+    """Every fifth amount of an extract is the text NaN; sums leave it out."""
+    amount = F.when(F.col("o_orderkey") % 5 == 0, F.lit("NaN")).otherwise(
+        F.translate(F.col("o_totalprice").cast("decimal(18,2)").cast("string"), ".", ",")
+    )
+    path = fresh_path(given.spark, "nan")
+    posted = given.table("orders").select(_account().alias("account"), amount.alias("amount"))
+    posted.write.csv(path, sep=";", header=True)
+    read = delimited.read_delimited(given.spark, path, "account string, amount double")
+    return grouping.group_sum(read, ["account"], ["amount"])
+
+
+@query
+def result_table_roundtrip(given):
+    """A balance as result table in one folder for each segment, and read back."""
+    path = fresh_path(given.spark, "result")
+    tables.write_result(bcm_balance_open(given), path, partition_by=["ri_rh"])
+    read = tables.read_result(given.spark, path)
+    return read.select("ri_rh", *[c for c in read.columns if c != "ri_rh"])
+
+
+@query
+def ccy_rounding_base(given):
+    """The second currency set: whole base-currency amounts for four currencies."""
+    rated = valuation.with_rate(given.bcm(), given.rates_open(), PARAMS.base_currency)
+    nominal = money.divide(F.col("I17ESTAMOUNT"), F.col("EXCHANGE_RATE"))
+    whole = valuation.round_currencies(
+        rated.withColumn("nominal", nominal), WHOLE_EUR_CURRENCIES, ["nominal"]
+    )
+    return grouping.group_sum(whole, ["I17ESTCURR"], ["nominal"])
+
+
 @query
 def run_hand_off(given):
-    """Both runs handed over once, then read by a movement."""
-    ir = tables.hand_off(_ir(given, runs.opening_rollforward))
-    sm = tables.hand_off(_sm(given, runs.closing_run))
+    """Both runs summed and handed over once, then read by a movement."""
+    keys = ["run", *runs.RUN_KEYS]
+    summed = grouping.group_sum(_both_runs(given), keys, runs.run_measures(runs.CLOSING_CURVES))
+    held = tables.hand_off(summed)
+    ir, sm = (held.filter(F.col("run") == name) for name in (runs.OPENING, runs.CLOSING))
     return movements.movement_lrc(
         ir, sm, given.accounts_by_code("LRC"), given.rates_close(), PARAMS
     )

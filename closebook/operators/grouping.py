@@ -45,14 +45,18 @@ def group_sum(
 
 
 def dropped_by_null_key(
-    df: DataFrame, keys: Sequence[str], measures: Iterable[str]
+    df: DataFrame, keys: Sequence[str], measures: Iterable[str], rows: str | None = None
 ) -> DataFrame:
-    """One row: how many rows and how much ``group_sum`` leaves out."""
+    """One row: how many rows and how much ``group_sum`` leaves out.
+
+    ``rows`` names the row counts of a table that is summed already.
+    """
+    dropped = F.count(F.lit(1)) if rows is None else F.coalesce(F.sum(rows), F.lit(0))
     any_null = F.lit(False)
     for key in keys:
         any_null = any_null | F.col(key).isNull()
     return df.filter(any_null).agg(
-        F.count(F.lit(1)).alias("rows_dropped"),
+        dropped.alias("rows_dropped"),
         *[zero_if_null(F.sum(F.col(m))).alias(m) for m in measures],
     )
 

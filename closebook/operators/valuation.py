@@ -63,6 +63,21 @@ def with_rate(df: DataFrame, rates: DataFrame, force_base: str | None = None) ->
     return rated.withColumn(RATE, forced)
 
 
+def with_rate_by(
+    df: DataFrame, sets: Mapping[str, DataFrame], tag: str, force_base: str
+) -> DataFrame:
+    """Attach rates from the set that the row's ``tag`` names, the base currency at 1."""
+    parts = [
+        rates.select(F.col("FROM_CURRENCY").alias(CURRENCY), RATE, F.lit(name).alias(tag))
+        for name, rates in sets.items()
+    ]
+    dim = parts[0]
+    for part in parts[1:]:
+        dim = dim.unionByName(part)
+    forced = F.when(F.col(CURRENCY) == force_base, F.lit(1.0)).otherwise(F.col(RATE))
+    return left_lookup(df, dim, [CURRENCY, tag]).withColumn(RATE, forced)
+
+
 def with_rate_by_exposure(
     df: DataFrame, opening: DataFrame, closing: DataFrame, params: CloseParams
 ) -> DataFrame:

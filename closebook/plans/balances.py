@@ -290,23 +290,21 @@ def portfolio_balance_close(components: Sequence[DataFrame]) -> DataFrame:
     return with_total(align(components, keys, parts, required), CLOSE_PARTS)
 
 
-def component_balances(components: Sequence[DataFrame]) -> DataFrame:
-    """Each component by portfolio and account, numbered in ``component``."""
-    return align(
-        [df.withColumn("component", F.lit(i)) for i, df in enumerate(components)],
-        [*OPEN_ACCOUNT_GRAIN, "component"],
-        OPEN_PARTS,
-    )
+def component_balances(components: Sequence[DataFrame]) -> list[DataFrame]:
+    """Each component by itself, summed by portfolio and account."""
+    return [align([df], OPEN_ACCOUNT_GRAIN, OPEN_PARTS) for df in components]
 
 
-def control_totals(by_component: DataFrame) -> DataFrame:
-    """Grand totals before and after the alignment; the two rows must agree.
+def control_totals(components: Sequence[DataFrame], balance: DataFrame) -> DataFrame:
+    """Grand totals of the components before, and of the balance after their alignment.
 
-    The component balances are read twice: hand them over first.
+    The two rows differ if the alignment doubled a row or lost a key.
+    ``components`` are summed one by one; hand them over first, as the balance
+    made of them reads them as well.
     """
-    aligned = group_sum(by_component, OPEN_ACCOUNT_GRAIN, OPEN_PARTS)
-    before = control_total(by_component, OPEN_PARTS).withColumn("stage", F.lit("before"))
-    after = control_total(aligned, OPEN_PARTS).withColumn("stage", F.lit("after"))
+    each = [control_total(df, OPEN_PARTS) for df in components]
+    before = control_total(union_books(each), OPEN_PARTS).withColumn("stage", F.lit("before"))
+    after = control_total(balance, OPEN_PARTS).withColumn("stage", F.lit("after"))
     return with_total(before.unionByName(after), OPEN_PARTS)
 
 

@@ -17,7 +17,7 @@ from closebook.operators.grouping import combine_runs, group_sum
 from closebook.operators.lookups import left_lookup
 from closebook.operators.valuation import average_rates, with_rate
 from closebook.params import CloseParams
-from closebook.plans.runs import TYC, TYC_SHIFT, YEAR_END, YEAR_END_SHIFT
+from closebook.plans.runs import CLOSING, TYC, TYC_SHIFT, YEAR_END, YEAR_END_SHIFT
 
 FIRST_QUARTER = "Q1"
 MOVEMENT_KEYS = ["contract", "I17COSTREVENUE", "lrc_lic", "I17ESTCURR"]
@@ -82,59 +82,83 @@ def movement_ir(ir: DataFrame, accounts: DataFrame, rates: DataFrame, params: Cl
     return valued.select(*keys, (-F.col("nominal")).alias("amount"), *euros, *originals)
 
 
+# Result name -> measure of the closing and of the opening run.
+_LRC = {
+    "amount_original_CCY": ("nominal_original_CCY", "nominal_original_CCY"),
+    _original(TYC_SHIFT): (_original(TYC_SHIFT), _original(TYC_SHIFT)),
+    _original(YEAR_END_SHIFT): (_original(YEAR_END_SHIFT), _original(YEAR_END_SHIFT)),
+}
+_LRC_BASE = {
+    "amount": "amount_original_CCY",
+    f"discount_{TYC_SHIFT}": _original(TYC_SHIFT),
+    f"discount_{YEAR_END_SHIFT}": _original(YEAR_END_SHIFT),
+}
+_LIC_PAST = {
+    "amount_original_CCY": ("nominal_original_CCY", "nominal_original_CCY"),
+    f"discount_{TYC}_change_original_CCY": (_original(TYC_SHIFT), _original(TYC)),
+    f"discount_{YEAR_END}_change_original_CCY": (_original(YEAR_END_SHIFT), _original(YEAR_END)),
+}
+_LIC_PAST_BASE = {
+    "amount": "amount_original_CCY",
+    f"discount_{TYC}_change": f"discount_{TYC}_change_original_CCY",
+    f"discount_{YEAR_END}_change": f"discount_{YEAR_END}_change_original_CCY",
+}
+
+
+def _run_change(
+    ir: DataFrame, sm: DataFrame, periods: list[str], inside: bool, measures: dict, params: CloseParams
+) -> DataFrame:
+    """Closing less opening, from two runs."""
+    opening = _selected(classify_run(ir, params, closing=False), periods, params, inside)
+    closing = _selected(classify_run(sm, params, closing=True), periods, params, inside)
+    return combine_runs(closing, opening, MOVEMENT_KEYS, measures, sign=-1)
+
+
+def _tagged_change(
+    rows: DataFrame, periods: list[str], inside: bool, measures: dict, params: CloseParams
+) -> DataFrame:
+    """The same from one table of both runs' rows: one pass, opening rows with the other sign."""
+    closing = F.col("run") == CLOSING
+    own = classify_run(rows, params, closing=False).withColumnRenamed("lrc_lic", "_opening_class")
+    own = class_by_code(own, params, first_quarter_is_claim=True)
+    own = own.withColumn("lrc_lic", F.when(closing, F.col("lrc_lic")).otherwise(F.col("_opening_class")))
+    signed = _selected(own, periods, params, inside).select(
+        *MOVEMENT_KEYS,
+        *[F.when(closing, F.col(c)).otherwise(-F.col(o)).alias(m) for m, (c, o) in measures.items()],
+    )
+    return group_sum(signed, MOVEMENT_KEYS, list(measures))
+
+
 def movement_lrc(
     ir: DataFrame, sm: DataFrame, accounts: DataFrame, rates: DataFrame, params: CloseParams
 ) -> DataFrame:
     """Coverage: closing less opening, first-quarter opening rows left out."""
-    left_out = [params.past_label, FIRST_QUARTER]
-    opening = _selected(classify_run(ir, params, closing=False), left_out, params, inside=False)
-    closing = _selected(classify_run(sm, params, closing=True), left_out, params, inside=False)
-    shifted, shifted_year = _original(TYC_SHIFT), _original(YEAR_END_SHIFT)
-    change = combine_runs(
-        closing,
-        opening,
-        MOVEMENT_KEYS,
-        {
-            "amount_original_CCY": ("nominal_original_CCY", "nominal_original_CCY"),
-            shifted: (shifted, shifted),
-            shifted_year: (shifted_year, shifted_year),
-        },
-        sign=-1,
-    )
-    columns = {
-        "amount": "amount_original_CCY",
-        f"discount_{TYC_SHIFT}": shifted,
-        f"discount_{YEAR_END_SHIFT}": shifted_year,
-    }
-    return _posted(change, accounts, rates, columns, params)
+    change = _run_change(ir, sm, [params.past_label, FIRST_QUARTER], False, _LRC, params)
+    return _posted(change, accounts, rates, _LRC_BASE, params)
+
+
+def movement_lrc_of(
+    rows: DataFrame, accounts: DataFrame, rates: DataFrame, params: CloseParams
+) -> DataFrame:
+    """``movement_lrc`` of the tagged rows of both runs."""
+    change = _tagged_change(rows, [params.past_label, FIRST_QUARTER], False, _LRC, params)
+    return _posted(change, accounts, rates, _LRC_BASE, params)
 
 
 def movement_lic_past(
     ir: DataFrame, sm: DataFrame, accounts: DataFrame, rates: DataFrame, params: CloseParams
 ) -> DataFrame:
     """Past claims: closing on shifted curves less opening on unshifted ones."""
-    opening = _selected(classify_run(ir, params, closing=False), [params.past_label], params)
-    closing = _selected(classify_run(sm, params, closing=True), [params.past_label], params)
-    change = combine_runs(
-        closing,
-        opening,
-        MOVEMENT_KEYS,
-        {
-            "amount_original_CCY": ("nominal_original_CCY", "nominal_original_CCY"),
-            f"discount_{TYC}_change_original_CCY": (_original(TYC_SHIFT), _original(TYC)),
-            f"discount_{YEAR_END}_change_original_CCY": (
-                _original(YEAR_END_SHIFT),
-                _original(YEAR_END),
-            ),
-        },
-        sign=-1,
-    )
-    columns = {
-        "amount": "amount_original_CCY",
-        f"discount_{TYC}_change": f"discount_{TYC}_change_original_CCY",
-        f"discount_{YEAR_END}_change": f"discount_{YEAR_END}_change_original_CCY",
-    }
-    return _posted(change, accounts, rates, columns, params)
+    change = _run_change(ir, sm, [params.past_label], True, _LIC_PAST, params)
+    return _posted(change, accounts, rates, _LIC_PAST_BASE, params)
+
+
+def movement_lic_past_of(
+    rows: DataFrame, accounts: DataFrame, rates: DataFrame, params: CloseParams
+) -> DataFrame:
+    """``movement_lic_past`` of the tagged rows of both runs."""
+    change = _tagged_change(rows, [params.past_label], True, _LIC_PAST, params)
+    return _posted(change, accounts, rates, _LIC_PAST_BASE, params)
 
 
 def movement_lic_current(

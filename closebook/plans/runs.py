@@ -19,10 +19,13 @@ from closebook.operators.valuation import (
     with_buckets,
     with_factors,
     with_rate,
+    with_rate_by,
     with_rate_by_exposure,
 )
 from closebook.params import CLOSING_EXPOSURE, OPENING_EXPOSURE, CloseParams
 
+# Tags of the runs, where the rows of both are one table.
+OPENING, CLOSING = "opening", "closing"
 RUN_KEYS = [
     "contract", "I17EXPCHANGE", "I17COSTREVENUE", "I17KEYDATE", "I17ESTCURR",
     "settlement", "incurred",
@@ -71,6 +74,13 @@ def opening_rows(
     """Opening book plus opening-exposure rows of the new book, not yet summed."""
     late = new.filter(F.col("I17EXPCHANGE") == OPENING_EXPOSURE)
     both = opening.unionByName(late, allowMissingColumns=True)
+    return opening_rows_of(both, rates, curves, params)
+
+
+def opening_rows_of(
+    both: DataFrame, rates: DataFrame, curves: DataFrame, params: CloseParams
+) -> DataFrame:
+    """The same where one table holds the rows of both books."""
     df = valued_rows(both, rates, curves, OPENING_CURVES, params)
     df = shift_correction(df, UNSHIFTED)
     return df.select(*RUN_KEYS, *run_measures(OPENING_CURVES))
@@ -78,7 +88,10 @@ def opening_rows(
 
 def opening_rollforward(opening, new, rates, curves, params: CloseParams) -> DataFrame:
     """The opening run: both sources summed on seven keys in one shuffle."""
-    rows = opening_rows(opening, new, rates, curves, params)
+    return summed_opening(opening_rows(opening, new, rates, curves, params), params)
+
+
+def summed_opening(rows: DataFrame, params: CloseParams) -> DataFrame:
     summed = group_sum(rows, RUN_KEYS, run_measures(OPENING_CURVES))
     # The charge uses unshifted curves only, which the correction leaves alone.
     return npr_columns(summed, [TYC, YEAR_END], params)
@@ -105,6 +118,28 @@ def closing_run(new, rates, curves, params: CloseParams) -> DataFrame:
     )
 
 
+def tagged_rows(
+    rows: DataFrame,
+    opening_rates: DataFrame,
+    closing_rates: DataFrame,
+    curves: DataFrame,
+    params: CloseParams,
+) -> DataFrame:
+    """Rows of both runs, tagged in ``run``, valued in one pass and not yet summed.
+
+    Each run has its own rates; dates, buckets, factors and corrections are
+    the same. ``closing_rates`` are currency and rate of one type.
+    """
+    df = with_buckets(with_aligned_date(rows), params, by="window")
+    rates = {OPENING: opening_rates, CLOSING: closing_rates}
+    df = with_rate_by(df, rates, "run", params.base_currency)
+    df = with_factors(df, curves, CLOSING_CURVES, params.opening)
+    df = rounded_present_values(df, CLOSING_CURVES, params)
+    df = fill_missing(df.withColumn("contract", F.col("I17REFOBJID")), keys=RUN_KEYS)
+    df = shift_correction(df, UNSHIFTED)
+    return df.select("run", *RUN_KEYS, *run_measures(CLOSING_CURVES))
+
+
 def bcm_reduction(bcm, opening_rates, closing_rates, curves, params: CloseParams) -> DataFrame:
     """Cash flows reduced to year/quarter buckets with three discounts.
 

@@ -191,8 +191,22 @@ def test_opening_balance_and_charge(book, rates, curves, lookups, rows):
     assert {round(r[4], 6) for r in rows(separate)} == {round(-0.003 * 22.5, 6)}
     only_rh = balances.npr_charge(codes, charges, PARAMS, balances.OPEN_ACCOUNT_GRAIN, segments=["RH"])
     assert [r[0] for r in rows(only_rh)] == ["RH"]
-    stages = {r.stage: r for r in balances.control_totals(balances.component_balances([one_pass])).collect()}
-    assert stages["before"].total_balance == pytest.approx(stages["after"].total_balance)
+    each = balances.component_balances([one_pass])
+    good = balances.portfolio_balance_open(each)
+
+    def totals(balance):
+        found = balances.control_totals(each, balance).collect()
+        return {r.stage: r.total_balance for r in found}
+
+    stages = totals(good)
+    assert stages["before"] == pytest.approx(stages["after"]) and stages["before"] != 0
+    # A lookup row that is there twice, or a key that gets lost, shows.
+    doubled = totals(good.unionByName(good.limit(1)))
+    assert doubled["before"] != pytest.approx(doubled["after"])
+    twice = balances.portfolio_balance_open([*each, each[0]])
+    assert totals(twice)["before"] != pytest.approx(totals(twice)["after"])
+    lost = totals(good.filter(F.col("account") != good.first().account))
+    assert lost["before"] != pytest.approx(lost["after"])
 
 
 def test_closing_balance_by_origin(book, closing_rates, frame, lookups, rows):
@@ -253,7 +267,11 @@ def two_runs(book, rates, closing_rates, curves):
         flow(code=None),
     )
     balance = valuation.balance_rates(closing_rates)
+    both = opening.withColumn("run", F.lit(runs.OPENING)).unionByName(
+        new.withColumn("run", F.when(F.col("I17EXPCHANGE") == 10, runs.OPENING).otherwise(runs.CLOSING))
+    )
     return {
+        "tagged": runs.tagged_rows(both, rates, balance, curves, PARAMS),
         "ir": runs.opening_rollforward(opening, new, rates, curves, PARAMS),
         "ir_rows": runs.opening_rows(opening, new, rates, curves, PARAMS),
         "sm": runs.closing_run(new, balance, curves, PARAMS),
@@ -291,6 +309,9 @@ def test_movements_from_rows_equal_those_from_runs(two_runs, frame, closing_rate
 
     summed = rounded(make(two_runs["ir"], two_runs["sm"]))
     assert summed and summed == rounded(make(two_runs["ir_rows"], two_runs["sm_rows"]))
+    if name in ("lrc", "lic_past"):
+        chosen = movements.movement_lrc_of if name == "lrc" else movements.movement_lic_past_of
+        assert summed == rounded(chosen(two_runs["tagged"], accounts, closing_rates, PARAMS))
 
 
 def test_movement_values(two_runs, frame, closing_rates):

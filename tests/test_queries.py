@@ -9,7 +9,12 @@ from closebook.catalog.queries import REGISTRY
 from tools.check_sql import connect, difference
 
 FOLDER = "/root/testdata/sf0.001"
-SOURCES_WRITTEN = {"headerless_scan", "scan_decimal_comma", "csv_sink_roundtrip", "run_hand_off"}
+#: Queries that write files or fetch a dictionary while they are built.
+WRITTEN = {
+    "headerless_scan", "scan_decimal_comma", "scan_decimal_point", "decimal_scan", "nan_as_null",
+    "csv_sink_roundtrip", "result_table_roundtrip", "ledger_project", "trailing_minus_parse",
+    "run_hand_off", "control_totals", "sign_flag_remap", "ffill",
+}
 HEAVY = ("bcm_balance_open", "ir_rollforward", "pl_movement_lrc", "sign_flag_remap", "bcm_reduction")
 
 
@@ -45,3 +50,19 @@ def test_movement_needs_one_shuffle_on_its_keys(spark):
     own = plan.split("InMemoryRelation")[0]
     keyed = [line for line in own.splitlines() if "Exchange hashpartitioning(contract" in line]
     assert len(keyed) == 1
+
+
+@pytest.mark.parametrize("name", ["ir_rollforward", "pl_movement_ir", "pl_movement_lrc", "pl_movement_lic_past"])
+def test_runs_read_the_line_items_once(spark, name):
+    plan = _physical(REGISTRY[name](spark, FOLDER))
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "lineitem.parquet" in line]
+    assert len(scans) == 1
+
+
+def test_building_a_query_starts_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    for name in sorted(set(REGISTRY) - WRITTEN):
+        spark.sparkContext.setJobGroup(f"build-{name}", name)
+        REGISTRY[name](spark, FOLDER)
+        assert list(tracker.getJobIdsForGroup(f"build-{name}")) == [], name
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
