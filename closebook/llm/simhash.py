@@ -105,6 +105,10 @@ def links(prints: DataFrame, radius: int = 2, name: str = "fingerprint") -> Data
     """
     far, near = (radius + 1) // 2, radius // 2
     different = prints.select(F.col(name).alias("v")).where(F.col(name).isNotNull()).distinct()
+    # A fingerprint becomes a whole ball: few bytes here are many rows in the next step, so
+    # its tasks are not merged by size.
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    different = different.repartition(tasks, "v")
     mask = F.explode(F.lit(_masks(far)).cast("array<bigint>"))
     balls = different.select("v", mask.alias("mask")).select(
         F.col("v").bitwiseXOR(F.col("mask")).alias("variant"),
