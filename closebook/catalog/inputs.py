@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from closebook.functions import dates
 from closebook.functions.money import null_if_nan
 from closebook.operators.valuation import wide_curves, widen_curves
-from closebook.params import OPENING_EXPOSURE, CloseParams
+from closebook.params import CLOSING_EXPOSURE, OPENING_EXPOSURE, CloseParams
 from closebook.plans import runs
 
 PARAMS = CloseParams.for_closing("31.03.1998")
@@ -31,6 +31,10 @@ NUMBERS = 200
 FIRST_MONTH, MONTHS = "1991-12-31", 240
 FIRST_YEAR, LAST_YEAR = 1990, 2011
 UNMAPPED_CODE = "Y999"
+#: Lines without id, code or currency, and with an exposure that is neither opening nor
+#: closing: remainders of the order key. The opening rate of one currency is zero.
+ODD_LINES = {"id": (197, 3), "code": (193, 5), "currency": (191, 7), "exposure": (181, 11)}
+OTHER_EXPOSURE, ZERO_RATE = 70, "USD"
 DOUBLE_CODE = "Y204"
 
 TABLES = {
@@ -47,6 +51,11 @@ TABLES = {
 }
 
 
+def _some(what: str) -> str:
+    divisor, rest = ODD_LINES[what]
+    return f"l_orderkey % {divisor} = {rest}"
+
+
 def _pick(values: tuple[str, ...], number: str) -> str:
     listed = ", ".join(f"'{v}'" for v in values)
     return f"element_at(array({listed}), CAST({number} % {len(values)} + 1 AS INT))"
@@ -86,13 +95,13 @@ class StarInputs:
             self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey")
         ).join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         return joined.selectExpr(
-            f"concat('CZR_ACP_', {_pick(SEGMENTS, 'l_suppkey')}, '_P', 500 + l_partkey % 5, '_', "
-            "year(o_orderdate), '_', if(l_returnflag = 'R', 'ON', 'NO'), '_', "
-            f"l_partkey % {NUMBERS}, if(l_linenumber % 3 = 0, '/1', '')) AS I17REFOBJID",
-            "if(l_linestatus = 'F', 10, 60) AS I17EXPCHANGE",
-            f"{_pick(CODES, 'l_partkey')} AS I17COSTREVENUE",
+            f"if({_some('id')}, NULL, concat('CZR_ACP_', {_pick(SEGMENTS, 'l_suppkey')}, '_P', "
+            "500 + l_partkey % 5, '_', year(o_orderdate), '_', if(l_returnflag = 'R', 'ON', 'NO'), '_', "
+            f"l_partkey % {NUMBERS}, if(l_linenumber % 3 = 0, '/1', ''))) AS I17REFOBJID",
+            f"if({_some('exposure')}, {OTHER_EXPOSURE}, if(l_linestatus = 'F', 10, 60)) AS I17EXPCHANGE",
+            f"if({_some('code')}, NULL, {_pick(CODES, 'l_partkey')}) AS I17COSTREVENUE",
             "year(o_orderdate) * 10000 + 1231 AS I17KEYDATE",
-            f"{_pick(CURRENCIES, 's_nationkey')} AS I17ESTCURR",
+            f"if({_some('currency')}, NULL, {_pick(CURRENCIES, 's_nationkey')}) AS I17ESTCURR",
             f"{_ymd('o_orderdate')} AS I17INCURREDDATE",
             f"{_ymd('l_shipdate')} AS I17SETTLEMDATE",
             "l_extendedprice * (1 - 2 * (l_linenumber % 2)) AS I17ESTAMOUNT",
@@ -115,16 +124,15 @@ class StarInputs:
         Every line is a row of the opening book and, by its own exposure, of
         the new book's opening or closing rows.
         """
+        exposure = F.col("I17EXPCHANGE")
+        by_exposure = F.when(exposure == OPENING_EXPOSURE, F.lit(runs.OPENING)).when(
+            exposure == CLOSING_EXPOSURE, F.lit(runs.CLOSING)
+        )
         books = F.array(
             F.struct(F.lit(runs.OPENING).alias("run"), F.lit(OPENING_EXPOSURE).alias("exposure")),
-            F.struct(
-                F.when(F.col("I17EXPCHANGE") == OPENING_EXPOSURE, F.lit(runs.OPENING))
-                .otherwise(F.lit(runs.CLOSING))
-                .alias("run"),
-                F.col("I17EXPCHANGE").alias("exposure"),
-            ),
+            F.struct(by_exposure.alias("run"), exposure.alias("exposure")),
         )
-        tagged = self.bcm().withColumn("_book", F.explode(books))
+        tagged = self.bcm().withColumn("_book", F.explode(books)).filter("_book.run IS NOT NULL")
         return tagged.withColumns(
             {"run": F.col("_book.run"), "I17EXPCHANGE": F.col("_book.exposure")}
         ).drop("_book")
@@ -219,6 +227,7 @@ class StarInputs:
 
     def rates_open(self) -> DataFrame:
         rows = [(c, 2.0 * i + 3) for i, c in enumerate(CURRENCIES) if c not in ("EUR", "XXX")]
+        rows = [(c, 0.0 if c == ZERO_RATE else rate) for c, rate in rows]
         return _values(self.spark, [("EUR", 1.0), *rows], "FROM_CURRENCY, EXCHANGE_RATE")
 
     def rates_close(self) -> DataFrame:

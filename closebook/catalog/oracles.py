@@ -63,13 +63,14 @@ _VIEWS: dict[str, str] = {}
 
 _VIEWS["bcm0"] = f"""
 SELECT
-  'CZR_ACP_' || ({_SEGMENTS})[l_suppkey % 4 + 1] || '_P' || (500 + l_partkey % 5) || '_' || year(o_orderdate)
+  CASE WHEN l_orderkey % 197 <> 3 THEN
+    'CZR_ACP_' || ({_SEGMENTS})[l_suppkey % 4 + 1] || '_P' || (500 + l_partkey % 5) || '_' || year(o_orderdate)
     || '_' || CASE WHEN l_returnflag = 'R' THEN 'ON' ELSE 'NO' END || '_' || (l_partkey % 200)
-    || CASE WHEN l_linenumber % 3 = 0 THEN '/1' ELSE '' END AS I17REFOBJID,
-  CASE WHEN l_linestatus = 'F' THEN 10 ELSE 60 END AS I17EXPCHANGE,
-  ({_CODES})[l_partkey % 16 + 1] AS I17COSTREVENUE,
+    || CASE WHEN l_linenumber % 3 = 0 THEN '/1' ELSE '' END END AS I17REFOBJID,
+  CASE WHEN l_orderkey % 181 = 11 THEN 70 WHEN l_linestatus = 'F' THEN 10 ELSE 60 END AS I17EXPCHANGE,
+  CASE WHEN l_orderkey % 193 <> 5 THEN ({_CODES})[l_partkey % 16 + 1] END AS I17COSTREVENUE,
   year(o_orderdate) * 10000 + 1231 AS I17KEYDATE,
-  ({_CURRENCIES})[s_nationkey % 9 + 1] AS I17ESTCURR,
+  CASE WHEN l_orderkey % 191 <> 7 THEN ({_CURRENCIES})[s_nationkey % 9 + 1] END AS I17ESTCURR,
   {_ymd('o_orderdate')} AS I17INCURREDDATE,
   {_ymd('l_shipdate')} AS I17SETTLEMDATE,
   l_extendedprice * (1 - 2 * (l_linenumber % 2)) AS I17ESTAMOUNT,
@@ -110,13 +111,14 @@ for _k, _name in enumerate(_CURVES, 1):
 SELECT day, ccy, CAST(997 AS DOUBLE) / (997 + 2 * {_k} * (12 * year(day) + month(day) - 23976)) AS factor
 FROM nodes"""
 
-_VIEWS["fx_open"] = """
+_VIEWS["fx_base"] = """
 SELECT * FROM (VALUES ('EUR',1.0::DOUBLE),('CZK',5.0::DOUBLE),('HUF',7.0::DOUBLE),('TWD',9.0::DOUBLE),
   ('JPY',11.0::DOUBLE),('KRW',13.0::DOUBLE),('ISK',15.0::DOUBLE),('USD',17.0::DOUBLE)) AS t(ccy, rate)"""
+_VIEWS["fx_open"] = "SELECT ccy, CASE WHEN ccy = 'USD' THEN 0 ELSE rate END AS rate FROM fx_base"
 _VIEWS["fx_close"] = """
-SELECT ccy, open_rate + 2 AS rate, 'M' AS type FROM (SELECT ccy, rate AS open_rate FROM fx_open WHERE ccy <> 'EUR')
+SELECT ccy, base_rate + 2 AS rate, 'M' AS type FROM (SELECT ccy, rate AS base_rate FROM fx_base WHERE ccy <> 'EUR')
 UNION ALL
-SELECT ccy, rate + 4, 'AVG' FROM fx_open WHERE ccy <> 'EUR'"""
+SELECT ccy, rate + 4, 'AVG' FROM fx_base WHERE ccy <> 'EUR'"""
 _VIEWS["fx_avg"] = """
 SELECT ccy, rate FROM fx_close WHERE type = 'AVG' UNION ALL SELECT 'EUR', 1"""
 
@@ -168,7 +170,7 @@ SELECT {_account} AS account, ({_SEGMENTS})[o_orderkey % 4 + 1] AS seg,
 def _pv(names: tuple[str, ...], rates: str, date: str, base: bool, source: str, curves=None) -> str:
     """Present values by successive curve joins; missing values stay null."""
     curves = curves or {n: n for n in names}
-    rate = "CASE WHEN I17ESTCURR = 'EUR' THEN 1 ELSE f.rate END" if base else "f.rate"
+    rate = "CASE WHEN I17ESTCURR = 'EUR' THEN 1 ELSE nullif(f.rate, 0) END" if base else "nullif(f.rate, 0)"
     joins = "".join(
         f"\nLEFT JOIN curve_{curves[n]} c_{n} ON c_{n}.day = b.date_adjusted AND c_{n}.ccy = b.I17ESTCURR"
         for n in names
@@ -197,7 +199,7 @@ def _rounded_pv(names: tuple[str, ...], rates: str, source: str) -> str:
         f", CASE WHEN b.date_adjusted = {_OPENING} THEN 1 ELSE c_{n}.factor END AS f_{n}" for n in names
     )
     step1 = (
-        f"SELECT b.*, CASE WHEN I17ESTCURR = 'EUR' THEN 1 ELSE f.rate END AS xr{factors} "
+        f"SELECT b.*, CASE WHEN I17ESTCURR = 'EUR' THEN 1 ELSE nullif(f.rate, 0) END AS xr{factors} "
         f"FROM {source} b LEFT JOIN {rates} f ON f.ccy = b.I17ESTCURR{joins}"
     )
     step2 = (
@@ -242,13 +244,20 @@ def _shifted(source: str, names: tuple[str, ...]) -> str:
 
 def _grouped(source: str, keys: str, measures: list[str]) -> str:
     sums = ", ".join(f"coalesce(sum({m}), 0) AS {m}" for m in measures)
-    return f"SELECT {keys}, {sums} FROM ({source}) GROUP BY {keys}"
+    whole = " AND ".join(f"{k} IS NOT NULL" for k in keys.split(", "))
+    return f"SELECT {keys}, {sums} FROM ({source}) WHERE {whole} GROUP BY {keys}"
 
 
-_VIEWS["ir_opening"] = _grouped(_rounded_pv(_OPEN4, "fx_open", "bcm_open"), _RUN, _measures(_OPEN4))
+def _filled(source: str) -> str:
+    """Rows of a run: a missing id, code or currency becomes the key '0'."""
+    keys = ("I17REFOBJID", "I17COSTREVENUE", "I17ESTCURR")
+    return f"SELECT * REPLACE ({', '.join(f"coalesce({k}, '0') AS {k}" for k in keys)}) FROM ({source})"
+
+
+_VIEWS["ir_opening"] = _grouped(_filled(_rounded_pv(_OPEN4, "fx_open", "bcm_open")), _RUN, _measures(_OPEN4))
 _VIEWS["bcm_new10"] = "SELECT * FROM bcm_new WHERE I17EXPCHANGE = 10"
 _VIEWS["bcm_new60"] = "SELECT * FROM bcm_new WHERE I17EXPCHANGE = 60"
-_VIEWS["ir_late"] = _grouped(_rounded_pv(_OPEN4, "fx_open", "bcm_new10"), _RUN, _measures(_OPEN4))
+_VIEWS["ir_late"] = _grouped(_filled(_rounded_pv(_OPEN4, "fx_open", "bcm_new10")), _RUN, _measures(_OPEN4))
 _VIEWS["fx_m"] = "SELECT ccy, rate FROM fx_close WHERE type = 'M'"
 _VIEWS["ir"] = _shifted(
     "SELECT " + ", ".join(f"coalesce(x.{k}, y.{k}) AS {k}" for k in _RUN.split(", ")) + ", "
@@ -258,11 +267,13 @@ _VIEWS["ir"] = _shifted(
     _OPEN4,
 )
 _VIEWS["sm"] = _shifted(
-    _grouped(_rounded_pv(_CURVES, "fx_m", "bcm_new60"), _RUN, _measures(_CURVES)), _CURVES
+    _grouped(_filled(_rounded_pv(_CURVES, "fx_m", "bcm_new60")), _RUN, _measures(_CURVES)), _CURVES
 )
 
+# The key '0' of a missing id has no parts.
 _SHORT = (
-    f"split_part({_stem('I17REFOBJID')}, '_', 3) || '_' || {_form_tail('I17REFOBJID', 3)}"
+    f"CASE WHEN I17REFOBJID <> '0' THEN split_part({_stem('I17REFOBJID')}, '_', 3) || '_' "
+    f"|| {_form_tail('I17REFOBJID', 3)} END"
 )
 _SELECT = (
     f"CASE WHEN I17COSTREVENUE IN {_INCURRED} THEN incurred "
@@ -320,7 +331,7 @@ _VIEWS["act_o"] = _grouped(
 for _name, _rates in (("trv", "fx_open"), ("csm", "fx_close")):
     _VIEWS[f"{_name}_pre"] = f"""
 SELECT {_ri_rh('id')} AS ri_rh, {_life('id')} AS zivot_nezivot, contract, code AS I17COSTREVENUE, 'LRC' AS lrc_lic,
-  coalesce(sum(v), 0) AS {_name}_original_CCY, coalesce(sum(v / f.rate), 0) AS {_name}
+  coalesce(sum(v), 0) AS {_name}_original_CCY, coalesce(sum(v / nullif(f.rate, 0)), 0) AS {_name}
 FROM csm0 LEFT JOIN {_rates} f ON f.ccy = csm0.ccy GROUP BY ALL"""
     _VIEWS[f"{_name}_mapped"] = _mapped(f"{_name}_pre", "portfolios", "by_class", True)
     _VIEWS[f"{_name}_o"] = _grouped(
@@ -430,16 +441,16 @@ _state("null_safe_not_equal", _count(
 
 _state("fx_convert", f"""
 SELECT I17ESTCURR, count(*) AS n, {_sum('I17ESTAMOUNT')},
-  {_money('sum(I17ESTAMOUNT / o.rate)')} AS nominal_table,
+  {_money('sum(I17ESTAMOUNT / nullif(o.rate, 0))')} AS nominal_table,
   CASE WHEN I17ESTCURR = 'EUR' THEN 1 ELSE max(m.rate) END AS EXCHANGE_RATE,
   {_money("sum(I17ESTAMOUNT / CASE WHEN I17ESTCURR = 'EUR' THEN 1 ELSE m.rate END)")} AS nominal_forced
 FROM bcm LEFT JOIN fx_open o ON o.ccy = I17ESTCURR LEFT JOIN fx_m m ON m.ccy = I17ESTCURR GROUP BY I17ESTCURR""")
 _state("fx_by_exposure", f"""
 SELECT CAST(I17EXPCHANGE AS BIGINT) AS I17EXPCHANGE, I17ESTCURR, count(*) AS n, {_sum('I17ESTAMOUNT')}, {_sum('x', 'nominal')} FROM (
-  SELECT b.*, I17ESTAMOUNT / CASE WHEN I17ESTCURR = 'EUR' THEN 1 ELSE f.rate END AS x
+  SELECT b.*, I17ESTAMOUNT / CASE WHEN I17ESTCURR = 'EUR' THEN 1 ELSE nullif(f.rate, 0) END AS x
   FROM bcm b LEFT JOIN fx_open f ON f.ccy = I17ESTCURR WHERE I17EXPCHANGE = 10
   UNION ALL
-  SELECT b.*, I17ESTAMOUNT / CASE WHEN I17ESTCURR = 'EUR' THEN 1 ELSE f.rate END AS x
+  SELECT b.*, I17ESTAMOUNT / CASE WHEN I17ESTCURR = 'EUR' THEN 1 ELSE nullif(f.rate, 0) END AS x
   FROM bcm b LEFT JOIN fx_m f ON f.ccy = I17ESTCURR WHERE I17EXPCHANGE = 60) GROUP BY ALL""")
 _state("fx_average_set", f"""
 SELECT I17ESTCURR, count(*) AS n, {_sum('I17ESTAMOUNT')}, max(rate) AS EXCHANGE_RATE,
@@ -451,17 +462,17 @@ FROM curve_tyc t {' '.join(f'JOIN curve_{n} {n} ON {n}.day = t.day AND {n}.ccy =
 _by_year = "I17ESTCURR, CAST(year(date_adjusted) AS BIGINT) AS year"
 _state("discount_pv", f"""
 SELECT {_by_year}, {', '.join(_sum(m) for m in _measures(_CURVES))}
-FROM ({_pv(_CURVES, 'fx_open', _OPENING, True, 'bcm')}) GROUP BY ALL""")
+FROM ({_pv(_CURVES, 'fx_open', _OPENING, True, 'bcm')}) WHERE I17ESTCURR IS NOT NULL GROUP BY ALL""")
 _state("ccy_rounding", f"""
 SELECT {_by_year}, {', '.join(_sum(m) for m in _measures(_CURVES))}
-FROM ({_rounded_pv(_CURVES, 'fx_open', 'bcm')}) GROUP BY ALL""")
+FROM ({_rounded_pv(_CURVES, 'fx_open', 'bcm')}) WHERE I17ESTCURR IS NOT NULL GROUP BY ALL""")
 _npr_col = "CASE WHEN I17COSTREVENUE IN " + _NPR + " THEN (nominal + discount_{0}) * -1 * 0.003 ELSE 0 END"
 _state("npr_inline", f"""
 SELECT I17COSTREVENUE, I17ESTCURR, settlement, {', '.join(_sum(_npr_col.format(n), f'npr_{n}', 6) for n in _OPEN4)}
-FROM ({_rounded_pv(_OPEN4, 'fx_open', 'bcm')}) GROUP BY ALL""")
+FROM ({_filled(_rounded_pv(_OPEN4, 'fx_open', 'bcm'))}) GROUP BY ALL""")
 _state("shift_correction", f"""
 SELECT I17COSTREVENUE, I17ESTCURR, settlement, {', '.join(_sum(m) for m in _measures(_OPEN4)[2:])}
-FROM ({_shifted(_rounded_pv(_OPEN4, 'fx_open', 'bcm'), _OPEN4)}) GROUP BY ALL""")
+FROM ({_filled(_shifted(_rounded_pv(_OPEN4, 'fx_open', 'bcm'), _OPEN4))}) GROUP BY ALL""")
 
 _state("tag_origin", f"""
 SELECT CASE WHEN o.contract IS NOT NULL THEN 'old' ELSE 'new' END AS origin, {_ri_rh('I17REFOBJID')} AS ri_rh,
@@ -471,7 +482,8 @@ _state("semi_anti_split", f"""
 SELECT CASE WHEN contract IN (SELECT contract FROM old) THEN 'semi' ELSE 'anti' END AS side, contract,
   count(*) AS n, {_sum('I17ESTAMOUNT')} FROM (SELECT *, {_form_tail('I17REFOBJID', 2)} AS contract FROM bcm) GROUP BY ALL""")
 _state("origin_discount", f"""
-SELECT origin, contract, lrc_lic, {', '.join(_sum(m) for m in _CLOSE_M)} FROM close_pre GROUP BY ALL""")
+SELECT origin, contract, lrc_lic, {', '.join(_sum(m) for m in _CLOSE_M)} FROM close_pre
+WHERE contract IS NOT NULL AND I17COSTREVENUE IS NOT NULL GROUP BY ALL""")
 _state("map_to_account", f"""
 SELECT {_OPEN_GRAIN}, {_sum('I17ESTAMOUNT')} FROM open_mapped
 WHERE local_portfolio IS NOT NULL AND account IS NOT NULL GROUP BY ALL""")
@@ -482,9 +494,10 @@ SELECT I17COSTREVENUE, account, count(*) AS n, {_sum('I17ESTAMOUNT')}
 FROM bcm LEFT JOIN a_accounts ON code = I17COSTREVENUE GROUP BY ALL""")
 _state("group_sum_dropnull", f"""
 SELECT account, I17ESTCURR, {_sum('I17ESTAMOUNT')}
-FROM bcm JOIN a_accounts ON code = I17COSTREVENUE GROUP BY ALL""")
+FROM bcm JOIN a_accounts ON code = I17COSTREVENUE WHERE I17ESTCURR IS NOT NULL GROUP BY ALL""")
 _state("dropped_amounts", f"""
-SELECT count(*) AS rows_dropped, {_sum('I17ESTAMOUNT')} FROM bcm WHERE I17COSTREVENUE NOT IN (SELECT code FROM a_accounts)""")
+SELECT count(*) AS rows_dropped, {_sum('I17ESTAMOUNT')} FROM bcm LEFT JOIN a_accounts ON code = I17COSTREVENUE
+WHERE account IS NULL OR I17ESTCURR IS NULL""")
 
 _state("bcm_balance_open", f"SELECT {_OPEN_GRAIN}, {', '.join(f'{_money(m)} AS {m}' for m in _OPEN_M)} FROM bcm_o")
 _state("bcm_balance_open_by_code", f"SELECT {_OPEN_CODES}, {', '.join(f'{_money(m)} AS {m}' for m in _OPEN_M)} FROM codes_o")
@@ -532,7 +545,7 @@ SELECT origin, account, I17COSTREVENUE,
 FROM close_aligned GROUP BY ALL""")
 _state("rowwise_total", f"""
 SELECT I17REFOBJID, {_money('sum(I17ESTAMOUNT) FILTER (I17EXPCHANGE = 10)')} AS exposure_10,
-  {_money('sum(I17ESTAMOUNT) FILTER (I17EXPCHANGE = 60)')} AS exposure_60, {_sum('I17ESTAMOUNT', 'total_balance')}
+  {_money('sum(I17ESTAMOUNT) FILTER (I17EXPCHANGE = 60)')} AS exposure_60, {_sum('I17ESTAMOUNT) FILTER (I17EXPCHANGE IN (10, 60)', 'total_balance')}
 FROM bcm GROUP BY I17REFOBJID""")
 
 _RED = ("locked_in", "tyc", "current")
@@ -549,7 +562,8 @@ _KEYS_OUT = (
 _state("bcm_reduction", f"""
 SELECT I17REFOBJID, {_KEYS_OUT}, {', '.join(_sum(m) for m in ['nominal_original_CCY', 'nominal', *[f'discount_{n}' for n in _RED]])}
 FROM ({_pv(_RED, 'fx_open', _CLOSING, True, 'bcm_y10', _RED_CURVES)} UNION ALL
-{_pv(_RED, 'fx_m', _CLOSING, True, 'bcm_y60', _RED_CURVES)}) GROUP BY ALL""")
+{_pv(_RED, 'fx_m', _CLOSING, True, 'bcm_y60', _RED_CURVES)})
+WHERE I17REFOBJID IS NOT NULL AND I17COSTREVENUE IS NOT NULL AND I17ESTCURR IS NOT NULL GROUP BY ALL""")
 
 
 def _run_out(names: tuple[str, ...], npr: tuple[str, ...]) -> str:
@@ -571,7 +585,7 @@ _CHECK = ("tyc_shift", "ycu_31_12_shift", "ycu_31_03")
 _VIEWS["bcm10"] = "SELECT * FROM bcm WHERE I17EXPCHANGE = 10"
 _by_code = _grouped(
     f"SELECT *, {_ri_rh('I17REFOBJID')} AS ri_rh, {_form_tail('I17REFOBJID', 3)} AS contract "
-    f"FROM ({_rounded_pv(_CHECK, 'fx_open', 'bcm10')})",
+    f"FROM (SELECT * REPLACE (coalesce(I17COSTREVENUE, '0') AS I17COSTREVENUE) FROM ({_rounded_pv(_CHECK, 'fx_open', 'bcm10')}))",
     "ri_rh, contract, I17COSTREVENUE", ["nominal", *[f"discount_{n}" for n in _CHECK]],
 )
 _margins = ", ".join(
@@ -598,7 +612,7 @@ SELECT account, {_MOVE}, {_sum('-(nominal_original_CCY / rate)', 'amount')}, {_s
   {_sum('nominal_original_CCY')}, {_sum('discount_tyc_original_CCY')}, {_sum('discount_ycu_31_12_original_CCY')}
 FROM (SELECT m.*, a.account, f.rate FROM ir_class m LEFT JOIN acc_IR a ON a.code = m.I17COSTREVENUE
   LEFT JOIN fx_avg f ON f.ccy = m.I17ESTCURR WHERE date_select IN ('{_PAST}', 'Q1'))
-WHERE account IS NOT NULL GROUP BY ALL""")
+WHERE account IS NOT NULL AND contract IS NOT NULL GROUP BY ALL""")
 
 
 def _difference(key: str, ir_filter: str, sm_filter: str, pairs: list[tuple[str, str, str]], accounts: str) -> None:
@@ -645,7 +659,7 @@ _difference(
 _state("pl_movement_lic_current", _posted_sql(
     f"SELECT {_MOVE}, sum(nominal{_O}) AS amount{_O}, sum(discount_tyc_shift{_O}) AS discount_tyc_shift{_O}, "
     f"sum(discount_ycu_31_12_shift{_O}) AS discount_ycu_31_12_shift{_O} "
-    "FROM sm_class WHERE lrc_lic = 'LIC' AND date_select = 'Q1' GROUP BY ALL",
+    "FROM sm_class WHERE lrc_lic = 'LIC' AND date_select = 'Q1' AND contract IS NOT NULL GROUP BY ALL",
     ["amount" + _O, "discount_tyc_shift" + _O, "discount_ycu_31_12_shift" + _O], "acc_LICQ1"))
 
 # --- ledger and primitives ------------------------------------------------------
@@ -686,14 +700,15 @@ def _assigned(source: str, ref: str) -> str:
 _state("portfolio_lookup", f"""
 SELECT r.contract, l.local_portfolio, count(*) AS n FROM ({_assigned('act0', 'id')}) r
 LEFT JOIN (SELECT DISTINCT * FROM ({_assigned('bcm', 'I17REFOBJID')})) l ON l.contract = r.contract GROUP BY ALL""")
-_state("code_totals", f"SELECT I17COSTREVENUE, {_sum('I17ESTAMOUNT')} FROM bcm GROUP BY ALL")
-_state("contract_totals", f"SELECT I17REFOBJID, {_sum('I17ESTAMOUNT')} FROM bcm GROUP BY ALL")
+_state("code_totals", f"SELECT I17COSTREVENUE, {_sum('I17ESTAMOUNT')} FROM bcm WHERE I17COSTREVENUE IS NOT NULL GROUP BY ALL")
+_state("contract_totals", f"SELECT I17REFOBJID, {_sum('I17ESTAMOUNT')} FROM bcm WHERE I17REFOBJID IS NOT NULL GROUP BY ALL")
 _state("single_contract", _count(
     "I17REFOBJID, I17COSTREVENUE, I17ESTCURR, CAST(I17EXPCHANGE AS BIGINT) AS I17EXPCHANGE",
     where="WHERE I17REFOBJID = 'CZR_ACP_PRI_P500_1998_NO_80'"))
 _state("distinct_pairs", f"""
 SELECT DISTINCT local_portfolio, I17COSTREVENUE
-FROM (SELECT *, {_form_segment('I17REFOBJID')} AS contract FROM bcm) b JOIN portfolios p ON p.contract = b.contract""")
+FROM (SELECT *, {_form_segment('I17REFOBJID')} AS contract FROM bcm) b JOIN portfolios p ON p.contract = b.contract
+WHERE I17COSTREVENUE IS NOT NULL""")
 _state("union_books", f"""
 SELECT I17COSTREVENUE, I17ESTCURR, count(*) AS n, {_sum('I17ESTAMOUNT')} FROM (
   SELECT I17COSTREVENUE, I17ESTCURR, I17ESTAMOUNT FROM bcm UNION ALL SELECT code, NULL, v FROM act0)
@@ -707,7 +722,7 @@ SELECT o_orderkey, o_custkey % 5 AS grp,
   last_value(CASE WHEN o_orderkey % 11 = 0 THEN o_totalprice END IGNORE NULLS) OVER (PARTITION BY o_custkey % 5
     ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS amount
 FROM orders""")
-_state("scan_decimal_comma", f"SELECT I17COSTREVENUE, {_sum('I17ESTAMOUNT', 'amount')} FROM bcm GROUP BY I17COSTREVENUE")
+_state("scan_decimal_comma", f"SELECT I17COSTREVENUE, {_sum('I17ESTAMOUNT', 'amount')} FROM bcm WHERE I17COSTREVENUE IS NOT NULL GROUP BY I17COSTREVENUE")
 STATEMENTS["csv_sink_roundtrip"] = STATEMENTS["bcm_balance_open"]
 STATEMENTS["scan_decimal_point"] = STATEMENTS["scan_decimal_comma"]
 STATEMENTS["result_table_roundtrip"] = STATEMENTS["bcm_balance_open"]
@@ -720,5 +735,5 @@ SELECT 'I' || (o_custkey % 99) AS account,
 FROM orders GROUP BY account""")
 _state("ccy_rounding_base", f"""
 SELECT I17ESTCURR, {_sum("CASE WHEN I17ESTCURR IN ('HUF','ISK','JPY','KRW') THEN round_even(nominal, 0) ELSE nominal END", 'nominal')}
-FROM (SELECT I17ESTCURR, I17ESTAMOUNT / CASE WHEN I17ESTCURR = 'EUR' THEN 1 ELSE rate END AS nominal
-      FROM bcm LEFT JOIN fx_open ON ccy = I17ESTCURR) GROUP BY I17ESTCURR""")
+FROM (SELECT I17ESTCURR, I17ESTAMOUNT / CASE WHEN I17ESTCURR = 'EUR' THEN 1 ELSE nullif(rate, 0) END AS nominal
+      FROM bcm LEFT JOIN fx_open ON ccy = I17ESTCURR) WHERE I17ESTCURR IS NOT NULL GROUP BY I17ESTCURR""")

@@ -232,7 +232,7 @@ def tag_origin(given):
     )
     tagged = lookups.tag_members(summed, given.old_contracts(), "contract")
     return tagged.groupBy("origin", "ri_rh").agg(
-        F.count(F.lit(1)).alias("contracts"),
+        F.count("contract").alias("contracts"),
         F.sum("n").alias("n"),
         F.sum("I17ESTAMOUNT").alias("I17ESTAMOUNT"),
     )

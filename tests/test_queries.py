@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 
+from closebook.catalog.inputs import StarInputs
 from closebook.catalog.oracles import STATEMENTS
 from closebook.catalog.queries import REGISTRY
 from tools.check_sql import connect, difference
@@ -66,3 +67,23 @@ def test_building_a_query_starts_no_job(spark):
         REGISTRY[name](spark, FOLDER)
         assert list(tracker.getJobIdsForGroup(f"build-{name}")) == [], name
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_odd_rows_of_each_kind_change_a_result(spark, con):
+    """Rows without id, code or currency, of another exposure, and (in the larger tables) at a rate of zero."""
+    given = StarInputs(spark, FOLDER)
+    rows = given.bcm().cache()
+    for odd in ("I17REFOBJID IS NULL", "I17COSTREVENUE IS NULL", "I17ESTCURR IS NULL", "I17EXPCHANGE = 70"):
+        assert rows.filter(odd).count() > 0
+    assert given.rates_open().filter("EXCHANGE_RATE = 0").count() == 1
+    kept = {r["I17REFOBJID"] for r in REGISTRY["contract_totals"](spark, FOLDER).collect()}
+    assert None not in kept
+    assert "0" in {r["contract"] for r in REGISTRY["ir_rollforward"](spark, FOLDER).collect()}
+    exposures = {r["I17EXPCHANGE"] for r in REGISTRY["fx_by_exposure"](spark, FOLDER).collect()}
+    assert exposures == {10, 60}
+    dropped = REGISTRY["dropped_amounts"](spark, FOLDER).first()
+    unmapped = rows.filter("I17COSTREVENUE = 'Y999'").count()
+    assert dropped["rows_dropped"] > unmapped
+    usd = REGISTRY["fx_convert"](spark, "/root/testdata/sf0.01").filter("I17ESTCURR = 'USD'").first()
+    assert usd["nominal_table"] is None and usd["nominal_forced"] is not None
+    rows.unpersist()
