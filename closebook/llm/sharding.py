@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from closebook.llm.common import free_prefix, text_key, unit, without
 
 #: Rows that one bucket of a rank holds on average.
-BUCKET_ROWS = 1024
+BUCKET_ROWS = 256
 
 
 def _ahead(counts: DataFrame, within: list[str], order: str, n: str, before: str) -> DataFrame:
