@@ -15,6 +15,7 @@ from closebook.functions.money import null_if_nan
 from closebook.operators.valuation import wide_curves, widen_curves
 from closebook.params import CLOSING_EXPOSURE, OPENING_EXPOSURE, CloseParams
 from closebook.plans import runs
+from closebook.session import apply_settings
 
 PARAMS = CloseParams.for_closing("31.03.1998")
 
@@ -79,7 +80,7 @@ class StarInputs:
     """All inputs of the close for one folder of star-schema tables."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = spark
+        self.spark = apply_settings(spark)
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
