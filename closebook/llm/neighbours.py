@@ -106,14 +106,24 @@ def brute_force(rows: DataFrame, queries: list[tuple[int, list[float]]], k: int)
     shared = rows.sparkSession.sparkContext.broadcast(queries)
 
     def compare(batches):
+        # What a partition sends on is k rows for each query, however many rows it holds.
+        held = {query_id: (np.zeros(0, np.int64), np.zeros(0), None) for query_id, _ in shared.value}
         for batch in batches:
             if not batch.num_rows:
                 continue
             ids, vectors = batch.column(0).to_numpy(), _matrix(batch.column(1))
             for query_id, query in shared.value:
                 at, far = nearest(ids, vectors, query_id, np.array(query), k)
+                old_ids, old_far, old = held[query_id]
+                own, far = np.append(old_ids, ids[at]), np.append(old_far, far)
+                met = vectors[at] if old is None else np.concatenate((old, vectors[at]))
+                best = np.lexsort((own, far))[:k]
+                held[query_id] = own[best], far[best], met[best]
+        for query_id, (own, far, met) in held.items():
+            if len(own):
+                columns = [np.full(len(own), query_id), own, far]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), query_id)), pa.array(ids[at]), pa.array(far), batch.column(1).take(pa.array(at))],
+                    [*map(pa.array, columns), pa.array(list(met), pa.list_(pa.float64()))],
                     names=["query_id", "vec_id", "score", "v"],
                 )
 
