@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from closebook.llm.common import without
+from closebook.llm.common import small_batches, without
 
 #: Characters fed to the parser at once; lines the Gaussian reaches to each side, its
 #: width in lines; the part of a region's text that must be in marked lines.
@@ -220,6 +220,7 @@ def extract(pages: DataFrame, html: str = "html") -> DataFrame:
     and the like, has an empty text. Input columns of the two names are replaced
     unless they are the page itself. Repeated pages get equal texts.
     """
+    small_batches(pages.sparkSession)
 
     @F.arrow_udf("string")
     def texts(pages: pa.Array) -> pa.Array:

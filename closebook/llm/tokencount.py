@@ -18,6 +18,8 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from closebook.llm.common import small_batches
+
 #: Fixed values of the token format: big-endian 16-bit identifiers, and an end of document
 #: above the vocabulary whose two bytes are one UTF-8 character, so that Spark's text
 #: writer can put it after every document as line separator.
@@ -44,6 +46,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, text: str = "text"
     ``vocabulary`` is a file at the same place on every executor. A null or empty text
     is a document without tokens.
     """
+    small_batches(docs.sparkSession)
 
     @F.arrow_udf("binary")
     def coded(texts: pa.Array) -> pa.Array:
