@@ -42,7 +42,7 @@ URL_RULES = [
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url judged by rules, and else by trust spread over host links."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    return urlfilter.judge(pages, URL_RULES).drop("url", "html")
+    return urlfilter.judge(pages, URL_RULES, rounds=None).drop("url", "html")
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,10 +13,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from closebook.llm.common import free_prefix, hand_over, without
+from closebook.llm.common import free_prefix, hand_over, remove, without
+from closebook.session import fresh_path
 
 ALLOW, BLOCK = "allow", "block"
-#: Part of a rank that follows links, units of a whole seed, and most rounds.
+#: Part of a rank that follows links, units of a whole seed, and the rounds of the SQL statement.
 DAMPING, UNITS, ROUNDS = 0.85, 10**12, 8
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -76,14 +77,19 @@ def host_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     return links.groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def spread(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def spread(
+    seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int | None = None
+) -> DataFrame:
     """kind, host and rank: trust along ``links`` (src, dst, n), distrust against them.
 
     ``seeds`` has kind, host and rank in whole units. Each round a host keeps
     1 - ``damping`` of its seed and receives ``damping`` of its neighbours' ranks,
     shared by link counts and rounded down to units, so that the sums do not
     depend on their order. Hosts without links pass nothing on. Ends when a
-    round changes nothing, or after ``rounds``.
+    round changes nothing, which may take two hundred rounds. Ranks start at
+    1 - ``damping`` of the seeds and never fall, so that this comes: the whole
+    numbers are bounded by the seeds. ``rounds`` starts at the seeds and ends
+    after so many rounds at the latest, as the statement in SQL does.
     """
     along = links.select(F.lit("trust").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), "n")
     against = links.select(F.lit("distrust").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), "n")
@@ -94,11 +100,17 @@ def spread(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds:
     base = seeds.select("kind", "host", F.floor(F.col("rank") * F.lit(1 - damping)).alias("rank"))
     # Multiplied in this order, as the statement in SQL does.
     part = F.floor(F.col("rank") * F.lit(damping) * F.col("n") / F.col("total"))
-    ranks, state = seeds, None
-    for _ in range(rounds):
+    ranks, state, done, old = base if rounds is None else seeds, None, 0, None
+    while rounds is None or done < rounds:
         passed = ranks.join(edges, ["kind", "host"]).select("kind", F.col("to").alias("host"), part.alias("rank"))
         ranks = base.union(passed).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
-        ranks = hand_over(ranks, "ranks")
+        path = fresh_path(ranks.sparkSession, "ranks")
+        ranks.write.parquet(path)
+        ranks = ranks.sparkSession.read.schema(ranks.schema).parquet(path)
+        if old is not None:
+            # Nothing reads the round before any more.
+            remove(ranks.sparkSession, old)
+        old, done = path, done + 1
         checked = F.sum(F.xxhash64("kind", "host", "rank").cast("decimal(38,0)"))
         now = tuple(ranks.agg(F.count("*"), checked).first())
         if now == state:
@@ -112,7 +124,7 @@ def judge(
     rules: list[Rule],
     threshold: float = 0.0,
     damping: float = DAMPING,
-    rounds: int = ROUNDS,
+    rounds: int | None = ROUNDS,
     url: str = "url",
     html: str = "html",
 ) -> DataFrame:
@@ -121,7 +133,8 @@ def judge(
     The rule's verdict counts; without a rule, a page is blocked if its host's
     distrust exceeds trust by more than ``threshold`` (1 is a host whose pages are
     all seeds), else allowed. A host is a trusted (blocked) seed by the part of
-    its pages that a rule allows (blocks). A null url, or one without ://, has an
+    its pages that a rule allows (blocks). Trust spreads for ``rounds`` rounds, with
+    None until nothing changes, see ``spread``. A null url, or one without ://, has an
     empty host and path, fits no rule and is allowed. Null or empty html has no
     links. Repeated pages count as often as they occur. Input columns of the six
     names are replaced.
