@@ -10,6 +10,7 @@ taken whole, so short paragraphs and headings of an article stay.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -33,6 +34,10 @@ INLINE = frozenset(
 UNSEEN = frozenset("script style noscript template head title iframe object svg canvas math audio video".split())
 ASIDE = frozenset("nav footer aside form menu dialog button select textarea fieldset".split())
 REGION = frozenset("article main".split())
+#: Blocks that are parts of the container they stand in.
+INNER = frozenset(
+    "ul ol dl table caption colgroup thead tbody tfoot tr blockquote figure details hgroup address center".split()
+)
 LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th pre figcaption summary caption".split())
 #: What a start tag ends if it is open and no element of the second set is opened inside it.
 ENDS = {
@@ -56,9 +61,10 @@ _LETTERS = re.compile(r"[^a-z]+")
 
 @dataclass
 class Line:
-    """Text between block tags: its parts, tags, region and whether it may be content."""
+    """Text between block tags: its parts, tags, region, block and whether it may be content."""
 
     region: int
+    block: int
     content: bool
     parts: list[str] = field(default_factory=list)
     tags: int = 1
@@ -71,6 +77,7 @@ class Line:
 class Open:
     tag: str
     region: int
+    block: int
     content: bool
     seen: bool
 
@@ -82,15 +89,20 @@ class _Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
         self.articles: set[int] = set()
-        self.regions = 0
-        self.open = [Open("", 0, True, True)]
-        self.line = Line(0, True)
+        # The region around each region; regions of the whole page, and those with text of their own.
+        self.around: dict[int, int] = {}
+        self.wide, self.spoken = {0}, set()
+        self.blocks = 0
+        self.open = [Open("", 0, 0, True, True)]
+        self.line = Line(0, 0, True)
 
     def _break(self) -> None:
         top = self.open[-1]
         if self.line.parts:
             self.lines.append(self.line)
-        self.line = Line(top.region, top.content)
+            if any(part.strip() for part in self.line.parts):
+                self.spoken.add(self.line.region)
+        self.line = Line(top.region, top.block, top.content)
 
     def _pop(self, tags: frozenset[str], stop: frozenset[str]) -> None:
         for at in range(len(self.open) - 1, 0, -1):
@@ -111,24 +123,30 @@ class _Lines(HTMLParser):
             self._pop(frozenset(["p"]), REGION | ASIDE | frozenset(["div", "section", "table", "button"]))
             if tag in ENDS:
                 self._pop(*ENDS[tag])
+            self._break()
             if tag in VOID:
-                self._break()
                 return
         top = self.open[-1]
-        aside, region = self._is_aside(tag, attrs), top.region
+        aside, region, block = self._is_aside(tag, attrs), top.region, top.block
         if tag in INLINE:
             # What is set apart inside a block is left out of its text.
-            self.open.append(Open(tag, region, top.content, top.seen and not aside))
+            self.open.append(Open(tag, region, block, top.content, top.seen and not aside))
             return
         content = top.content and not aside
         if tag in REGION or (region not in self.articles and tag not in LEAF):
-            self.regions += 1
-            region = self.regions
+            self.blocks += 1
+            block = self.blocks
+            # A section is a part of a container that holds text beside it.
+            part = tag in INNER or (tag == "section" and region in self.spoken - self.wide)
+            if not part:
+                self.around[block], region = region, block
             if tag in REGION:
                 self.articles.add(region)
+            if tag in ("html", "body"):
+                self.wide.add(region)
         if tag == "header" and region not in self.articles:
             content = False
-        self.open.append(Open(tag, region, content, top.seen and tag not in UNSEEN))
+        self.open.append(Open(tag, region, block, content, top.seen and tag not in UNSEEN))
         self._break()
 
     def _is_aside(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
@@ -166,8 +184,8 @@ class _Lines(HTMLParser):
             self.line.parts.append(data)
 
 
-def lines_of(html: str) -> tuple[list[Line], set[int]]:
-    """The lines of a page that have text, and the numbers of its article regions."""
+def lines_of(html: str) -> tuple[list[Line], _Lines]:
+    """The lines of a page that have text, and the parser that knows its regions."""
     parser = _Lines()
     # Marked sections are comments in HTML.
     html = html.replace("<![", "<! [")
@@ -175,7 +193,7 @@ def lines_of(html: str) -> tuple[list[Line], set[int]]:
         parser.feed(html[at : at + BLOCK])
     parser.close()
     parser._break()
-    return [line for line in parser.lines if line.text()], parser.articles
+    return [line for line in parser.lines if line.text()], parser
 
 
 def smoothed(ratios: np.ndarray) -> np.ndarray:
@@ -190,11 +208,14 @@ def main_text(html: str | None) -> str:
     """Blocks of the main text, one a line, in page order; empty if there is none.
 
     Lines whose smoothed ratio reaches the standard deviation of all are marked. A
-    region is an article or main element, or on pages without one, a container. It
-    is content if half its text is in marked lines; if no region is, the one with
-    most text.
+    region is an article or main element, or on pages without one, a container with
+    the lists, tables and quotes in it. It is content if half its text, or half of
+    what is outside those, is in marked lines; if no region is, the one with most
+    text. A list, table or quote of another region is content by its own text, and
+    a container between two marked lines of a region that is content is part of it.
     """
-    lines, articles = lines_of(html or "")
+    lines, page = lines_of(html or "")
+    articles = page.articles
     if not lines:
         return ""
     sizes = np.array([len(line.text()) for line in lines], dtype=float)
@@ -202,15 +223,41 @@ def main_text(html: str | None) -> str:
     marked = ratios >= ratios.std()
     own = [i for i, line in enumerate(lines) if line.content]
     inside = [i for i in own if lines[i].region in articles] or own
-    totals: dict[int, list[float]] = {}
+    # Text and marked text of regions, of their lines outside inner blocks, and of blocks.
+    whole, outside, blocks = {}, {}, {}
+    for i in inside:
+        line = lines[i]
+        own_lines = [(outside, line.region)] if line.region == line.block else []
+        for totals, of in [(whole, line.region), (blocks, line.block), *own_lines]:
+            total = totals.setdefault(of, [0.0, 0.0])
+            total[0] += sizes[i]
+            total[1] += sizes[i] * marked[i]
+    alone = {b for b, (text, above) in blocks.items() if above >= MARKED * text}
+    kept = {r for totals in (whole, outside) for r, (text, above) in totals.items() if above >= MARKED * text}
+    if not kept | alone and whole:
+        kept = {max(whole, key=lambda r: (whole[r][0], -r))}
+    kept |= _enclosed(lines, inside, marked, kept, page.around)
+    return "\n".join(lines[i].text() for i in inside if lines[i].region in kept or lines[i].block in alone)
+
+
+def _enclosed(
+    lines: list[Line], inside: list[int], marked: np.ndarray, kept: set[int], around: dict[int, int]
+) -> set[int]:
+    """Regions whose neighbouring lines in a kept region around them are both marked."""
+    places: dict[int, list[int]] = {}
     for i in inside:
-        total = totals.setdefault(lines[i].region, [0.0, 0.0])
-        total[0] += sizes[i]
-        total[1] += sizes[i] * marked[i]
-    kept = {r for r, (whole, above) in totals.items() if above >= MARKED * whole}
-    if not kept and totals:
-        kept = {max(totals, key=lambda r: (totals[r][0], -r))}
-    return "\n".join(lines[i].text() for i in inside if lines[i].region in kept)
+        places.setdefault(lines[i].region, []).append(i)
+    found = set()
+    for region in places.keys() - kept:
+        first, last = places[region][0], places[region][-1]
+        outer = region
+        while region not in found and (outer := around.get(outer)) is not None:
+            if outer in kept:
+                rows = places.get(outer, [])
+                before, after = bisect_left(rows, first), bisect_right(rows, last)
+                if before and after < len(rows) and marked[rows[before - 1]] and marked[rows[after]]:
+                    found.add(region)
+    return found
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:

@@ -296,6 +296,30 @@ def test_main_text(html, text):
     assert extract.main_text(html) == text
 
 
+def _page(inner: str, outer: str = "div") -> str:
+    links = "<div>" + "".join(f"<p><a href=/{i}>link {i}</a></p>" for i in range(12)) + "</div>"
+    long = "<p>" + "word " * 80 + "</p>"
+    return f"<body>{links}<{outer}>{long * 3}{inner}{long * 3}</{outer}>{links}</body>"
+
+
+@pytest.mark.parametrize("outer", ["div", "section"])
+@pytest.mark.parametrize(
+    "inner",
+    [
+        *("<ul>" + "".join(f"<li>item of the list {i:02}</li>" for i in range(n)) + "</ul>" for n in (4, 6, 8, 12, 200)),
+        "<table>" + "".join(f"<tr><td>row {i:02}</td><td>{i * i}</td></tr>" for i in range(20)) + "</table>",
+        "<dl>" + "".join(f"<dt>term {i}</dt><dd>said {i}</dd>" for i in range(9)) + "</dl>",
+        *(f"<{t}>" + "<p>short text</p>" * 9 + f"</{t}>" for t in ("blockquote", "section", "div")),
+        "<div><div>" + "<p>short text</p>" * 9 + "</div></div>",
+    ],
+)
+def test_lists_and_tables_stay_with_the_text_around_them(inner, outer):
+    lines = extract.main_text(_page(inner, outer)).split("\n")
+    blocks = [" ".join(b.split()) for b in re.split("<[^>]*>", inner)]
+    assert lines[3:-3] == [b for b in blocks if b]
+    assert {*lines[:3], *lines[-3:]} == {("word " * 80).strip()}
+
+
 def test_main_text_does_not_depend_on_blocks(monkeypatch):
     html = "<article>" + "".join(f"<p>par&amp;agraph {i} &#8364;</p>" for i in range(300)) + "</article>"
     whole = extract.main_text(html)
