@@ -9,7 +9,6 @@ taken whole, so short paragraphs and headings of an article stay.
 
 from __future__ import annotations
 
-import re
 from bisect import bisect_left, bisect_right
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -22,8 +21,10 @@ from pyspark.sql import functions as F
 from closebook.llm.common import small_batches, without
 
 #: Characters fed to the parser at once; lines the Gaussian reaches to each side, its
-#: width in lines; the part of a region's text that must be in marked lines.
-BLOCK, REACH, SIGMA, MARKED = 1 << 16, 2, 1.0, 0.5
+#: width in lines; the part of a region's text that must be in marked lines; the parts of
+#: the page's marked text from which an element set apart by its name is a wrapper,
+#: outside and inside articles.
+BLOCK, REACH, SIGMA, MARKED, WRAPS = 1 << 16, 2, 1.0, 0.5, (0.5, 0.75)
 
 # Elements of HTML by the part they play here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -32,7 +33,7 @@ INLINE = frozenset(
     " span strike strong sub sup time tt u var wbr br img".split()
 )
 UNSEEN = frozenset("script style noscript template head title iframe object svg canvas math audio video".split())
-ASIDE = frozenset("nav footer aside form menu dialog button select textarea fieldset".split())
+ASIDE = frozenset("nav footer aside menu dialog button select textarea fieldset".split())
 REGION = frozenset("article main".split())
 #: Blocks that are parts of the container they stand in.
 INNER = frozenset(
@@ -49,23 +50,24 @@ ENDS = {
     "th": (frozenset(["td", "th"]), frozenset(["table", "tr"])),
     "option": (frozenset(["option"]), frozenset(["select"])),
 }
-#: Words of a class, id or role that mark what is not the article.
+#: Classes, ids and roles that mark what is not the article.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments complementary"
     " consent contentinfo cookie cookies disqus footer gdpr masthead menu menubar modal nav navbar navigation"
     " newsletter notice notices pager pagination popup promo related replies reply respond search share sharing"
     " sidebar social sponsor sponsored subscribe toolbar".split()
 )
-_LETTERS = re.compile(r"[^a-z]+")
 
 
 @dataclass
 class Line:
-    """Text between block tags: its parts, tags, region, block and whether it may be content."""
+    """Text between block tags: its parts, tags, region, block, whether it may be content,
+    and the innermost element around it that is set apart by name (-1 if none)."""
 
     region: int
     block: int
     content: bool
+    apart: int
     parts: list[str] = field(default_factory=list)
     tags: int = 1
 
@@ -79,9 +81,20 @@ class Open:
     region: int
     block: int
     content: bool
+    apart: int
     seen: bool
 
 
+@dataclass
+class Apart:
+    """An element set apart by a name or as a form: the one around it, whether it stands
+    in an article, and what article and main elements it holds."""
+
+    around: int
+    inside: bool
+    holds: set[str] = field(default_factory=set)
+
+
 class _Lines(HTMLParser):
     """Turns parser events into lines."""
 
@@ -93,8 +106,9 @@ class _Lines(HTMLParser):
         self.around: dict[int, int] = {}
         self.wide, self.spoken = {0}, set()
         self.blocks = 0
-        self.open = [Open("", 0, 0, True, True)]
-        self.line = Line(0, 0, True)
+        self.aparts: list[Apart] = []
+        self.open = [Open("", 0, 0, True, -1, True)]
+        self.line = Line(0, 0, True, -1)
 
     def _break(self) -> None:
         top = self.open[-1]
@@ -102,7 +116,7 @@ class _Lines(HTMLParser):
             self.lines.append(self.line)
             if any(part.strip() for part in self.line.parts):
                 self.spoken.add(self.line.region)
-        self.line = Line(top.region, top.block, top.content)
+        self.line = Line(top.region, top.block, top.content, top.apart)
 
     def _pop(self, tags: frozenset[str], stop: frozenset[str]) -> None:
         for at in range(len(self.open) - 1, 0, -1):
@@ -120,19 +134,25 @@ class _Lines(HTMLParser):
                 return
         else:
             # A block ends an open paragraph, and some elements end their like.
-            self._pop(frozenset(["p"]), REGION | ASIDE | frozenset(["div", "section", "table", "button"]))
+            self._pop(frozenset(["p"]), REGION | ASIDE | frozenset(["div", "section", "table", "button", "form"]))
             if tag in ENDS:
                 self._pop(*ENDS[tag])
             self._break()
             if tag in VOID:
                 return
         top = self.open[-1]
-        aside, region, block = self._is_aside(tag, attrs), top.region, top.block
+        aside, named = self._is_aside(tag, attrs), self._is_named(tag, attrs)
+        region, block, apart = top.region, top.block, top.apart
         if tag in INLINE:
             # What is set apart inside a block is left out of its text.
-            self.open.append(Open(tag, region, block, top.content, top.seen and not aside))
+            self.open.append(Open(tag, region, block, top.content, apart, top.seen and not aside and not named))
             return
         content = top.content and not aside
+        if named:
+            self.aparts.append(Apart(apart, region in self.articles))
+            apart = len(self.aparts) - 1
+        if tag in REGION and apart >= 0:
+            self.aparts[apart].holds.add(tag)
         if tag in REGION or (region not in self.articles and tag not in LEAF):
             self.blocks += 1
             block = self.blocks
@@ -146,7 +166,7 @@ class _Lines(HTMLParser):
                 self.wide.add(region)
         if tag == "header" and region not in self.articles:
             content = False
-        self.open.append(Open(tag, region, block, content, top.seen and tag not in UNSEEN))
+        self.open.append(Open(tag, region, block, content, apart, top.seen and tag not in UNSEEN))
         self._break()
 
     def _is_aside(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
@@ -159,10 +179,16 @@ class _Lines(HTMLParser):
                 return True
             if name == "style" and value and "display:none" in value.replace(" ", "").lower():
                 return True
-            if name in ("class", "id", "role") and value and MARKS & set(_LETTERS.split(value.lower())):
-                return True
         return False
 
+    def _is_named(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+        """Whether it is set apart unless it turns out to hold the article."""
+        if tag in ("html", "body") or tag in REGION:
+            return False
+        if tag == "form":
+            return True
+        return any(n in ("class", "id", "role") and v and MARKS & set(v.lower().split()) for n, v in attrs)
+
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
@@ -172,7 +198,7 @@ class _Lines(HTMLParser):
         if tag in VOID:
             return
         # An inline end tag reaches no further than its block.
-        stop = LEAF | REGION | ASIDE | frozenset(["div", "section", "table"]) if tag in INLINE else frozenset()
+        stop = LEAF | REGION | ASIDE | frozenset(["div", "section", "table", "form"]) if tag in INLINE else frozenset()
         self._pop(frozenset([tag]), stop)
         if tag in INLINE:
             self.line.tags += 1
@@ -213,6 +239,8 @@ def main_text(html: str | None) -> str:
     what is outside those, is in marked lines; if no region is, the one with most
     text. A list, table or quote of another region is content by its own text, and
     a container between two marked lines of a region that is content is part of it.
+    Forms and elements with a name of ``MARKS`` are left out unless they hold the
+    article, see ``_free``.
     """
     lines, page = lines_of(html or "")
     articles = page.articles
@@ -221,7 +249,7 @@ def main_text(html: str | None) -> str:
     sizes = np.array([len(line.text()) for line in lines], dtype=float)
     ratios = smoothed(sizes / np.array([line.tags for line in lines]))
     marked = ratios >= ratios.std()
-    own = [i for i, line in enumerate(lines) if line.content]
+    own = _free(lines, sizes * marked, page)
     inside = [i for i in own if lines[i].region in articles] or own
     # Text and marked text of regions, of their lines outside inner blocks, and of blocks.
     whole, outside, blocks = {}, {}, {}
@@ -240,6 +268,45 @@ def main_text(html: str | None) -> str:
     return "\n".join(lines[i].text() for i in inside if lines[i].region in kept or lines[i].block in alone)
 
 
+def _free(lines: list[Line], weights: np.ndarray, page: _Lines) -> list[int]:
+    """Lines that may be content: in no element that is set apart, but for wrappers.
+
+    A wrapper holds a main element or most of the page's marked text. Where all
+    articles are set apart, so does an element that holds one and more marked text
+    than is free.
+    """
+    content = [i for i, line in enumerate(lines) if line.content]
+    aparts = page.aparts
+    held = [0.0] * len(aparts)
+    for i in content:
+        if lines[i].apart >= 0:
+            held[lines[i].apart] += weights[i]
+    for at in range(len(aparts) - 1, -1, -1):
+        if (around := aparts[at].around) >= 0:
+            held[around] += held[at]
+            aparts[around].holds |= aparts[at].holds
+    total = weights[content].sum()
+    wraps = [
+        "main" in apart.holds or (total > 0 and of >= WRAPS[apart.inside] * total)
+        for apart, of in zip(aparts, held, strict=True)
+    ]
+
+    def free() -> list[int]:
+        opened = {-1: True}
+        for at, apart in enumerate(aparts):
+            opened[at] = wraps[at] and opened[apart.around]
+        return [i for i in content if opened[lines[i].apart]]
+
+    found = free()
+    if any(lines[i].region in page.articles for i in found):
+        return found
+    rest = weights[found].sum()
+    for at, apart in enumerate(aparts):
+        if apart.holds and held[at] >= rest:
+            wraps[at] = True
+    return free()
+
+
 def _enclosed(
     lines: list[Line], inside: list[int], marked: np.ndarray, kept: set[int], around: dict[int, int]
 ) -> set[int]:

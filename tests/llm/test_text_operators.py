@@ -320,6 +320,31 @@ def test_lists_and_tables_stay_with_the_text_around_them(inner, outer):
     assert {*lines[:3], *lines[-3:]} == {("word " * 80).strip()}
 
 
+_LONG = "word " * 80
+
+
+@pytest.mark.parametrize("body", [f"<article><p>{_LONG}</p><p>short</p></article>", f"<div><p>{_LONG}</p><p>short</p></div>"])
+@pytest.mark.parametrize(
+    "start",
+    [
+        *(f"div id=page class='{c}'" for c in ("has-sidebar", "no-sidebar", "content with-nav", "ad-free", "post-share-wrap")),
+        *("div class='search-result-page'", "div class='content sidebar'", "div id=search", "form id=aspnetForm action=x"),
+        "form><div class=sidebar><div class=social",
+    ],
+)
+def test_wrappers_do_not_take_the_article_away(start, body):
+    html = f"<body><nav>{_LONG}</nav><{start}>{body}<div class=comments><p>noise</p></div></body>"
+    assert extract.main_text(html) == _LONG.strip() + "\nshort"
+
+
+def test_what_is_set_apart_beside_the_article_goes():
+    aside = "<div class='box sidebar'><article><p>teaser</p></article></div><form><p>mail</p></form>"
+    assert extract.main_text(f"<article><p>{_LONG}</p></article>{aside}") == _LONG.strip()
+    assert extract.main_text(f"<div><p>{_LONG}</p></div>{aside}") == _LONG.strip()
+    small = "<div class=search><main><p>small</p></main></div>"
+    assert extract.main_text(f"{small}<div><p>{_LONG}</p></div>") == "small"
+
+
 def test_main_text_does_not_depend_on_blocks(monkeypatch):
     html = "<article>" + "".join(f"<p>par&amp;agraph {i} &#8364;</p>" for i in range(300)) + "</article>"
     whole = extract.main_text(html)
