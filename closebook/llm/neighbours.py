@@ -58,14 +58,24 @@ def probed(vectors: np.ndarray, seed: int, table: int) -> np.ndarray:
 def nearest(
     ids: np.ndarray, vectors: np.ndarray, query_id: int, query: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Places and Euclidean distances of the ``k`` nearest rows, ties to the smaller id."""
+    """Places and Euclidean distances of the ``k`` nearest ids, each by its nearest row, ties to the smaller id."""
     far = np.sqrt(np.square(vectors - query).sum(axis=1))
-    own = ids != query_id
-    if np.count_nonzero(own) > 4 * k:
-        own &= far <= np.partition(far[own], k - 1)[k - 1]
-    kept = np.flatnonzero(own)
-    kept = kept[np.lexsort((ids[kept], far[kept]))][:k]
-    return kept, far[kept]
+    own, take = np.flatnonzero(ids != query_id), k
+    while True:
+        kept = own
+        if len(own) > 4 * take:
+            kept = own[far[own] <= np.partition(far[own], take - 1)[take - 1]]
+        kept = _first(ids, far, kept, k)
+        # Repeated rows of an id may have used up what was taken.
+        if len(kept) == k or len(own) <= 4 * take:
+            return kept, far[kept]
+        take *= 4
+
+
+def _first(ids: np.ndarray, far: np.ndarray, places: np.ndarray, k: int) -> np.ndarray:
+    """Of ``places``, the nearest of each id, in order of distance and id, at most ``k``."""
+    ordered = places[np.lexsort((ids[places], far[places]))]
+    return ordered[np.sort(np.unique(ids[ordered], return_index=True)[1])][:k]
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -92,9 +102,10 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
 def _few_copies(rows: DataFrame, k: int) -> DataFrame:
     """At most the ``k`` + 1 smallest ids of equal vectors; no other can be among ``k`` nearest.
 
-    The rank is limited before its shuffle, so copies of one vector never meet in a task.
+    Repeated rows of an id and vector are one before they are counted. The rank is limited before its shuffle, so copies of one vector never meet in a task.
     """
     copies = Window.partitionBy("v").orderBy("id")
+    rows = rows.dropDuplicates(["id", "v"])
     return rows.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k + 1).drop("copy")
 
 
@@ -106,7 +117,7 @@ def brute_force(rows: DataFrame, queries: list[tuple[int, list[float]]], k: int)
     shared = rows.sparkSession.sparkContext.broadcast(queries)
 
     def compare(batches):
-        # What a partition sends on is k rows for each query, however many rows it holds.
+        # What a partition sends on is k ids for each query, however many rows it holds.
         held = {query_id: (np.zeros(0, np.int64), np.zeros(0), None) for query_id, _ in shared.value}
         for batch in batches:
             if not batch.num_rows:
@@ -117,7 +128,7 @@ def brute_force(rows: DataFrame, queries: list[tuple[int, list[float]]], k: int)
                 old_ids, old_far, old = held[query_id]
                 own, far = np.append(old_ids, ids[at]), np.append(old_far, far)
                 met = vectors[at] if old is None else np.concatenate((old, vectors[at]))
-                best = np.lexsort((own, far))[:k]
+                best = _first(own, far, np.arange(len(own)), k)
                 held[query_id] = own[best], far[best], met[best]
         for query_id, (own, far, met) in held.items():
             if len(own):
@@ -128,6 +139,8 @@ def brute_force(rows: DataFrame, queries: list[tuple[int, list[float]]], k: int)
                 )
 
     found = rows.select("id", "v").mapInArrow(compare, _FOUND + ", v array<double>")
+    nearest_row = Window.partitionBy("query_id", "vec_id").orderBy("score", "v")
+    found = found.withColumn("row", F.row_number().over(nearest_row)).where("row = 1").drop("row")
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
@@ -150,7 +163,7 @@ def probes_needed(rows: DataFrame, queries: DataFrame, k: int, tables: int, seed
 
 
 def _met(base: DataFrame, queries: DataFrame, probes: int, k: int, tables: int, seed: int) -> DataFrame:
-    """Best ``k`` rows of every bucket a query probes, by exact distance."""
+    """Best ``k`` ids of every bucket a query probes, by exact distance."""
 
     @F.arrow_udf("array<int>")
     def hashed(vectors: pa.Array) -> pa.Array:

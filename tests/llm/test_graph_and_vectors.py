@@ -130,6 +130,41 @@ def test_neighbours_of_copies_and_unusable_rows(frame):
     assert got.where("query_id >= 2000").count() == 0
 
 
+def test_repeated_rows_use_up_no_place(frame):
+    schema = "vec_id long, embedding array<double>"
+    # One id eleven times before others of the same vector.
+    rows = [(5, [1.0, 2.0])] * 11 + [(i, [1.0, 2.0]) for i in range(6, 20)] + [(i, [-3.0, float(i)]) for i in range(20, 40)]
+    got = neighbours.search(frame(rows, schema), frame([(5, [1.0, 2.0])], schema), k=10)
+    assert [(r["vec_id"], r["score"]) for r in got.orderBy("rank").collect()] == [(i, 0.0) for i in range(6, 16)]
+    # A clustered table stored three times, each time turned by less than the clusters are apart.
+    rng = np.random.default_rng(4)
+    centres = 20 * np.eye(6)
+    held = {i: centres[i % 6] + 0.1 * rng.standard_normal(6) for i in range(120)}
+    rows = [(i, (v + turn).tolist()) for turn in (0.0, 1e-4, 2e-4) for i, v in held.items()]
+    asked = frame([(i, held[i].tolist()) for i in range(12)], schema)
+    for stored in (rows, [r for r in rows[:120] for _ in range(2)]):
+        found: dict[int, list] = {}
+        for r in neighbours.search(frame(stored, schema), asked, k=10).orderBy("query_id", "rank").collect():
+            found.setdefault(r["query_id"], []).append(r["vec_id"])
+        for i in range(12):
+            least: dict[int, float] = {}
+            for j, v in stored:
+                if j != i:
+                    least[j] = min(least.get(j, np.inf), float(np.sqrt(((np.array(v) - held[i]) ** 2).sum())))
+            assert found[i] == sorted(least, key=lambda j: (least[j], j))[:10]
+
+
+@pytest.mark.parametrize("repeats", [1, 30])
+def test_nearest_counts_ids(repeats):
+    rng = np.random.default_rng(repeats)
+    ids = np.repeat(np.arange(200), repeats)
+    vectors = np.repeat(rng.standard_normal((200, 4)), repeats, axis=0) + 1e-6 * rng.standard_normal((200 * repeats, 4))
+    at, far = neighbours.nearest(ids, vectors, 7, vectors[7 * repeats], 10)
+    least = np.sqrt(np.square(vectors - vectors[7 * repeats]).sum(axis=1)).reshape(200, repeats).min(axis=1)
+    want = [i for i in np.argsort(least) if i != 7][:10]
+    assert ids[at].tolist() == want and np.allclose(far, least[want])
+
+
 def test_few_rows_give_all_and_none(frame):
     schema = "vec_id long, embedding array<float>"
     few = frame([(0, [1.0, 2.0]), (1, [2.0, 1.0]), (2, [-1.0, 0.5])], schema)
