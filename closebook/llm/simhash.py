@@ -158,12 +158,15 @@ def representatives(
     """One row per component, of the smallest key; without fingerprint and component.
 
     Of repeated rows with that key one stays. A component without any key keeps
-    one row.
+    one row. Which of them does not depend on the order of the rows.
     """
     found, w = _rooted(marked, radius, key, name)
     found = found.where(F.col(key).eqNullSafe(F.col("component_id")))
     # Only repeated rows or rows without key still share a component here; the rank
     # is limited before its shuffle.
-    first = Window.partitionBy(w + "root").orderBy(name)
+    rest = [F.col(f"`{c}`") for c, kind in marked.dtypes if "map<" not in kind]
+    first = Window.partitionBy(w + "root").orderBy(
+        name, *[x for c in rest for x in (F.xxhash64(c), F.isnull(c))]
+    )
     kept = found.withColumn(w + "rank", F.row_number().over(first)).where(F.col(w + "rank") == 1)
     return kept.drop(w + "rank", w + "node", w + "root", "component_id", name)

@@ -206,6 +206,18 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     assert again == sorted(map(tuple, rows[5]))
 
 
+def test_pipeline_reads_what_the_stage_before_wrote(spark, monkeypatch):
+    read = []
+
+    def stage(spark, docs, sf_dir):
+        read.append(docs.inputFiles())
+        return docs.where("doc_id % 2 = 0")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("one", stage), ("two", stage)])
+    read.append(corpus_pipeline.run(spark, FOLDER).inputFiles())
+    assert [any(f.endswith("documents.parquet") for f in files) for files in read] == [True, False, False]
+
+
 def test_pipeline_of_no_documents(spark):
     empty = spark.read.parquet(f"{FOLDER}/documents.parquet").where("false")
     for _, stage in corpus_pipeline.STAGES:

@@ -76,6 +76,16 @@ def test_clusters_and_representatives_of_edges(frame):
     assert simhash.representatives(simhash.with_fingerprints(frame([], DOCS))).count() == 0
 
 
+def test_representatives_do_not_depend_on_the_order_of_rows(frame):
+    rows = [(i, "a b c d", s) for i in (None, 3) for s in ("x", "y", None, "z")]
+    rows += [(None, "e f g h i", s) for s in ("x", "y", None, "z")]
+    kept = []
+    for at in (0, 1, 5, 10):
+        turned = frame(rows[at:] + rows[:at], "doc_id long, text string, source string").coalesce(1)
+        kept.append({tuple(r) for r in simhash.representatives(simhash.with_fingerprints(turned)).collect()})
+    assert all(k == kept[0] and len(k) == 2 for k in kept)
+
+
 def test_components_of_a_chain_and_a_star(frame):
     chain = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 140)] + [(7, 7), (None, 3)]
     got = {r["node"]: r["root"] for r in components(frame(chain, "u long, v long")).collect()}
