@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from closebook.llm import decontaminate, extract, langid, mixing, neighbours, sharding, simhash, tokencount, toxicity, urlfilter
+from closebook.llm import (
+    decontaminate,
+    extract,
+    laesa,
+    langid,
+    maxscore,
+    mixing,
+    neighbours,
+    parttrie,
+    sharding,
+    simhash,
+    tokencount,
+    toxicity,
+    urlfilter,
+)
 from closebook.llm.common import fold_of, hand_over, remove, table
 from closebook.session import fresh_path
 
@@ -138,6 +152,27 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(vectors, vectors.where("vec_id % 100 = 0"), k=10)
 
 
+def op11_part_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of 16 parts of every vector over codebooks of 64 entries."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    coded, books = parttrie.encode(vectors, parts=16, entries=64, rounds=2, scale=256.0)
+    return parttrie.with_label_error(coded.drop("embedding")).select(
+        "vec_id", "code", "error", "label_error", F.lit(parttrie.digest(books)).alias("codebooks_sha256")
+    )
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector in the nearest of 16 centroids after 3 rounds."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return laesa.cluster(vectors, k=16, rounds=3, dims=64, scale=64.0, seed="1").drop("embedding")
+
+
+def op13_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest inner products of every twentieth vector."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return maxscore.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20, scale=64.0)
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_url_filter": op2_url_filter,
@@ -149,6 +184,9 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_shards": op9_shards,
     "op10_neighbours": op10_neighbours,
+    "op11_part_codes": op11_part_codes,
+    "op12_centroids": op12_centroids,
+    "op13_top_products": op13_top_products,
 }
 
 _OP1 = r"""
@@ -268,8 +306,84 @@ SELECT page_id, host, path, rule,
 FROM judged LEFT JOIN scored USING (host)
 """
 
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+_OP11 = f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS vec_row, vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE {_FINITE}),
+cut AS MATERIALIZED (
+  SELECT vec_row, vec_id, p, v[p * (len(v) // 16) + 1:(p + 1) * (len(v) // 16)] AS part
+  FROM kept, (SELECT unnest(range(16)) AS p)),
+leaves AS MATERIALIZED (SELECT p, part, count(*) AS n FROM cut GROUP BY p, part),
+seeds AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept ORDER BY vec_id LIMIT 64),
+c0 AS MATERIALIZED (SELECT p, entry, part AS e FROM cut JOIN seeds USING (vec_id)),
+""" + "".join(
+    f"""a{i} AS MATERIALIZED (
+  SELECT l.p, l.part, min(l.n) AS n,
+         arg_min(entry, [list_sum(list_transform(list_zip(part, e), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), entry]) AS entry,
+         CAST(min(list_sum(list_transform(list_zip(part, e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS BIGINT) AS far
+  FROM leaves l JOIN c{i} c ON l.p = c.p GROUP BY l.p, l.part),
+""" + (f"""s{i} AS (
+  SELECT p, entry, d, sum(n) AS m, sum(n * part[d]) AS s
+  FROM (SELECT *, unnest(range(1, len(part) + 1)) AS d FROM a{i}) GROUP BY p, entry, d),
+m{i} AS (
+  SELECT p, entry, list(CAST((s - ((s % m) + m) % m) // m AS BIGINT) ORDER BY d) AS e FROM s{i} GROUP BY p, entry),
+c{i + 1} AS MATERIALIZED (SELECT c.p, c.entry, coalesce(m.e, c.e) AS e FROM c{i} c LEFT JOIN m{i} m USING (p, entry)),
+""" if i < 2 else "")
+    for i in range(3)
+) + """coded AS (
+  SELECT vec_row, string_agg(printf('%02x', entry), '' ORDER BY c.p) AS code, CAST(sum(far) AS BIGINT) AS error
+  FROM cut c JOIN a2 a ON c.p = a.p AND c.part = a.part GROUP BY vec_row)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY p, entry)) FROM c2) AS codebooks_sha256
+FROM kept JOIN coded USING (vec_row)
+"""
+
+_OP12 = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS vec_row, vec_id,
+         list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE {_FINITE} AND len(embedding) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS c, v AS e
+  FROM kept ORDER BY sha256('1:' || vec_id), v LIMIT 16),
+""" + "".join(
+    f"""f{i} AS (
+  SELECT vec_row, v, c, list_sum(list_transform(list_zip(v, e), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS far FROM kept, c{i}),
+a{i} AS MATERIALIZED (
+  SELECT vec_row, any_value(v) AS v, arg_min(c, [far, c]) AS c, CAST(min(far) AS BIGINT) AS far FROM f{i} GROUP BY vec_row),
+""" + (f"""s{i} AS (
+  SELECT c, d, count(*) AS m, sum(v[d]) AS s FROM (SELECT c, v, unnest(range(1, 65)) AS d FROM a{i}) GROUP BY c, d),
+m{i} AS (SELECT c, list(CAST((s - ((s % m) + m) % m) // m AS BIGINT) ORDER BY d) AS e FROM s{i} GROUP BY c),
+c{i + 1} AS MATERIALIZED (SELECT c.c, coalesce(m.e, c.e) AS e FROM c{i} c LEFT JOIN m{i} m USING (c)),
+""" if i < 3 else "")
+    for i in range(4)
+) + """named AS (SELECT c, sha256(array_to_string(e, ',')) AS centroid_sha256 FROM c3)
+SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, far AS distance, CAST(sum(far) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(far) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM kept JOIN a3 a USING (vec_row) JOIN named n ON a.c = n.c
+"""
+
+_OP13 = f"""
+WITH kept AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE {_FINITE} AND vec_id IS NOT NULL),
+scored AS (
+  SELECT q.vec_id AS query_id, r.vec_id,
+         max(CAST(list_sum(list_transform(list_zip(q.v, r.v), lambda z: z[1] * z[2])) AS BIGINT)) AS score
+  FROM kept q JOIN kept r ON q.vec_id % 20 = 0 AND q.vec_id <> r.vec_id GROUP BY q.vec_id, r.vec_id),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored)
+SELECT * FROM ranked WHERE rank <= 20
+"""
+
 ORACLES = {
     "op1_mix_sources": _OP1,
     "op2_url_filter": _OP2,
     "op3_decontaminate": _OP3,
+    "op11_part_codes": _OP11,
+    "op12_centroids": _OP12,
+    "op13_top_products": _OP13,
 }
