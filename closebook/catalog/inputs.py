@@ -119,24 +119,28 @@ class StarInputs:
         """The new book: all lines."""
         return self.bcm()
 
-    def bcm_runs(self) -> DataFrame:
-        """The rows of both runs from one scan, tagged in ``run``.
+    def bcm_opening_run(self) -> DataFrame:
+        """The rows of the opening run, each line once.
 
-        Every line is a row of the opening book and, by its own exposure, of
-        the new book's opening or closing rows.
+        A line is a row of the opening book, and once more where its own exposure makes it an
+        opening row of the new book: the same row twice, counted in ``copies``.
         """
-        exposure = F.col("I17EXPCHANGE")
-        by_exposure = F.when(exposure == OPENING_EXPOSURE, F.lit(runs.OPENING)).when(
-            exposure == CLOSING_EXPOSURE, F.lit(runs.CLOSING)
-        )
+        return self.bcm().withColumns({"I17EXPCHANGE": F.lit(OPENING_EXPOSURE), runs.COPIES: self._opening_copies()})
+
+    def bcm_runs(self) -> DataFrame:
+        """The rows of both runs from one scan, tagged in ``run``; only closing lines are two rows."""
+        closing = F.col("I17EXPCHANGE") == CLOSING_EXPOSURE
         books = F.array(
             F.struct(F.lit(runs.OPENING).alias("run"), F.lit(OPENING_EXPOSURE).alias("exposure")),
-            F.struct(by_exposure.alias("run"), exposure.alias("exposure")),
+            F.struct(F.when(closing, F.lit(runs.CLOSING)).alias("run"), F.lit(CLOSING_EXPOSURE).alias("exposure")),
         )
-        tagged = self.bcm().withColumn("_book", F.explode(books)).filter("_book.run IS NOT NULL")
-        return tagged.withColumns(
-            {"run": F.col("_book.run"), "I17EXPCHANGE": F.col("_book.exposure")}
-        ).drop("_book")
+        counted = self.bcm().withColumn(runs.COPIES, self._opening_copies())
+        tagged = counted.withColumn("_book", F.explode(books)).filter("_book.run IS NOT NULL")
+        return tagged.withColumns({"run": F.col("_book.run"), "I17EXPCHANGE": F.col("_book.exposure")}).drop("_book")
+
+    @staticmethod
+    def _opening_copies():
+        return F.when(F.col("I17EXPCHANGE") == OPENING_EXPOSURE, F.lit(2.0)).otherwise(F.lit(1.0))
 
     def act(self) -> DataFrame:
         value = "o_totalprice * (1 - 2 * (o_orderkey % 2))"

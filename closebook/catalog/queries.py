@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from closebook import schemas
 from closebook.catalog.inputs import CODES, CURVES, PARAMS, StarInputs
 from closebook.functions import dates, ids, money
-from closebook.operators import classify, fill, grouping, lookups, valuation
+from closebook.operators import classify, dictionary, fill, grouping, lookups, valuation
 from closebook.params import WHOLE_EUR_CURRENCIES
 from closebook.plans import balances, ledger, movements, runs
 from closebook.session import fresh_path
@@ -64,7 +64,7 @@ def contract_keys(given: StarInputs) -> DataFrame:
     ref = F.col("I17REFOBJID")
     summed = counted(given.bcm(), ["I17REFOBJID"], ["I17ESTAMOUNT"])
     return summed.withColumns(
-        {f"contract_{form}": make(ref) for form, make in ids.CONTRACT_FORMS.items() if form != "whole"}
+        {f"contract_{form}": ids.contract(ref, form) for form in ids.CONTRACT_FORMS if form != "whole"}
     ).withColumns(
         {
             "zivot_nezivot": ids.life_flag(ref),
@@ -76,7 +76,7 @@ def contract_keys(given: StarInputs) -> DataFrame:
 
 @query
 def month_end_align(given):
-    df = valuation.with_aligned_date(given.bcm())
+    df = valuation.with_aligned_date(given.bcm(), PARAMS)
     summed = counted(df, ["I17SETTLEMDATE", "date_adjusted"], ["I17ESTAMOUNT"])
     return summed.withColumn("date_adjusted", dates.to_int(F.col("date_adjusted")))
 
@@ -183,7 +183,7 @@ def wide_curves(given):
 @query
 def discount_pv(given):
     names = list(CURVES)
-    df = valuation.with_aligned_date(given.bcm())
+    df = valuation.with_aligned_date(given.bcm(), PARAMS)
     df = valuation.with_rate(df, given.rates_open(), PARAMS.base_currency)
     df = valuation.with_factors(df, given.curves(), names, PARAMS.opening)
     df = valuation.present_values(df, names).withColumn("year", F.year("date_adjusted"))
@@ -193,7 +193,7 @@ def discount_pv(given):
 @query
 def ccy_rounding(given):
     names = list(CURVES)
-    df = valuation.with_aligned_date(given.bcm())
+    df = valuation.with_aligned_date(given.bcm(), PARAMS)
     df = valuation.with_rate(df, given.rates_open(), PARAMS.base_currency)
     df = valuation.with_factors(df, given.curves(), names, PARAMS.opening)
     df = valuation.rounded_present_values(df, names, PARAMS)
@@ -227,8 +227,10 @@ def shift_correction(given):
 
 @query
 def tag_origin(given):
-    summed = counted(
-        classify.derive_contract(given.bcm(), "tail2"), ["contract", "ri_rh"], ["I17ESTAMOUNT"]
+    paid = dictionary.once(given.bcm(), ["I17REFOBJID"], ["I17ESTAMOUNT"])
+    parsed = classify.derive_contract(paid, "tail2", with_life=False)
+    summed = parsed.groupBy("contract", "ri_rh").agg(
+        F.sum(dictionary.ROWS).alias("n"), money.zero_if_null(F.sum("I17ESTAMOUNT")).alias("I17ESTAMOUNT")
     )
     tagged = lookups.tag_members(summed, given.old_contracts(), "contract")
     return tagged.groupBy("origin", "ri_rh").agg(
@@ -261,8 +263,11 @@ def origin_discount(given):
 @query
 def map_to_account(given):
     df = classify.class_by_date(given.bcm(), PARAMS.opening)
-    df = classify.derive_contract(df, "segment")
-    summed = grouping.group_sum(df, balances.CONTRACT_GRAIN, ["I17ESTAMOUNT"])
+    by_id = dictionary.once(df, ["I17REFOBJID", "I17COSTREVENUE", "lrc_lic"], ["I17ESTAMOUNT"])
+    parsed = dictionary.with_parsed(
+        by_id, "I17REFOBJID", lambda listed: classify.derive_contract(listed, "segment")
+    )
+    summed = grouping.group_sum(parsed, balances.CONTRACT_GRAIN, ["I17ESTAMOUNT"])
     mapped = balances.map_to_account(summed, given.portfolios(), given.accounts_by_class())
     return grouping.group_sum(mapped, balances.OPEN_ACCOUNT_GRAIN, ["I17ESTAMOUNT"])
 
@@ -453,8 +458,9 @@ def bcm_reduction(given):
 
 
 def _ir(given: StarInputs) -> DataFrame:
-    both = given.bcm_runs().filter(F.col("run") == runs.OPENING)
-    return runs.opening_rows_of(both, given.rates_open(), given.curves(), PARAMS)
+    return runs.opening_rows_of(
+        given.bcm_opening_run(), given.rates_open(), given.curves(), PARAMS
+    )
 
 
 def _both_runs(given: StarInputs) -> DataFrame:
@@ -609,24 +615,31 @@ def ledger_project(given):
     )
 
 
-def _assigned(df: DataFrame, source: str) -> DataFrame:
+def _assigned(df: DataFrame, source: str, *kept: str) -> DataFrame:
     """Portfolio-lookup input: the assigned portfolio is null for suffixed ids."""
     ref, number = F.col(source), F.substring_index(ids.stem(F.col(source)), "_", -1).cast("int")
-    bare = F.concat(F.lit("CZR_ACP_"), ids.contract_by_segment(ref))
+    bare = F.concat(F.lit("CZR_ACP_"), ids.contract(ref, "segment"))
     return df.select(
         F.when(~F.contains(ref, F.lit("/")) & (number % 2 == 0), bare).alias(
             "Assigned Portfolio (Profit Recognition)"
         ),
         ref.alias("Contract/Portfolio"),
         F.concat(F.lit("LP"), (number % 7).cast("string")).alias("Local Portfolio"),
+        *kept,
     )
 
 
 @query
 def portfolio_lookup(given):
-    """Payments counted by contract, then placed; pairs of contract and portfolio are distinct."""
-    found = ledger.portfolio_lookup(_assigned(given.bcm(), "I17REFOBJID"))
-    results = counted(ledger.portfolio_contracts(_assigned(given.act(), "I17PORTID")), ["contract"])
+    """Payments counted by contract, then placed; pairs of contract and portfolio are distinct.
+
+    Ids are reduced to different ones before anything is made of them.
+    """
+    listed = dictionary.once(given.bcm(), ["I17REFOBJID"])
+    found = ledger.portfolio_lookup(_assigned(listed, "I17REFOBJID"))
+    paid = dictionary.once(given.act(), ["I17PORTID"])
+    placed = ledger.portfolio_contracts(_assigned(paid, "I17PORTID", dictionary.ROWS))
+    results = placed.groupBy("contract").agg(F.sum(dictionary.ROWS).alias("n"))
     return lookups.left_lookup(results, found, ["contract"])
 
 

@@ -28,56 +28,59 @@ def _slice(ref: Column, start: int, count: int | None = None) -> Column:
     return rest if count is None else F.substring_index(rest, "_", count)
 
 
-def _segment_code(ref: Column) -> Column:
-    return F.nullif(_slice(stem(ref), 2, 1), F.lit(""))
+def segment_part(base: Column) -> Column:
+    """The third part of an id without its suffix; empty if it has none."""
+    return _slice(base, 2, 1)
 
 
-def contract_by_segment(ref: Column) -> Column:
-    """Segment, then year, marker and number: ``LRH_2021_NO_10260``."""
-    base = stem(ref)
-    return F.concat(_slice(base, 2, 1), F.lit("_"), _slice(base, 4, 3))
+def tail(base: Column, count: int) -> Column:
+    """The last ``count`` parts: 3 -> ``2021_NO_10260``, 2 -> ``NO_10260``."""
+    return F.substring_index(base, "_", -count)
 
 
-def contract_tail(ref: Column, count: int) -> Column:
-    """The last ``count`` parts: 3 -> ``2021_NO_10260``, 2 -> ``NO_10260``."""
-    return F.substring_index(stem(ref), "_", -count)
+def _known(part: Column) -> Column:
+    return F.nullif(part, F.lit(""))
+
+
+# Contract keys from an id, its stem and its segment part. A caller that has the two as
+# columns works them out once for all keys; see ``classify.derive_contract``.
+CONTRACT_FORMS = {
+    # Segment, then year, marker and number: LRH_2021_NO_10260.
+    "segment": lambda ref, base, part: F.concat(part, F.lit("_"), _slice(base, 4, 3)),
+    "tail3": lambda ref, base, part: tail(base, 3),
+    "tail2": lambda ref, base, part: tail(base, 2),
+    # Segment plus the last three parts.
+    "segment_tail": lambda ref, base, part: F.concat(_known(part), F.lit("_"), tail(base, 3)),
+    # Everything from the segment on (ids that carry no portfolio part).
+    "from_segment": lambda ref, base, part: _slice(base, 2),
+    # Four parts from the segment on; the slash is not treated specially.
+    "portfolio": lambda ref, base, part: _slice(ref, 2, 4),
+    "whole": lambda ref, base, part: ref,
+}
 
 
-def contract_segment_tail(ref: Column) -> Column:
-    """Segment plus the last three parts."""
-    return F.concat(_segment_code(ref), F.lit("_"), contract_tail(ref, 3))
+def contract(ref: Column, form: str) -> Column:
+    """The contract key of an id in one of the forms."""
+    base = stem(ref)
+    return CONTRACT_FORMS[form](ref, base, segment_part(base))
 
 
-def contract_from_segment(ref: Column) -> Column:
-    """Everything from the segment on (ids that carry no portfolio part)."""
-    return _slice(stem(ref), 2)
+def life_of(part: Column) -> Column:
+    return F.when(part.startswith("L"), F.lit(LIFE)).otherwise(F.lit(NON_LIFE))
 
 
-def contract_of_portfolio(ref: Column) -> Column:
-    """Four parts from the segment on; the slash is not treated specially."""
-    return _slice(ref, 2, 4)
+def segment_of(part: Column) -> Column:
+    return F.substring(_known(part), 2, 2)
 
 
 def life_flag(ref: Column) -> Column:
-    is_life = F.substring(_segment_code(ref), 1, 1) == "L"
-    return F.when(is_life, F.lit(LIFE)).otherwise(F.lit(NON_LIFE))
+    return life_of(segment_part(stem(ref)))
 
 
 def segment(ref: Column) -> Column:
-    return F.substring(_segment_code(ref), 2, 2)
+    return segment_of(segment_part(stem(ref)))
 
 
 def onerous_marker(contract: Column) -> Column:
     """Marker inside a three-part contract key: ``2021_NO_10260`` -> ``NO``."""
     return F.nullif(_slice(contract, 1, 1), F.lit(""))
-
-
-CONTRACT_FORMS = {
-    "segment": contract_by_segment,
-    "tail3": lambda ref: contract_tail(ref, 3),
-    "tail2": lambda ref: contract_tail(ref, 2),
-    "segment_tail": contract_segment_tail,
-    "from_segment": contract_from_segment,
-    "portfolio": contract_of_portfolio,
-    "whole": lambda ref: ref,
-}

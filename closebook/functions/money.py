@@ -18,9 +18,14 @@ def half_even(amount: Column) -> Column:
     return F.rint(amount)
 
 
+def half_even_where(whole: Column, amount: Column) -> Column:
+    """Round only rows with the flag."""
+    return F.when(whole, half_even(amount)).otherwise(amount)
+
+
 def half_even_for(currency: Column, currencies: Iterable[str], amount: Column) -> Column:
     """Round only rows in the given currencies."""
-    return F.when(member(currency, currencies), half_even(amount)).otherwise(amount)
+    return half_even_where(member(currency, currencies), amount)
 
 
 def member(value: Column, values: Iterable[str]) -> Column:

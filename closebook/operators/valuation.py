@@ -12,9 +12,11 @@ from closebook.functions import dates
 from closebook.functions.money import (
     divide,
     half_even_for,
+    half_even_where,
     member,
     zero_if_null,
 )
+from closebook.operators import calendar
 from closebook.operators.grouping import union_books
 from closebook.operators.lookups import left_lookup
 from closebook.params import (
@@ -147,21 +149,28 @@ def wide_curves(curves: Mapping[str, DataFrame]) -> DataFrame:
     return widen_curves(stack_curves(curves), list(curves))
 
 
-def with_aligned_date(df: DataFrame) -> DataFrame:
+def with_aligned_date(df: DataFrame, params: CloseParams) -> DataFrame:
     """``date_adjusted``: the settlement date as a month end."""
-    settled = dates.from_int(F.col("I17SETTLEMDATE"))
-    return df.withColumn("date_adjusted", dates.align_month_end(settled))
+    return calendar.look_up(df, "I17SETTLEMDATE", {"date_adjusted": calendar.MONTH_END}, params)
 
 
 def with_buckets(df: DataFrame, params: CloseParams, by: str = "window") -> DataFrame:
     """``settlement`` and ``incurred`` period labels."""
-    bucket = dates.bucket_by_window if by == "window" else dates.bucket_by_year
-    return df.withColumns(
-        {
-            "settlement": bucket(F.col("I17SETTLEMDATE"), params),
-            "incurred": bucket(F.col("I17INCURREDDATE"), params),
-        }
-    )
+    label = _label(by)
+    df = calendar.look_up(df, "I17SETTLEMDATE", {"settlement": label}, params)
+    return calendar.look_up(df, "I17INCURREDDATE", {"incurred": label}, params)
+
+
+def with_periods(df: DataFrame, params: CloseParams, by: str = "window") -> DataFrame:
+    """Month end and both labels: the settlement date is looked up once for two of them."""
+    label = _label(by)
+    both = {"date_adjusted": calendar.MONTH_END, "settlement": label}
+    df = calendar.look_up(df, "I17SETTLEMDATE", both, params)
+    return calendar.look_up(df, "I17INCURREDDATE", {"incurred": label}, params)
+
+
+def _label(by: str) -> str:
+    return calendar.BY_WINDOW if by == "window" else calendar.BY_YEAR
 
 
 def with_factors(
@@ -207,31 +216,31 @@ def rounded_present_values(
     taken, and a missing factor means a present value of zero.
     """
     amount, rate, currency = F.col("I17ESTAMOUNT"), F.col(RATE), F.col(CURRENCY)
-    valued = df.withColumns(
+    # One step for each value that two others read: it is worked out once, and the generated
+    # code stays small enough for the JVM to compile.
+    df = df.withColumns(
         {
-            "nominal": zero_if_null(divide(amount, rate)),
-            "nominal_original_CCY": zero_if_null(
-                half_even_for(currency, params.whole_nominal, amount)
-            ),
+            "_whole_nominal": member(currency, params.whole_nominal),
+            "_whole_units": member(currency, params.whole_units),
         }
     )
-    original, nominal = F.col("nominal_original_CCY"), F.col("nominal")
-    cash = valued.withColumns(
+    whole_nominal, whole_units = F.col("_whole_nominal"), F.col("_whole_units")
+    df = df.withColumns(
         {
-            f"dcf_{n}": zero_if_null(F.col(f"factor_{n}") * original)
-            for n in names
+            "nominal": zero_if_null(divide(amount, rate)),
+            "nominal_original_CCY": zero_if_null(half_even_where(whole_nominal, amount)),
         }
     )
+    original, nominal = F.col("nominal_original_CCY"), F.col("nominal")
+    df = df.withColumns({f"_flow_{n}": zero_if_null(F.col(f"factor_{n}") * original) for n in names})
+    df = df.withColumns({f"_euro_{n}": zero_if_null(divide(F.col(f"_flow_{n}"), rate)) for n in names})
     columns = {}
     for name in names:
-        flow = F.col(f"dcf_{name}")
-        euro = zero_if_null(divide(flow, rate))
-        euro = half_even_for(currency, params.whole_nominal, euro)
-        columns[f"discount_{name}"] = euro - nominal
-        columns[f"discount_{name}_original_CCY"] = (
-            half_even_for(currency, params.whole_units, flow) - original
-        )
-    return cash.withColumns(columns).drop(*[f"dcf_{n}" for n in names])
+        flow, euro = F.col(f"_flow_{name}"), F.col(f"_euro_{name}")
+        columns[f"discount_{name}"] = half_even_where(whole_nominal, euro) - nominal
+        columns[f"discount_{name}_original_CCY"] = half_even_where(whole_units, flow) - original
+    steps = [f"_{kind}_{n}" for n in names for kind in ("flow", "euro")]
+    return df.withColumns(columns).drop("_whole_nominal", "_whole_units", *steps)
 
 
 def round_currencies(

@@ -50,6 +50,9 @@ class CloseParams:
     whole_nominal: tuple[str, ...] = WHOLE_NOMINAL_CURRENCIES
     whole_units: tuple[str, ...] = WHOLE_UNIT_CURRENCIES
     base_currency: str = BASE_CURRENCY
+    #: First and last year of the calendar, and the day that stands for an open end.
+    calendar_years: tuple[int, int] = (1950, 2099)
+    open_end: dt.date = dt.date(9999, 12, 31)
 
     @classmethod
     def for_closing(cls, closing: dt.date | str, **changes) -> CloseParams:

@@ -75,7 +75,7 @@ def opening_cash_flows(
 
     Rates come from the table for every currency, the base one included.
     """
-    df = with_rate(with_aligned_date(bcm), rates)
+    df = with_rate(with_aligned_date(bcm, params), rates)
     df = with_factors(df, curves, [curve], params.opening)
     df = derive_contract(class_by_date(df, params.opening), "segment")
     df = present_values(df, [curve]).withColumnRenamed(f"discount_{curve}", "discount")
@@ -102,7 +102,7 @@ def closing_cash_flows(
     Origin depends on the contract alone, so both discounts are summed per
     contract first and the list of old contracts meets the summed rows only.
     """
-    df = with_aligned_date(bcm.filter(F.col("I17EXPCHANGE") == CLOSING_EXPOSURE))
+    df = with_aligned_date(bcm.filter(F.col("I17EXPCHANGE") == CLOSING_EXPOSURE), params)
     df = with_rate(df, balance_rates(rates), params.base_currency)
     df = with_factors(df, curves, ["locked_in", "current"], params.closing)
     df = derive_contract(class_by_date(df, params.closing), "tail2")

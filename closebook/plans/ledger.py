@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from closebook.functions import ids
 from closebook.functions.money import trailing_minus
+from closebook.operators.classify import derive_key
+from closebook.operators.dictionary import once
 from closebook.operators.grouping import distinct_pairs, group_sum, reconcile
 from closebook.operators.lookups import left_lookup
 from closebook.schemas import (
@@ -53,19 +55,23 @@ def ledger_project(
     return with_source(files, prefix).select("src", *columns)
 
 
+ASSIGNED, OWN = "Assigned Portfolio (Profit Recognition)", "Contract/Portfolio"
+
+
 def portfolio_contracts(df: DataFrame) -> DataFrame:
     """Contract key from the assigned portfolio, or from the contract itself."""
-    assigned = F.col("Assigned Portfolio (Profit Recognition)")
-    key = F.when(
-        assigned.isNull(), ids.contract_by_segment(F.col("Contract/Portfolio"))
-    ).otherwise(ids.contract_of_portfolio(assigned))
-    return df.withColumn("contract", key)
+    own = derive_key(df, "segment", source=OWN, name="_own")
+    key = F.when(F.col(ASSIGNED).isNull(), F.col("_own")).otherwise(
+        ids.CONTRACT_FORMS["portfolio"](F.col(ASSIGNED), None, None)
+    )
+    return own.withColumn("contract", key).drop("_own")
 
 
 def portfolio_lookup(source: DataFrame) -> DataFrame:
-    """Distinct (contract, local portfolio) pairs."""
-    named = portfolio_contracts(source).withColumnRenamed("Local Portfolio", "local_portfolio")
-    return distinct_pairs(named, ["contract", "local_portfolio"])
+    """Distinct (contract, local portfolio) pairs; each different source row is parsed once."""
+    named = source.select(ASSIGNED, OWN, F.col("Local Portfolio").alias("local_portfolio"))
+    pairs = portfolio_contracts(once(named, [ASSIGNED, OWN, "local_portfolio"]))
+    return distinct_pairs(pairs, ["contract", "local_portfolio"])
 
 
 def enrich_with_portfolio(results: DataFrame, lookup: DataFrame) -> DataFrame:

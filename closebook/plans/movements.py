@@ -7,12 +7,11 @@ needs a single shuffle from cash flow to result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from closebook.functions import ids
 from closebook.functions.money import divide, member, zero_if_null
-from closebook.operators.classify import class_by_code
+from closebook.operators.classify import class_by_code, derive_key
 from closebook.operators.grouping import combine_runs, group_sum
 from closebook.operators.lookups import left_lookup
 from closebook.operators.valuation import average_rates, with_rate
@@ -27,9 +26,9 @@ def _original(name: str) -> str:
     return f"discount_{name}_original_CCY"
 
 
-def classify_run(run: DataFrame, params: CloseParams, closing: bool) -> DataFrame:
+def classify_run(run: DataFrame, params: CloseParams, closing: bool | Column) -> DataFrame:
     """Class, selecting period and short contract key of a run's rows."""
-    short = run.withColumn("contract", ids.contract_segment_tail(F.col("contract")))
+    short = derive_key(run, "segment_tail", source="contract")
     return class_by_code(short, params, first_quarter_is_claim=closing)
 
 
@@ -119,9 +118,7 @@ def _tagged_change(
 ) -> DataFrame:
     """The same from one table of both runs' rows: one pass, opening rows with the other sign."""
     closing = F.col("run") == CLOSING
-    own = classify_run(rows, params, closing=False).withColumnRenamed("lrc_lic", "_opening_class")
-    own = class_by_code(own, params, first_quarter_is_claim=True)
-    own = own.withColumn("lrc_lic", F.when(closing, F.col("lrc_lic")).otherwise(F.col("_opening_class")))
+    own = classify_run(rows, params, closing)
     signed = _selected(own, periods, params, inside).select(
         *MOVEMENT_KEYS,
         *[F.when(closing, F.col(c)).otherwise(-F.col(o)).alias(m) for m, (c, o) in measures.items()],

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from closebook.functions import ids
@@ -16,8 +16,8 @@ from closebook.operators.valuation import (
     rounded_present_values,
     shift_correction,
     with_aligned_date,
-    with_buckets,
     with_factors,
+    with_periods,
     with_rate,
     with_rate_by,
     with_rate_by_exposure,
@@ -26,6 +26,8 @@ from closebook.params import CLOSING_EXPOSURE, OPENING_EXPOSURE, CloseParams
 
 # Tags of the runs, where the rows of both are one table.
 OPENING, CLOSING = "opening", "closing"
+# How often a row counts, where equal rows of several books are one row.
+COPIES = "copies"
 RUN_KEYS = [
     "contract", "I17EXPCHANGE", "I17COSTREVENUE", "I17KEYDATE", "I17ESTCURR",
     "settlement", "incurred",
@@ -56,7 +58,7 @@ def valued_rows(
     params: CloseParams,
 ) -> DataFrame:
     """Cash flows with period buckets and rounded present values, row by row."""
-    df = with_buckets(with_aligned_date(bcm), params, by="window")
+    df = with_periods(bcm, params, by="window")
     df = with_rate(df, rates, params.base_currency)
     df = with_factors(df, curves, names, params.opening)
     df = rounded_present_values(df, names, params)
@@ -80,10 +82,18 @@ def opening_rows(
 def opening_rows_of(
     both: DataFrame, rates: DataFrame, curves: DataFrame, params: CloseParams
 ) -> DataFrame:
-    """The same where one table holds the rows of both books."""
+    """The same where one table holds the rows of both books; a column ``copies`` tells how
+    often a row counts."""
     df = valued_rows(both, rates, curves, OPENING_CURVES, params)
     df = shift_correction(df, UNSHIFTED)
-    return df.select(*RUN_KEYS, *run_measures(OPENING_CURVES))
+    return df.select(*RUN_KEYS, *_times(df, run_measures(OPENING_CURVES)))
+
+
+def _times(df: DataFrame, measures: Sequence[str]) -> list[Column]:
+    """Measures as often as the row counts. A row is valued, and rounded, once."""
+    if COPIES not in df.columns:
+        return [F.col(m) for m in measures]
+    return [(F.col(m) * F.col(COPIES)).alias(m) for m in measures]
 
 
 def opening_rollforward(opening, new, rates, curves, params: CloseParams) -> DataFrame:
@@ -128,16 +138,17 @@ def tagged_rows(
     """Rows of both runs, tagged in ``run``, valued in one pass and not yet summed.
 
     Each run has its own rates; dates, buckets, factors and corrections are
-    the same. ``closing_rates`` are currency and rate of one type.
+    the same. ``closing_rates`` are currency and rate of one type. A column
+    ``copies`` tells how often a row counts.
     """
-    df = with_buckets(with_aligned_date(rows), params, by="window")
+    df = with_periods(rows, params, by="window")
     rates = {OPENING: opening_rates, CLOSING: closing_rates}
     df = with_rate_by(df, rates, "run", params.base_currency)
     df = with_factors(df, curves, CLOSING_CURVES, params.opening)
     df = rounded_present_values(df, CLOSING_CURVES, params)
     df = fill_missing(df.withColumn("contract", F.col("I17REFOBJID")), keys=RUN_KEYS)
     df = shift_correction(df, UNSHIFTED)
-    return df.select("run", *RUN_KEYS, *run_measures(CLOSING_CURVES))
+    return df.select("run", *RUN_KEYS, *_times(df, run_measures(CLOSING_CURVES)))
 
 
 def bcm_reduction(bcm, opening_rates, closing_rates, curves, params: CloseParams) -> DataFrame:
@@ -146,7 +157,7 @@ def bcm_reduction(bcm, opening_rates, closing_rates, curves, params: CloseParams
     Rates follow the exposure; missing rates and factors are skipped.
     """
     names = ["locked_in", "tyc", "current"]
-    df = with_buckets(with_aligned_date(bcm), params, by="year")
+    df = with_periods(bcm, params, by="year")
     df = with_rate_by_exposure(df, opening_rates, closing_rates, params)
     df = present_values(with_factors(df, curves, names, params.closing), names)
     measures = ["nominal_original_CCY", "nominal", *[f"discount_{n}" for n in names]]
@@ -155,7 +166,7 @@ def bcm_reduction(bcm, opening_rates, closing_rates, curves, params: CloseParams
 
 def ungrouped_detail(new, rates, curves, params: CloseParams) -> DataFrame:
     """Opening-exposure cash flows one by one, without buckets or sums."""
-    df = with_aligned_date(new.filter(F.col("I17EXPCHANGE") == OPENING_EXPOSURE))
+    df = with_aligned_date(new.filter(F.col("I17EXPCHANGE") == OPENING_EXPOSURE), params)
     df = df.withColumn("contract", F.col("I17REFOBJID"))
     df = with_rate(df, rates, params.base_currency)
     df = with_factors(df, curves, OPENING_CURVES, params.opening)

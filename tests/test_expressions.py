@@ -30,7 +30,7 @@ def _cut(parts, a, b=None):
 
 def test_contract_forms(frame):
     df = frame([(i,) for i in IDS], "ref string")
-    made = df.select("ref", *[f(F.col("ref")).alias(n) for n, f in ids.CONTRACT_FORMS.items()])
+    made = df.select("ref", *[ids.contract(F.col("ref"), n).alias(n) for n in ids.CONTRACT_FORMS])
     for row in made.collect():
         whole, stem = row.ref.split("_"), row.ref.split("/")[0].split("_")
         assert row.segment == _cut(stem, 2, 3) + "_" + _cut(stem, 4, 7)
@@ -46,7 +46,7 @@ def test_segment_life_and_short_ids(frame):
     ref = F.col("ref")
     made = df.select(
         "ref", ids.segment(ref).alias("seg"), ids.life_flag(ref).alias("life"),
-        ids.contract_segment_tail(ref).alias("key"), ids.contract_by_segment(ref).alias("first"),
+        ids.contract(ref, "segment_tail").alias("key"), ids.contract(ref, "segment").alias("first"),
     )
     found = {r.ref: r for r in made.collect()}
     assert found[IDS[1]].seg == "RH" and found[IDS[1]].life == "zivot"

@@ -63,7 +63,7 @@ def test_wide_curves(frame, curves, rows):
 
 
 def _valued(book, rates, curves, names, rounded=False, date=PARAMS.opening):
-    df = valuation.with_rate(valuation.with_aligned_date(book), rates, "EUR")
+    df = valuation.with_rate(valuation.with_aligned_date(book, PARAMS), rates, "EUR")
     df = valuation.with_factors(df, curves, names, date)
     return valuation.rounded_present_values(df, names, PARAMS) if rounded else valuation.present_values(df, names)
 
