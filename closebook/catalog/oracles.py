@@ -501,6 +501,39 @@ WHERE account IS NULL OR I17ESTCURR IS NULL""")
 
 _state("bcm_balance_open", f"SELECT {_OPEN_GRAIN}, {', '.join(f'{_money(m)} AS {m}' for m in _OPEN_M)} FROM bcm_o")
 _state("bcm_balance_open_by_code", f"SELECT {_OPEN_CODES}, {', '.join(f'{_money(m)} AS {m}' for m in _OPEN_M)} FROM codes_o")
+_state("bcm_balance_open_grains", f"""
+SELECT 'account' AS grain, ri_rh, zivot_nezivot, local_portfolio, account, NULL AS I17COSTREVENUE, NULL AS lrc_lic,
+  {', '.join(f'{_money(m)} AS {m}' for m in _OPEN_M)} FROM bcm_o
+UNION ALL
+SELECT 'code', ri_rh, zivot_nezivot, local_portfolio, NULL, I17COSTREVENUE, lrc_lic,
+  {', '.join(f'{_money(m)} AS {m}' for m in _OPEN_M)} FROM codes_o""")
+_VIEWS["flagged"] = f"""
+SELECT b.*, coalesce(I17EXPCHANGE IN (10, 60), false) AS kept,
+  CASE WHEN I17ESTCURR = 'EUR' THEN 1 WHEN I17EXPCHANGE = 10 THEN o.rate WHEN I17EXPCHANGE = 60 THEN m.rate END AS rate,
+  CASE WHEN date_adjusted = {_OPENING} THEN 1 ELSE c.factor END AS factor,
+  {_ri_rh('I17REFOBJID')} AS ri_rh, {_life('I17REFOBJID')} AS zivot_nezivot, {_form_segment('I17REFOBJID')} AS contract,
+  CASE WHEN incurred_day <= {_OPENING} THEN 'LIC' ELSE 'LRC' END AS lrc_lic
+FROM bcm b LEFT JOIN fx_open o ON o.ccy = I17ESTCURR LEFT JOIN fx_m m ON m.ccy = I17ESTCURR
+LEFT JOIN curve_tyc c ON c.day = date_adjusted AND c.ccy = I17ESTCURR"""
+_VIEWS["flagged_mapped"] = _mapped("flagged", "portfolios", "by_class", True)
+_state("data_quality", " UNION ALL ".join(
+    f"SELECT '{name}' AS check, count(*) AS n, {_sum('I17ESTAMOUNT', 'amount')} FROM flagged_mapped WHERE {condition}"
+    for name, condition in (
+        ("rows", "true"),
+        ("other_exposure", "NOT kept"),
+        ("missing_rate", "kept AND rate IS NULL"),
+        ("zero_rate", "kept AND rate = 0"),
+        ("missing_factor", "kept AND factor IS NULL"),
+        ("no_portfolio", "kept AND local_portfolio IS NULL"),
+        ("no_account", "kept AND account IS NULL"),
+    )
+))
+_state("checked_balance", f"""
+SELECT {_OPEN_GRAIN}, {_sum('I17ESTAMOUNT', 'nominal_original_CCY')}, {_sum('I17ESTAMOUNT / nullif(rate, 0)', 'nominal')},
+  {_sum('factor * I17ESTAMOUNT / nullif(rate, 0) - I17ESTAMOUNT / nullif(rate, 0)', 'discount')}
+FROM (SELECT * REPLACE (CASE WHEN kept THEN I17ESTAMOUNT END AS I17ESTAMOUNT) FROM flagged_mapped)
+WHERE ri_rh IS NOT NULL AND local_portfolio IS NOT NULL AND account IS NOT NULL GROUP BY ALL""")
+_state("exact_totals", f"SELECT I17ESTCURR, {_money('sum(I17ESTAMOUNT)')} AS I17ESTAMOUNT FROM bcm GROUP BY I17ESTCURR")
 _state("bcm_balance_close", f"SELECT {_CLOSE_GRAIN}, {', '.join(f'{_money(m)} AS {m}' for m in _CLOSE_M)} FROM bcm_c")
 _state("bcm_balance_close_by_code", f"SELECT {_CLOSE_CODES}, {', '.join(f'{_money(m)} AS {m}' for m in _CLOSE_M)} FROM codes_c")
 _state("actuals_balance_open", f"SELECT {_OPEN_GRAIN}, {_money('actuals_CCY')} AS actuals_CCY, {_money('actuals')} AS actuals FROM act_o")

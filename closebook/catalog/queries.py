@@ -16,7 +16,7 @@ from closebook.catalog.inputs import CODES, CURVES, PARAMS, StarInputs
 from closebook.functions import dates, ids, money
 from closebook.operators import classify, dictionary, fill, grouping, lookups, valuation
 from closebook.params import WHOLE_EUR_CURRENCIES
-from closebook.plans import balances, ledger, movements, runs
+from closebook.plans import balances, ledger, movements, quality, runs
 from closebook.session import fresh_path
 from closebook.sources import delimited, tables
 
@@ -446,6 +446,39 @@ def rowwise_total(given):
     return grouping.with_total(summed, ["exposure_10", "exposure_60"])
 
 
+@query
+def bcm_balance_open_grains(given):
+    return balances.bcm_balance_grains(
+        given.bcm(), given.curves(), given.rates_open(), given.portfolios(),
+        given.accounts_by_class(), PARAMS,
+    )
+
+
+@query
+def data_quality(given):
+    """What the opening balance leaves out, counted in the pass that values it."""
+    flows = quality.flagged_flows(
+        given.bcm(), given.curves(tyc="tyc"), given.rates_open(), given.rates_close(), PARAMS, "tyc"
+    )
+    return quality.checked_balance(flows, given.portfolios(), given.accounts_by_class())[1]
+
+
+@query
+def checked_balance(given):
+    """The balance those checks belong to, at the rates of each exposure."""
+    flows = quality.flagged_flows(
+        given.bcm(), given.curves(tyc="tyc"), given.rates_open(), given.rates_close(), PARAMS, "tyc"
+    )
+    return quality.checked_balance(flows, given.portfolios(), given.accounts_by_class())[0]
+
+
+@query
+def exact_totals(given):
+    """Totals by currency added as whole numbers: the same bits on any partitioning."""
+    amount = money.exact_sum(F.col("I17ESTAMOUNT"))
+    return given.bcm().groupBy("I17ESTCURR").agg(amount.alias("I17ESTAMOUNT"))
+
+
 # --- runs and movements ---------------------------------------------------
 
 

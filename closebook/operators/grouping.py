@@ -11,6 +11,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from closebook.functions import money
 from closebook.functions.money import row_total, zero_if_null
 
 
@@ -44,6 +45,34 @@ def group_sum(
     )
 
 
+def group_sum_sets(
+    df: DataFrame, grains: Mapping[str, Sequence[str]], measures: Iterable[str], name: str = "grain"
+) -> DataFrame:
+    """``group_sum`` to several grains from one pass: ``name`` tells a row's grain.
+
+    Keys that a grain lacks are null in its rows. The rows of ``df`` are read once and
+    summed to all grains before the shuffle.
+    """
+    keys = list(dict.fromkeys(key for grain in grains.values() for key in grain))
+    label, whole = F.lit(None).cast("string"), F.lit(True)
+    for key in keys:
+        whole = whole & ((F.grouping(key) == 1) | F.col(key).isNotNull())
+    for grain, own in grains.items():
+        here = F.lit(True)
+        for key in keys:
+            here = here & (F.grouping(key) == (0 if key in own else 1))
+        label = F.when(here, F.lit(grain)).otherwise(label)
+    sets = [[F.col(key) for key in own] for own in grains.values()]
+    grouped = df.groupingSets(sets, *keys).agg(
+        *[F.sum(F.col(m)).alias(m) for m in measures], label.alias(name), whole.alias("_whole")
+    )
+    return grouped.filter("_whole").select(
+        name,
+        *[F.col(f"`{key}`") for key in keys],
+        *[zero_if_null(F.col(f"`{m}`")).alias(m) for m in measures],
+    )
+
+
 def dropped_by_null_key(
     df: DataFrame, keys: Sequence[str], measures: Iterable[str], rows: str | None = None
 ) -> DataFrame:
@@ -62,8 +91,8 @@ def dropped_by_null_key(
 
 
 def control_total(df: DataFrame, measures: Iterable[str]) -> DataFrame:
-    """One row with the grand total of every measure."""
-    return df.agg(*[zero_if_null(F.sum(F.col(m))).alias(m) for m in measures])
+    """One row with the grand total of every measure, the same in whatever order the rows are added."""
+    return df.agg(*[zero_if_null(money.exact_sum(F.col(m))).alias(m) for m in measures])
 
 
 def distinct_pairs(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -117,16 +146,6 @@ def align(
     return group_sum(union_books(shaped), keys, measures, required)
 
 
-def align_by_join(
-    components: Sequence[DataFrame], keys: Sequence[str]
-) -> DataFrame:
-    """The same alignment as chained full outer joins; absent measures are null."""
-    aligned = components[0]
-    for part in components[1:]:
-        aligned = aligned.join(part, on=list(keys), how="full")
-    return aligned
-
-
 def combine_runs(
     left: DataFrame,
     right: DataFrame,

@@ -20,32 +20,35 @@ def duplicate_keys(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counted.filter(F.col("copies") > 1)
 
 
-def assert_unique(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Stop before a lookup multiplies rows; the check runs as one job."""
-    found = duplicate_keys(dim, keys).limit(5).collect()
-    if found:
-        raise ValueError(f"duplicate lookup keys, for example {found}")
-    return dim
+def checked(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``dim`` for a lookup that must not multiply rows: a second row for a key stops the job.
+
+    The check is an aggregate of the dimension in the plan of the lookup, so it costs
+    no job of its own and cannot be forgotten. Rows with a null key match nothing and
+    are left out.
+    """
+    values = F.struct(*[F.col(f"`{c}`") for c in dim.columns if c not in keys])
+    whole = F.lit(True)
+    for key in keys:
+        whole = whole & F.col(key).isNotNull()
+    known = dim.filter(whole).select(*keys, values.alias("_values"))
+    named = F.concat_ws(", ", *[F.col(key).cast("string") for key in keys])
+    twice = F.raise_error(F.concat(F.lit("two rows for the lookup key "), named))
+    kind = known.schema["_values"].dataType
+    one = F.when(F.count(F.lit(1)) > 1, twice.cast(kind)).otherwise(F.max("_values"))
+    return known.groupBy(*keys).agg(one.alias("_values")).select(*keys, "_values.*")
 
 
 def left_lookup(
     df: DataFrame, dim: DataFrame, keys: Sequence[str], keep: Sequence[str] | None = None
 ) -> DataFrame:
     """Left join on equal keys. Unmatched rows and rows with a null key stay with
-    null; several dimension rows for one key multiply the row."""
+    null; several dimension rows for one key multiply the row, unless ``dim`` is ``checked``."""
     if keep is not None:
         dim = dim.select(*keys, *keep)
     return df.join(dim, on=list(keys), how="left")
 
 
-def semi_anti(
-    df: DataFrame, members: DataFrame, key: str
-) -> tuple[DataFrame, DataFrame]:
-    """Rows whose key is in a table's column, and all the others."""
-    listed = members.select(key).distinct()
-    return df.join(listed, key, "left_semi"), df.join(listed, key, "left_anti")
-
-
 def tag_members(
     df: DataFrame,
     members: DataFrame,

@@ -88,6 +88,17 @@ def with_rate_by_exposure(
     One join on (currency, exposure) instead of splitting the rows; any other
     exposure is dropped.
     """
+    return rated_by_exposure(df.filter(has_rate_set(F.col("I17EXPCHANGE"))), opening, closing, params)
+
+
+def has_rate_set(exposure: Column) -> Column:
+    return F.coalesce(exposure.isin(OPENING_EXPOSURE, CLOSING_EXPOSURE), F.lit(False))
+
+
+def rated_by_exposure(
+    df: DataFrame, opening: DataFrame, closing: DataFrame, params: CloseParams
+) -> DataFrame:
+    """The same with the rows of other exposures, whose rate means nothing."""
     both = (
         rate_set(opening)
         .withColumn("I17EXPCHANGE", F.lit(OPENING_EXPOSURE))
@@ -96,8 +107,7 @@ def with_rate_by_exposure(
         )
         .withColumnRenamed("FROM_CURRENCY", CURRENCY)
     )
-    kept = df.filter(F.col("I17EXPCHANGE").isin(OPENING_EXPOSURE, CLOSING_EXPOSURE))
-    rated = left_lookup(kept, both, [CURRENCY, "I17EXPCHANGE"])
+    rated = left_lookup(df, both, [CURRENCY, "I17EXPCHANGE"])
     forced = F.when(F.col(CURRENCY) == params.base_currency, F.lit(1.0))
     return rated.withColumn(RATE, forced.otherwise(F.col(RATE)))
 

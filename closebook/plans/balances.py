@@ -23,10 +23,11 @@ from closebook.operators.grouping import (
     align,
     control_total,
     group_sum,
+    group_sum_sets,
     union_books,
     with_total,
 )
-from closebook.operators.lookups import left_lookup, tag_members
+from closebook.operators.lookups import checked, left_lookup, tag_members
 from closebook.operators.valuation import (
     balance_rates,
     npr_amount,
@@ -60,9 +61,12 @@ def map_to_account(
     accounts: DataFrame,
     account_keys: Sequence[str] = BY_CLASS,
 ) -> DataFrame:
-    """Summed rows -> local portfolio (by contract) -> account (by code)."""
-    placed = left_lookup(df, portfolios, ["contract"], ["local_portfolio"])
-    return left_lookup(placed, accounts, account_keys, ["account"])
+    """Summed rows -> local portfolio (by contract) -> account (by code).
+
+    A contract has one portfolio and a code one account: a second one stops the job.
+    """
+    placed = left_lookup(df, checked(portfolios, ["contract"]), ["contract"], ["local_portfolio"])
+    return left_lookup(placed, checked(accounts, account_keys), account_keys, ["account"])
 
 
 # --- cash flows -----------------------------------------------------------
@@ -142,6 +146,21 @@ def bcm_balance_close(
     return group_sum(map_to_account(flows, portfolios, accounts), grain, CLOSE_BCM)
 
 
+def bcm_balance_grains(
+    bcm: DataFrame,
+    curves: DataFrame,
+    rates: DataFrame,
+    portfolios: DataFrame,
+    accounts: DataFrame,
+    params: CloseParams,
+    curve: str = "tyc",
+) -> DataFrame:
+    """Opening cash-flow balance by account and by code, from one valuation; ``grain`` tells which."""
+    flows = opening_cash_flows(bcm, curves, rates, params, curve)
+    mapped = map_to_account(flows, portfolios, accounts)
+    return group_sum_sets(mapped, {"account": OPEN_ACCOUNT_GRAIN, "code": OPEN_CODE_GRAIN}, OPEN_BCM)
+
+
 # --- actuals --------------------------------------------------------------
 
 

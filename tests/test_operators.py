@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import random
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
-from closebook.operators import fill, grouping, lookups
+from closebook.functions import dates, money
+from closebook.operators import calendar, dictionary, fill, grouping, lookups
+from closebook.params import CloseParams
 
 PARTS = "k string, c string, x double, y double"
 
@@ -64,7 +67,7 @@ def test_alignment_equals_chained_outer_joins(frame, rows):
     b = grouping.group_sum(_random_book(frame, 4).filter("k > 'b'"), keys, ["y"])
     c = grouping.group_sum(_random_book(frame, 5).filter("c = 'u'"), keys, ["x"]).withColumnRenamed("x", "w")
     fast = grouping.align([a, b, c], keys, ["x", "y", "w"])
-    slow = grouping.align_by_join([a, b, c], keys).na.fill(0.0)
+    slow = a.join(b, keys, "full").join(c, keys, "full").na.fill(0.0)
     assert rows(fast) == rows(slow.select(*keys, "x", "y", "w"))
     before = sum(p.agg(F.sum(m)).first()[0] for p, m in ((a, "x"), (b, "y"), (c, "w")))
     after = grouping.with_total(fast, ["x", "y", "w"]).agg(F.sum("total_balance")).first()[0]
@@ -91,8 +94,21 @@ def test_lookup_fans_out_and_keeps_unmatched(frame, rows):
     assert rows(lookups.left_lookup(df, dim, ["k"])) == [
         ("a", 1, "X"), ("a", 1, "Y"), ("b", 2, None), (None, 3, None),
     ]
-    with pytest.raises(ValueError, match="duplicate"):
-        lookups.assert_unique(dim, ["k"])
+
+
+def test_checked_lookup_stops_at_a_second_row(spark, frame, rows):
+    df = frame([("a", 1), ("b", 2), (None, 3)], "k string, v int")
+    dim = frame([("a", 7, "X"), (None, 1, "N"), (None, 2, "M"), ("c", None, None)], "k string, n int, account string")
+    lazy = lookups.checked(dim, ["k"])
+    assert rows(lookups.left_lookup(df, lazy, ["k"])) == [("a", 1, 7, "X"), ("b", 2, None, None), (None, 3, None, None)]
+    twice = dim.union(frame([("a", 8, "Y")], "k string, n int, account string"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("checked", "checked")
+    joined = lookups.left_lookup(df, lookups.checked(twice, ["k"]), ["k"])
+    assert list(tracker.getJobIdsForGroup("checked")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    with pytest.raises(Exception, match="two rows for the lookup key a"):
+        joined.collect()
 
 
 def test_membership(frame, rows):
@@ -100,8 +116,6 @@ def test_membership(frame, rows):
     members = frame([("a",), ("a",), (None,)], "k string")
     tagged = lookups.tag_members(df, members, "k")
     assert rows(tagged) == [("a", 1, "old"), ("b", 2, "new"), (None, 3, "new")]
-    inside, outside = lookups.semi_anti(df, members, "k")
-    assert rows(inside) == [("a", 1)] and rows(outside) == [("b", 2), (None, 3)]
     mapped = lookups.map_values(df, "k", {"a": "Q1"})
     assert rows(mapped) == [("Q1", 1), ("b", 2), (None, 3)]
 
@@ -165,3 +179,97 @@ def test_slices_follow_the_row_count(frame, monkeypatch):
     monkeypatch.setattr(fill, "SLICE_ROWS", 10)
     sliced = fill.with_slices(frame([(i,) for i in range(95)], "o long"), "o")
     assert sliced.select("_slice").distinct().count() == 10
+
+
+# Id dictionary
+
+
+def _marked(df):
+    return df.withColumn("parsed", F.concat(F.lit("p"), F.col("k")))
+
+
+def test_ids_are_reduced_before_they_are_parsed(frame, rows):
+    df = frame([("a", 1.0), ("a", 2.0), ("b", None), (None, 4.0), ("a", 3.0)], "k string, x double")
+    assert rows(dictionary.once(df, ["k"], ["x"])) == [("a", 3, 6.0), ("b", 1, None), (None, 1, 4.0)]
+    assert rows(dictionary.id_dictionary(df, "k", _marked)) == [("a", "pa"), ("b", "pb")]
+    joined = dictionary.with_parsed(df, "k", _marked)
+    assert rows(joined) == [("a", 1.0, "pa"), ("a", 2.0, "pa"), ("a", 3.0, "pa"), ("b", None, "pb"), (None, 4.0, None)]
+    assert dictionary.id_dictionary(df.filter("false"), "k", _marked).count() == 0
+
+
+def test_conditions_on_parsed_ids_stay_above_the_sum(frame):
+    df = frame([("a_b", 1.0)], "k string, x double")
+    listed = dictionary.once(df, ["k"]).withColumn("part", F.substring_index("k", "_", 1)).filter("part = 'a'")
+    plan = listed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Filter") < plan.index("Aggregate") and plan.count("substring_index") == 2
+    assert "substring_index" not in plan[plan.index("Aggregate"):]
+
+
+# Exact sums and grouping sets
+
+
+def test_exact_sums_do_not_depend_on_the_partitioning(spark, frame):
+    rng = random.Random(3)
+    values = [rng.uniform(-1, 1) * 10 ** rng.randint(-3, 13) for _ in range(3000)]
+    values += [1e15, 0.1, -1e15, 0.2, -0.0, 123456789.015625, -7.0]
+    df = frame([(i % 5, v) for i, v in enumerate(values)] + [(9, None)], "k int, x double")
+    seen = set()
+    for parts in (1, 3, 40):
+        dealt = df.repartition(parts, F.xxhash64("x", F.lit(parts)))
+        found = dealt.groupBy("k").agg(money.exact_sum(F.col("x")).alias("x")).collect()
+        total = grouping.control_total(dealt, ["x"]).first()["x"]
+        seen.add((tuple(sorted((r["k"], None if r["x"] is None else r["x"].hex()) for r in found)), total.hex()))
+    assert len(seen) == 1
+    (groups, total), = seen
+    assert dict(groups)[9] is None
+    exact = sum(map(Fraction, values))
+    assert abs(Fraction(float.fromhex(total)) - exact) <= Fraction(len(values), 2**52) + abs(exact) * Fraction(1, 2**52)
+
+
+def test_exact_sums_of_large_amounts_are_the_nearest_double(frame):
+    values = [1e15, 0.5, -1e15, 0.25, 2.0**52 + 1, 3.0]
+    df = frame([(v,) for v in values], "x double")
+    assert df.agg(money.exact_sum(F.col("x"))).first()[0] == 2.0**52 + 4.75
+    assert frame([], "x double").agg(money.exact_sum(F.col("x"))).first()[0] is None
+
+
+def test_grouping_sets_equal_separate_sums(frame, rows):
+    book = _random_book(frame, 6).unionByName(frame([(None, "u", 1.0, 1.0), ("a", None, 2.0, 2.0)], PARTS))
+    found = grouping.group_sum_sets(book, {"by_k": ["k"], "both": ["k", "c"], "by_c": ["c"]}, ["x", "y"])
+    assert found.columns == ["grain", "k", "c", "x", "y"]
+    for grain, keys in (("by_k", ["k"]), ("both", ["k", "c"]), ("by_c", ["c"])):
+        own = found.filter(F.col("grain") == grain).select(*keys, "x", "y")
+        assert rows(own) == rows(grouping.group_sum(book, keys, ["x", "y"]))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+# Calendar
+
+
+def test_calendar_equals_the_date_rules(spark):
+    params = CloseParams(calendar_years=(2019, 2024))
+    table = calendar.calendar(spark, params)
+    days = table.withColumn("day", dates.from_int(F.col("ymd")))
+    wrong = days.filter(
+        (F.col("month_end") != dates.align_month_end(F.col("day")))
+        | (F.col("year") != F.year("month_end"))
+        | (F.col("by_window") != dates.bucket_by_window(F.col("ymd"), params))
+        | (F.col("by_year") != dates.bucket_by_year(F.col("ymd"), params))
+    )
+    assert wrong.count() == 0 and table.count() == 6 * 365 + 2 + 1
+    last = table.filter("ymd = 99991231").first()
+    assert (last["year"], last["by_window"]) == (9999, params.future_label)
+
+
+def test_days_outside_the_calendar_are_errors(frame, rows):
+    params = CloseParams(calendar_years=(2021, 2022))
+    df = frame([(20220215, 1), (None, 2), (99991231, 3)], "d int, v int")
+    found = calendar.look_up(df, "d", {"end": calendar.MONTH_END, "label": calendar.BY_WINDOW}, params)
+    assert [(r["v"], str(r["end"]), r["label"]) for r in found.orderBy("v").collect()] == [
+        (1, "2022-01-31", "Q1"), (2, "None", None), (3, "9999-12-31", params.future_label),
+    ]
+    for day in (20230101, 20220230, 0):
+        odd = calendar.look_up(frame([(day,)], "d int"), "d", {"end": calendar.MONTH_END}, params)
+        with pytest.raises(Exception, match="d is no day of the calendar"):
+            odd.collect()

@@ -7,14 +7,17 @@ import pytest
 from closebook.catalog.inputs import StarInputs
 from closebook.catalog.oracles import STATEMENTS
 from closebook.catalog.queries import REGISTRY
+from closebook.plans import quality
+from closebook.sources import tables
 from tools.check_sql import connect, difference
+from tools.method_sizes import COMPILED, method_sizes
 
 FOLDER = "/root/testdata/sf0.001"
 #: Queries that write files or fetch a dictionary while they are built.
 WRITTEN = {
     "headerless_scan", "scan_decimal_comma", "scan_decimal_point", "decimal_scan", "nan_as_null",
     "csv_sink_roundtrip", "result_table_roundtrip", "ledger_project", "trailing_minus_parse",
-    "run_hand_off", "control_totals", "sign_flag_remap", "ffill",
+    "run_hand_off", "control_totals", "sign_flag_remap", "ffill", "data_quality", "checked_balance",
 }
 HEAVY = ("bcm_balance_open", "ir_rollforward", "pl_movement_lrc", "sign_flag_remap", "bcm_reduction")
 
@@ -46,6 +49,30 @@ def test_plans_stay_on_the_jvm_without_cross_joins(spark, name):
         assert word not in plan
 
 
+@pytest.mark.parametrize(
+    "name", [*HEAVY, "sm_closing", "pl_movement_ir", "pl_movement_lic_past", "pl_movement_lic_current", "portfolio_lookup"]
+)
+def test_generated_methods_are_small_enough_for_the_compiler(spark, name):
+    assert 0 < max(method_sizes(REGISTRY[name](spark, FOLDER))) <= COMPILED
+
+
+def test_quality_checks_value_the_line_items_once(spark, monkeypatch):
+    seen = []
+
+    def noted(df, name="hand-off"):
+        seen.append(_physical(df))
+        return tables.hand_off(df)
+
+    monkeypatch.setattr(quality, "hand_off", noted)
+    result = _physical(REGISTRY["data_quality"](spark, FOLDER))
+    assert [plan.count("lineitem.parquet") for plan in seen] == [1] and "lineitem.parquet" not in result
+
+
+def test_two_grains_value_the_line_items_once(spark):
+    plan = _physical(REGISTRY["bcm_balance_open_grains"](spark, FOLDER))
+    assert len([x for x in plan.splitlines() if "FileScan parquet" in x and "lineitem.parquet" in x]) == 1
+
+
 def test_movement_needs_one_shuffle_on_its_keys(spark):
     plan = _physical(REGISTRY["pl_movement_lrc"](spark, FOLDER))
     own = plan.split("InMemoryRelation")[0]
