@@ -9,6 +9,7 @@ taken whole, so short paragraphs and headings of an article stay.
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left, bisect_right
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -50,13 +51,44 @@ ENDS = {
     "th": (frozenset(["td", "th"]), frozenset(["table", "tr"])),
     "option": (frozenset(["option"]), frozenset(["select"])),
 }
-#: Classes, ids and roles that mark what is not the article.
-MARKS = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments complementary"
-    " consent contentinfo cookie cookies disqus footer gdpr masthead menu menubar modal nav navbar navigation"
-    " newsletter notice notices pager pagination popup promo related replies reply respond search share sharing"
-    " sidebar social sponsor sponsored subscribe toolbar".split()
+# Words of classes, ids and roles that mark what is not the article. Readers' comments, notices and
+# adverts never are around it; parts of the layout may give their name to the element around all.
+REMARKS = frozenset("comment comments disqus replies reply respond".split())
+NOTES = REMARKS | frozenset(
+    "ad ads advert adverts advertisement advertising consent cookie cookies gdpr modal newsletter notice notices"
+    " popup promo related sponsor sponsored subscribe".split()
 )
+LAYOUT = frozenset(
+    "banner breadcrumb breadcrumbs complementary contentinfo footer masthead menu menubar nav navbar navigation pager"
+    " pagination search share sharing sidebar social toolbar".split()
+)
+#: Words that make a name of several say how the rest is, not what the element is.
+STATES = frozenset("closed disabled enabled free has is no off on open with without".split())
+#: The part of the text around it from which an element named by a part of a word, or a form, wraps the page.
+WHOLE = 0.97
+
+
+def kind_of(tag: str, attrs: list[tuple[str, str | None]]) -> str:
+    """How an element is set apart by its names: "remark" or "note" by a whole one, "remark part"
+    or "part" by a part of one (a form is a part), "layout", or not at all. Of an article only
+    the names of readers' comments count."""
+    if tag in ("html", "body", "main"):
+        return ""
+    names = {t for n, v in attrs if n in ("class", "id", "role") and v for t in v.lower().split()}
+    parts = [set(re.split("[-_]+", name)) for name in names]
+    parts = {part for of in parts if len(of) > 1 and not of & STATES for part in of}
+    parts = set() if tag in INLINE else parts
+    if names & REMARKS or (tag == "article" and parts & REMARKS):
+        return "remark"
+    if tag == "article":
+        return ""
+    if parts & REMARKS:
+        return "remark part"
+    if names & NOTES:
+        return "note"
+    if tag == "form" or parts & NOTES:
+        return "part"
+    return "layout" if names & LAYOUT or parts & (LAYOUT | {"header"}) else ""
 
 
 @dataclass
@@ -87,9 +119,10 @@ class Open:
 
 @dataclass
 class Apart:
-    """An element set apart by a name or as a form: the one around it, whether it stands
+    """An element set apart by a name or as a form: how, the one around it, whether it stands
     in an article, and what article and main elements it holds."""
 
+    kind: str
     around: int
     inside: bool
     holds: set[str] = field(default_factory=set)
@@ -141,7 +174,7 @@ class _Lines(HTMLParser):
             if tag in VOID:
                 return
         top = self.open[-1]
-        aside, named = self._is_aside(tag, attrs), self._is_named(tag, attrs)
+        aside, named = self._is_aside(tag, attrs), kind_of(tag, attrs)
         region, block, apart = top.region, top.block, top.apart
         if tag in INLINE:
             # What is set apart inside a block is left out of its text.
@@ -149,9 +182,9 @@ class _Lines(HTMLParser):
             return
         content = top.content and not aside
         if named:
-            self.aparts.append(Apart(apart, region in self.articles))
+            self.aparts.append(Apart(named, apart, region in self.articles))
             apart = len(self.aparts) - 1
-        if tag in REGION and apart >= 0:
+        if tag in REGION and apart >= 0 and not named:
             self.aparts[apart].holds.add(tag)
         if tag in REGION or (region not in self.articles and tag not in LEAF):
             self.blocks += 1
@@ -181,14 +214,6 @@ class _Lines(HTMLParser):
                 return True
         return False
 
-    def _is_named(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-        """Whether it is set apart unless it turns out to hold the article."""
-        if tag in ("html", "body") or tag in REGION:
-            return False
-        if tag == "form":
-            return True
-        return any(n in ("class", "id", "role") and v and MARKS & set(v.lower().split()) for n, v in attrs)
-
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
@@ -239,11 +264,13 @@ def main_text(html: str | None) -> str:
     what is outside those, is in marked lines; if no region is, the one with most
     text. A list, table or quote of another region is content by its own text, and
     a container between two marked lines of a region that is content is part of it.
-    Forms and elements with a name of ``MARKS`` are left out unless they hold the
-    article, see ``_free``.
+    Forms and elements named as comments, notices, adverts or parts of the layout are left
+    out unless they are around the article, see ``_shut`` and ``_free``; a header inside an
+    article, with its title and byline, belongs to it.
     """
-    lines, page = lines_of(html or "")
+    every, page = lines_of(html or "")
     articles = page.articles
+    lines = _shut(every, page)
     if not lines:
         return ""
     sizes = np.array([len(line.text()) for line in lines], dtype=float)
@@ -268,41 +295,71 @@ def main_text(html: str | None) -> str:
     return "\n".join(lines[i].text() for i in inside if lines[i].region in kept or lines[i].block in alone)
 
 
+def _shut(every: list[Line], page: _Lines) -> list[Line]:
+    """Lines in no note, in page order; what is in a note bears on no ratio either.
+
+    A note is around the article if it holds a main element; if it is no readers' comment,
+    also if it holds an article and half the text while no article is elsewhere. By a part
+    of a name, or as a form, it may also hold nearly all text around it. If nothing is
+    left, notes count like the layout.
+    """
+    lines, aparts = [line for line in every if line.content], page.aparts
+    held, holds = [0] * len(aparts), [set(apart.holds) for apart in aparts]
+    for line in lines:
+        if line.apart >= 0:
+            held[line.apart] += len(line.text())
+    for at in range(len(aparts) - 1, -1, -1):
+        if (around := aparts[at].around) >= 0:
+            held[around] += held[at]
+            holds[around] |= holds[at]
+    total = sum(len(line.text()) for line in lines)
+    noted = [False] * len(aparts)
+    for at, apart in enumerate(aparts):
+        noted[at] = apart.kind != "layout" or (apart.around >= 0 and noted[apart.around])
+    article_free = any(line.region in page.articles and (line.apart < 0 or not noted[line.apart]) for line in lines)
+    wraps, scope = {-1: True}, {-1: total}
+    for at, apart in enumerate(aparts):
+        whole = apart.kind.endswith("part") and held[at] >= WHOLE * scope[apart.around]
+        only = "article" in holds[at] and not article_free and 2 * held[at] >= total
+        holds_it = "main" in holds[at] or (only and not apart.kind.startswith("remark"))
+        wraps[at] = wraps[apart.around] and (apart.kind == "layout" or whole or holds_it)
+        scope[at] = held[at] if wraps[at] else scope[apart.around]
+    return [line for line in lines if wraps[line.apart]] or lines
+
+
 def _free(lines: list[Line], weights: np.ndarray, page: _Lines) -> list[int]:
-    """Lines that may be content: in no element that is set apart, but for wrappers.
+    """Places of lines that may be content: in no part of the layout, but for wrappers.
 
-    A wrapper holds a main element or most of the page's marked text. Where all
-    articles are set apart, so does an element that holds one and more marked text
-    than is free.
+    A wrapper holds a main element or most of the marked text. Where all articles are set
+    apart, so does an element that holds one and more marked text than is free.
     """
-    content = [i for i, line in enumerate(lines) if line.content]
     aparts = page.aparts
-    held = [0.0] * len(aparts)
-    for i in content:
-        if lines[i].apart >= 0:
-            held[lines[i].apart] += weights[i]
+    held, holds = [0.0] * len(aparts), [set(apart.holds) for apart in aparts]
+    for i, line in enumerate(lines):
+        if line.apart >= 0:
+            held[line.apart] += weights[i]
     for at in range(len(aparts) - 1, -1, -1):
         if (around := aparts[at].around) >= 0:
             held[around] += held[at]
-            aparts[around].holds |= aparts[at].holds
-    total = weights[content].sum()
+            holds[around] |= holds[at]
+    total = weights.sum()
     wraps = [
-        "main" in apart.holds or (total > 0 and of >= WRAPS[apart.inside] * total)
-        for apart, of in zip(aparts, held, strict=True)
+        apart.kind != "layout" or "main" in holds[at] or (total > 0 and held[at] >= WRAPS[apart.inside] * total)
+        for at, apart in enumerate(aparts)
     ]
 
     def free() -> list[int]:
         opened = {-1: True}
         for at, apart in enumerate(aparts):
             opened[at] = wraps[at] and opened[apart.around]
-        return [i for i in content if opened[lines[i].apart]]
+        return [i for i, line in enumerate(lines) if opened[line.apart]]
 
     found = free()
     if any(lines[i].region in page.articles for i in found):
         return found
     rest = weights[found].sum()
-    for at, apart in enumerate(aparts):
-        if apart.holds and held[at] >= rest:
+    for at in range(len(aparts)):
+        if "article" in holds[at] and held[at] >= rest:
             wraps[at] = True
     return free()
 

@@ -355,6 +355,72 @@ def test_what_is_set_apart_beside_the_article_goes():
     assert extract.main_text(f"{small}<div><p>{_LONG}</p></div>") == "small"
 
 
+_TALK = "".join(f"<p>{_LONG}{i}</p>" for i in range(4))
+
+
+@pytest.mark.parametrize(
+    "aside",
+    [
+        f"<div class='comments'>{_TALK}</div>",
+        f"<section id='comments'><ul>{_TALK.replace('p>', 'li>')}</ul></section>",
+        f"<div class='comment-list'>{_TALK}</div>",
+        f"<section id=comments><article class=comment>{_TALK}</article><article>{_TALK}</article></section>",
+        f"<article class=comment>{_TALK}</article><article class='comment-body'>{_TALK}</article>",
+        f"<form class=x action=y>{_TALK}</form>",
+        f"<div class='cookie'>{_TALK}</div><div class='cookie-banner'>{_TALK}</div>",
+        f"<div id=newsletter-signup>{_TALK}</div><div class='related-posts'>{_TALK}</div><div role=modal class=modal>{_TALK}</div>",
+        "<div class='site-header'><p>name of the site</p></div><header><p>claim</p></header>",
+    ],
+)
+@pytest.mark.parametrize(
+    "body", ["<article>{}</article>", "<div>{}</div>", "<main>{}</main>", "<div class='comments-open has-sidebar'>{}</div>"]
+)
+def test_notes_are_not_the_article_however_long(body, aside):
+    article = f"<h1>Title</h1><p>{_LONG}</p><p>short</p>"
+    want = f"Title\n{_LONG.strip()}\nshort"
+    assert extract.main_text(f"<body>{body.format(article)}{aside}</body>") == want
+    assert extract.main_text(f"<body>{body.format(article + aside if 'header' not in aside else article)}</body>") == want
+
+
+def test_a_byline_belongs_to_the_article():
+    html = f"<header>site</header><article><header><h1>T</h1><p class=byline>by A</p></header><p>{_LONG}</p></article>"
+    assert extract.main_text(html) == f"T\nby A\n{_LONG.strip()}"
+
+
+def test_a_page_of_nothing_but_a_note_gives_its_text():
+    assert extract.main_text(f"<div class=notice><p>{_LONG}</p></div>") == _LONG.strip()
+
+
+@pytest.mark.parametrize("seed", range(120))
+def test_planted_articles_come_back_alone(seed):
+    """Articles of 1 to 50 blocks with comments up to 20 times as long, with and without article tags."""
+    rng = random.Random(seed)
+
+    def block(most: int) -> str:
+        return " ".join(rng.choice(["word", "longer", "texts", "of", "it"]) for _ in range(rng.randrange(8, most)))
+
+    blocks = [block(90) for _ in range(rng.choice([1, 2, 3, 8, 20, 50]))]
+    size, talk = sum(map(len, blocks)), []
+    while sum(map(len, talk)) < rng.choice([0, 1, 5, 20]) * size and sum(map(len, talk)) < 20 * size:
+        talk.append(block(120))
+    article = "".join(f"<p>{b}</p>" for b in blocks)
+    remarks = "".join(rng.choice(["<div>{}</div>", "<p>{}</p>", "<li>{}</li>"]).format(t) for t in talk)
+    remarks = rng.choice(
+        [
+            "<div class=comments>{}</div>", "<section id=comments><ol>{}</ol></section>", "<div class='comment-list x'>{}</div>",
+            "<div id=disqus>{}</div>", "<article class=comment>{}</article>",
+        ]
+    ).format(remarks)
+    menu = "".join(f"<li><a href=/{i}>go {i}</a></li>" for i in range(rng.randrange(2, 15)))
+    tag = rng.choice(["article", "main", "div", "section", "div class=content"])
+    inside = f"<{tag}>{article}{remarks}</{tag.split()[0]}>" if rng.random() < 0.4 else f"<{tag}>{article}</{tag.split()[0]}>{remarks}"
+    page = rng.choice(["{}", "<div id=page class='no-sidebar'>{}</div>", "<form id=aspnetForm>{}</form>"]).format(
+        f"<nav><ul>{menu}</ul></nav><div class=ad>buy this</div>{inside}<div class=sidebar><p>see also</p></div>"
+    )
+    html = f"<html><head><title>t</title></head><body>{page}<footer>&copy; them</footer></body></html>"
+    assert extract.main_text(html) == "\n".join(blocks)
+
+
 def test_main_text_does_not_depend_on_blocks(monkeypatch):
     html = "<article>" + "".join(f"<p>par&amp;agraph {i} &#8364;</p>" for i in range(300)) + "</article>"
     whole = extract.main_text(html)
