@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from closebook.llm.common import hand_over
@@ -27,7 +27,8 @@ def rotated(vectors: np.ndarray, seed: int, table: int) -> np.ndarray:
     n, dims = vectors.shape
     wide = 1 << max(0, dims - 1).bit_length()
     turned = np.zeros((n, wide))
-    turned[:, :dims] = vectors
+    # Only directions count; rows of huge components would overflow.
+    turned[:, :dims] = vectors / np.abs(vectors).max(axis=1, initial=1e-300, keepdims=True)
     signs = np.random.default_rng((seed, table)).choice((-1.0, 1.0), (ROUNDS, wide))
     for flips in signs:
         turned *= flips
@@ -55,11 +56,26 @@ def probed(vectors: np.ndarray, seed: int, table: int) -> np.ndarray:
     return np.argsort(-both, axis=1, kind="stable")
 
 
+def distances(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Euclidean distances of rows to a query; where squares overflow, of rows scaled down."""
+    with np.errstate(over="ignore"):
+        apart = vectors - query
+        far = np.sqrt(np.square(apart).sum(axis=1))
+    lost = np.flatnonzero(~np.isfinite(far))
+    if len(lost):
+        # Halves of finite components differ by finite numbers.
+        apart = vectors[lost] / 2 - query / 2
+        most = np.abs(apart).max(axis=1)
+        with np.errstate(over="ignore"):
+            far[lost] = np.sqrt(np.square(apart / most[:, None]).sum(axis=1)) * most * 2
+    return far
+
+
 def nearest(
     ids: np.ndarray, vectors: np.ndarray, query_id: int, query: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """Places and Euclidean distances of the ``k`` nearest ids, each by its nearest row, ties to the smaller id."""
-    far = np.sqrt(np.square(vectors - query).sum(axis=1))
+    far = distances(vectors, query)
     own, take = np.flatnonzero(ids != query_id), k
     while True:
         kept = own
@@ -84,19 +100,21 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.reshape(len(whole), -1).astype(np.float64)
 
 
-def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
+def usable(vectors: DataFrame, key: str, vector: str, dims: int | None = None) -> DataFrame:
     """Columns id and v of the rows that take part.
 
     Rows without id and vectors that are null, zero or hold a null or non-finite
-    component take no part, nor do vectors of another length than the most
-    frequent (of two as frequent, the longer).
+    component take no part, nor do vectors of another length than ``dims``, or than
+    the most frequent one (of two as frequent, the longer).
     """
     v = F.col("v")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
     rows = rows.where(F.col("id").isNotNull() & v.isNotNull() & finite & F.exists(v, lambda x: x != 0))
-    size = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    return rows.where(F.size("v") == (size["n"] if size else 0))
+    if dims is None:
+        size = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
+        dims = size["n"] if size else 0
+    return rows.where(F.size("v") == dims)
 
 
 def _few_copies(rows: DataFrame, k: int) -> DataFrame:
@@ -147,7 +165,9 @@ def brute_force(rows: DataFrame, queries: list[tuple[int, list[float]]], k: int)
 
 def probes_needed(rows: DataFrame, queries: DataFrame, k: int, tables: int, seed: int) -> int:
     """Axes to probe in each table so that sample queries find ``SAMPLE_RECALL`` of their neighbours."""
-    sample = queries.orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(SAMPLE_QUERIES).collect()
+    # Of an id stored with several vectors one is enough to measure with.
+    sample = queries.groupBy("id").agg(F.min("v").alias("v"))
+    sample = sample.orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(SAMPLE_QUERIES).collect()
     sample = [(r["id"], list(r["v"])) for r in sample]
     pairs = brute_force(rows, sample, k).select("query_id", "v").collect()
     if not pairs:
@@ -181,13 +201,17 @@ def _met(base: DataFrame, queries: DataFrame, probes: int, k: int, tables: int,
     probing = queries.select("id", "v", F.posexplode(asked("v")).alias("table", "axes"))
     probing = probing.select("id", "v", "table", F.explode("axes").alias("axis"))
     # Not more rows than tables times axes, whatever the data: safe to broadcast. A bucket
-    # above CHUNK rows is dealt to several tasks, and each query goes to all of them.
-    sizes = stored.groupBy("table", "axis").agg(F.ceil(F.count("*") / CHUNK).alias("parts"))
-    sizes = F.broadcast(hand_over(sizes, "buckets"))
-    part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part")
-    stored = stored.join(sizes, ["table", "axis"]).select("table", "axis", part, "id", "v")
-    parts = F.explode(F.sequence(F.lit(0), F.col("parts").cast("int") - 1)).alias("part")
-    probing = probing.join(sizes, ["table", "axis"]).select("table", "axis", parts, "id", "v")
+    # above CHUNK rows is dealt to several parts, as are the queries that probe it, and every
+    # part of one meets every part of the other: a task holds at most about CHUNK of either.
+    sizes = stored.groupBy("table", "axis").agg(_parts("parts"))
+    sizes = F.broadcast(hand_over(sizes.join(probing.groupBy("table", "axis").agg(_parts("turns")), ["table", "axis"]), "buckets"))
+    keys = ["table", "axis", "part", "turn"]
+    stored = stored.join(sizes, ["table", "axis"]).select(
+        "table", "axis", _dealt("parts").alias("part"), _every("turns").alias("turn"), "id", "v"
+    )
+    probing = probing.join(sizes, ["table", "axis"]).select(
+        "table", "axis", _every("parts").alias("part"), _dealt("turns").alias("turn"), "id", "v"
+    )
 
     def rank(left: pa.Table, right: pa.Table) -> pa.Table:
         out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
@@ -198,10 +222,21 @@ def _met(base: DataFrame, queries: DataFrame, probes: int, k: int, tables: int,
                 out.append((np.full(len(at), query_id), ids[at], far))
         return pa.table([np.concatenate(c) for c in zip(*out, strict=True)], names=["query_id", "vec_id", "score"])
 
-    keys = ["table", "axis", "part"]
     return stored.groupBy(*keys).cogroup(probing.groupBy(*keys)).applyInArrow(rank, _FOUND)
 
 
+def _parts(name: str) -> Column:
+    return F.ceil(F.count("*") / CHUNK).cast("int").alias(name)
+
+
+def _dealt(parts: str) -> Column:
+    return F.pmod(F.xxhash64("id", "v"), F.col(parts)).cast("int")
+
+
+def _every(parts: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+
+
 def _best(found: DataFrame, k: int) -> DataFrame:
     """Ranks 1 to ``k`` of each query; a row met in several tables counts once."""
     once = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
@@ -224,12 +259,15 @@ def search(
     its own id. Scores are Euclidean distances of the original vectors in double
     precision, ties go to the smaller id. A query that meets fewer than ``k`` rows
     probes every axis, which is exact, so it gets ``k`` rows or all there are. See
-    ``usable`` for rows that take no part. Repeated rows of one id are one
-    neighbour. No queries or no vectors, no rows.
+    ``usable`` for rows that take no part; the length of the rows is that of the
+    queries. Repeated rows of one id are one neighbour, at the distance of the nearest
+    of them, on either side: a query id stored with several vectors asks with all. No
+    queries or no vectors, no rows.
     """
-    rows = _few_copies(usable(vectors, key, vector), k)
-    rows = hand_over(rows, "vectors")
-    asking = hand_over(usable(queries, key, vector).dropDuplicates(["id"]), "queries")
+    rows = hand_over(_few_copies(usable(vectors, key, vector), k), "vectors")
+    any_row = rows.first()
+    asking = usable(queries, key, vector, len(any_row["v"]) if any_row else 0).dropDuplicates(["id", "v"])
+    asking = hand_over(asking, "queries")
     probes = probes_needed(rows, asking, k, tables, seed)
     first = hand_over(_best(_met(rows, asking, probes, k, tables, seed), k), "nearest")
     short = first.groupBy("query_id").count().where(F.col("count") >= k).select(F.col("query_id").alias("id"))

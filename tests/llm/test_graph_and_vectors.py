@@ -3,6 +3,7 @@ from __future__ import annotations
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 
 import corpus_pipeline
 from closebook.llm import langid, neighbours, urlfilter
@@ -154,6 +155,73 @@ def test_repeated_rows_use_up_no_place(frame):
             assert found[i] == sorted(least, key=lambda j: (least[j], j))[:10]
 
 
+def _ranked(found) -> dict[int, list[int]]:
+    got: dict[int, list] = {}
+    for r in found.orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    return got
+
+
+def test_rows_and_queries_have_one_length(frame):
+    schema = "vec_id long, embedding array<double>"
+    rows = [(i, [float(i), 1.0]) for i in range(49)] + [(100 + i, [1.0, 2.0, float(i)]) for i in range(30)]
+    asked = frame([(200 + i, [0.5, 1.0, float(i)]) for i in range(9)] + [(300, [2.2, 1.0])], schema)
+    assert _ranked(neighbours.search(frame(rows, schema), asked, k=3)) == {300: [2, 3, 1]}
+
+
+def test_a_query_id_asks_with_all_its_vectors(frame):
+    schema = "vec_id long, embedding array<double>"
+    rng = np.random.default_rng(6)
+    held = {i: rng.standard_normal(4) for i in range(200)}
+    rows = frame([(i, v.tolist()) for i, v in held.items()], schema)
+    asked = [(7, [5.0, 0.0, 0.0, 0.0]), (7, [0.0, -5.0, 0.0, 0.0]), (7, [5.0, 0.0, 0.0, 0.0]), (8, [1.0, 1.0, 1.0, 1.0])]
+    want = {}
+    for asking in (7, 8):
+        least = {
+            i: min(float(np.sqrt(((v - np.array(q)) ** 2).sum())) for a, q in asked if a == asking)
+            for i, v in held.items() if i != asking
+        }
+        want[asking] = sorted(least, key=lambda i: (least[i], i))[:5]
+    for order in (asked, asked[::-1]):
+        got = neighbours.search(rows, frame(order, schema).coalesce(1), k=5)
+        assert _ranked(got) == want
+
+
+def test_no_group_holds_more_than_a_chunk(frame, monkeypatch):
+    monkeypatch.setattr(neighbours, "CHUNK", 64)
+    schema = "vec_id long, embedding array<double>"
+    rng = np.random.default_rng(9)
+    vectors = frame([(i, rng.standard_normal(3).tolist()) for i in range(900)], schema)
+
+    def kept(self, func, kind):
+        def noted(left, right):
+            if left.num_rows > 2 * 64 or right.num_rows > 2 * 64:
+                raise ValueError(f"{left.num_rows} rows, {right.num_rows} queries in a group")
+            return func(left, right)
+
+        return plain_apply(self, noted, kind)
+
+    plain_apply = PandasCogroupedOps.applyInArrow
+    monkeypatch.setattr(PandasCogroupedOps, "applyInArrow", kept)
+    got = _ranked(neighbours.search(vectors, vectors.where("vec_id < 700"), k=4))
+    held = np.array([r["embedding"] for r in vectors.orderBy("vec_id").collect()])
+    hits = 0
+    for i, found in got.items():
+        far = np.sqrt(((held - held[i]) ** 2).sum(axis=1))
+        far[i] = np.inf
+        hits += len(set(found) & set(np.argsort(far, kind="stable")[:4].tolist()))
+    assert len(got) == 700 and hits >= 0.9 * 4 * 700
+
+
+def test_huge_components_keep_their_distances():
+    vectors = np.array([[1e200, 0.0], [3e200, 4e200], [-1.7e308, 1.0], [0.0, 1.0]])
+    far = neighbours.distances(vectors, np.array([1.7e308, 0.0]))
+    assert far[0] == far[1] == 1.7e308 and np.isinf(far[2])
+    far = neighbours.distances(vectors, np.zeros(2))
+    assert np.allclose(far / [1e200, 5e200, 1.7e308, 1.0], 1.0)
+    assert neighbours.axes(vectors, 3, 0).shape == (4,)
+
+
 @pytest.mark.parametrize("repeats", [1, 30])
 def test_nearest_counts_ids(repeats):
     rng = np.random.default_rng(repeats)
