@@ -2,21 +2,24 @@
 
 A text is cut into pieces, each piece is compressed with a raw-content
 dictionary of every language, and the language whose pieces come out smallest
-in sum is the answer. A narrow margin to the second smallest is a rejection.
+in sum is the answer. A narrow margin to the second smallest is a rejection;
+how narrow is measured, by language and length of the text, on texts that are
+not in the dictionaries.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from closebook.llm.common import free_prefix, small_batches, unit, without
+from closebook.llm.common import free_prefix, hand_over, small_batches, unit, without
 
 UNKNOWN = "und"
 #: Characters of a text that are cleaned at once, bytes compressed at once.
@@ -24,14 +27,25 @@ BLOCK, PIECE = 1 << 20, 1024
 #: Compression level and number of slices of a dictionary, in the first pass and in
 #: the pass that breaks a tie: sizes against many slices differ by less than a byte.
 PASSES = ((3, 1), (19, 16))
-#: Bounds of the sample the dictionaries are made of: documents of a language,
-#: pieces of a document, bytes of a dictionary, languages.
-SAMPLE_DOCS, SAMPLE_PIECES, DICTIONARY_BYTES, MOST_LANGUAGES = 400, 2, 1 << 17, 256
+#: Bounds of the sample the dictionaries are made of: texts of a language, pieces of a
+#: text, bytes of a dictionary, bytes of all dictionaries.
+SAMPLE_DOCS, SAMPLE_PIECES, DICTIONARY_BYTES, MODEL_BYTES = 400, 2, 1 << 17, 1 << 26
+#: Margins: the part of the rightly told texts of a language and length that reach a level, the
+#: part of that level that is needed, how many texts it takes to measure it, the cleaned bytes at
+#: which a length ends, and the texts of a language from which a quarter is held back to measure.
+KEPT, NEEDED, MEASURED, LENGTHS, SPARED = 0.995, 0.5, 40, (64, 256, 1024, 4096), 160
 
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 
-#: Languages, most frequent first, with their dictionaries.
-Model = tuple[tuple[str, bytes], ...]
+
+@dataclass(frozen=True)
+class Model:
+    """Languages, most frequent first, with their dictionaries and, by length of the text,
+    the margins below which they are rejected."""
+
+    names: tuple[str, ...] = ()
+    dictionaries: tuple[bytes, ...] = ()
+    margins: tuple[tuple[float, ...], ...] = ()
 
 
 def _pieces(text: str) -> Iterator[bytes]:
@@ -50,26 +64,36 @@ def fit(
     sample_docs: int = SAMPLE_DOCS,
     dictionary_bytes: int = DICTIONARY_BYTES,
 ) -> Model:
-    """Dictionaries from about ``sample_docs`` documents of each language.
-
-    Rows without language or text teach nothing. Documents are chosen by a
-    seeded hash of the text, so the same rows give the same model; equal texts
-    are used once. More than ``MOST_LANGUAGES`` languages are refused.
+    """Dictionaries from about ``sample_docs`` different texts of each language, and margins
+    from as many others.
+
+    Rows without language, and texts without a letter, teach nothing. Texts are chosen by
+    a seeded hash among the different ones, so the same rows give the same model, copies
+    count once and a language of few texts uses them all, for the dictionary alone. With many languages the
+    dictionaries are smaller, so that all take at most ``MODEL_BYTES``. The counts and
+    pieces of the languages pass the driver.
     """
     small_batches(docs.sparkSession)
     w = free_prefix(docs)
-    known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    known = docs.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
     known = known.select(F.col(lang).alias(w + "lang"), F.col(text).alias(w + "text"))
-    counts = known.groupBy(w + "lang").count().orderBy(F.desc("count"), w + "lang")
-    found = counts.limit(MOST_LANGUAGES + 1).collect()
-    if len(found) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    known = known.withColumn(w + "order", F.xxhash64(F.lit(seed), F.col(w + "text")))
+    # Different texts: hashes meet as partial sums, the texts stay where they are.
+    different = known.groupBy(w + "lang", w + "order").agg(F.count("*").alias("n"))
+    counts = different.groupBy(w + "lang").agg(F.count("*").alias("texts"), F.sum("n").alias("n"))
+    found = counts.orderBy(F.desc("n"), w + "lang").collect()
     if not found:
-        return ()
-    rates = [F.lit(x) for row in found for x in (row[0], min(1.0, sample_docs / row[1]))]
-    order = F.xxhash64(F.lit(seed), F.col(w + "text"))
-    chosen = known.withColumn(w + "order", order)
-    chosen = chosen.where(unit(F.col(w + "order")) < F.create_map(*rates)[F.col(w + "lang")])
+        return Model()
+    share = min(1.0, MODEL_BYTES / (len(found) * dictionary_bytes))
+    dictionary_bytes, sample_docs = int(dictionary_bytes * share), max(8, int(sample_docs * share))
+    rates = {r[0]: min(0.75, sample_docs / r["texts"]) if r["texts"] >= SPARED else 1.0 for r in found}
+    rates = [F.lit(x) for pair in rates.items() for x in pair]
+    rate, drawn = F.create_map(*rates)[F.col(w + "lang")], unit(F.col(w + "order"))
+    # The share of the hashes next to it measures margins.
+    chosen = known.withColumn(w + "use", F.when(drawn < rate, 0).when(drawn < rate * 2, 1))
+    chosen = chosen.where(F.col(w + "use").isNotNull()).groupBy(w + "use", w + "lang", w + "order")
+    chosen = chosen.agg(F.min(w + "text").alias(w + "text"))
+    chosen = hand_over(chosen.toDF("use", "lang", "order", "text"), "language-sample")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -84,26 +108,67 @@ def fit(
                 schema=pa.schema([("lang", pa.string()), ("at", pa.int64()), ("i", pa.int32()), ("piece", pa.binary())]),
             )
 
-    sampled = chosen.select(w + "lang", w + "text", w + "order").mapInArrow(
+    sampled = chosen.where("use = 0").select("lang", "text", "order").mapInArrow(
         cut, "lang string, at long, i int, piece binary"
     )
     held: dict[str, bytes] = {row[0]: b"" for row in found}
-    for named, _, _, piece in sorted(set(map(tuple, sampled.collect()))):
+    for named, _, _, piece in sorted(map(tuple, sampled.collect())):
         if len(held[named]) < dictionary_bytes:
             held[named] += bytes(piece) + b" "
-    return tuple((named, held[named][:dictionary_bytes]) for named in held)
+    model = Model(tuple(held), tuple(held[named][:dictionary_bytes] for named in held))
+    return Model(model.names, model.dictionaries, _margins(chosen.where("use = 1"), model))
+
+
+def _margins(texts: DataFrame, model: Model) -> tuple[tuple[float, ...], ...]:
+    """Half the margin that ``KEPT`` of the rightly told texts reach, by language and length.
+
+    Of a length with fewer than ``MEASURED`` texts, that of the next shorter one with
+    enough: margins grow with the text. Without one, only ties are rejected.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(model)
+
+    @F.arrow_udf("struct<lang: string, margin: double, length: int>")
+    def judged(bodies: pa.Array) -> pa.Array:
+        return _told(bodies, shared.value)
+
+    told = texts.select("lang", judged("text").alias("found")).where("lang = found.lang")
+    level = F.percentile("found.margin", F.lit(1 - KEPT)).alias("level")
+    levels = told.groupBy("lang", "found.length").agg(level, F.count("*").alias("n")).collect()
+    enough = {(r["lang"], r["length"]): r["level"] * NEEDED for r in levels if r["n"] >= MEASURED}
+    margins = []
+    for name in model.names:
+        own, last = [], 0.0
+        for length in range(len(LENGTHS) + 1):
+            last = enough.get((name, length), last)
+            own.append(last)
+        margins.append(tuple(own))
+    return tuple(margins)
+
+
+def _told(bodies: pa.Array, model: Model) -> pa.StructArray:
+    found = [(*classify(t.as_py(), model), length_of(t.as_py())) for t in bodies]
+    columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.int32()))]
+    return pa.StructArray.from_arrays(columns, names=["lang", "margin", "length"])
+
+
+def length_of(text: str | None) -> int:
+    """The number of the length a text has, see ``LENGTHS``."""
+    size = sum(map(len, _pieces(text or "")))
+    return sum(size >= end for end in LENGTHS)
 
 
 @lru_cache(maxsize=4)
 def _compressors(model: Model, level: int, slices: int) -> list[list[zstandard.ZstdCompressor]]:
+    """As many compressors for each language, over equal slices of its dictionary.
+
+    A short dictionary has short slices, so little text is no advantage.
+    """
     made = []
-    for _, content in model:
-        step = -(-max(len(content), 1) // slices)
+    for content in model.dictionaries:
+        ends = [len(content) * i // slices for i in range(slices + 1)]
         coders = []
-        for start in range(0, max(len(content), 1), step):
-            words = zstandard.ZstdCompressionDict(
-                content[start : start + step], dict_type=zstandard.DICT_TYPE_RAWCONTENT
-            )
+        for start, end in zip(ends, ends[1:], strict=False):
+            words = zstandard.ZstdCompressionDict(content[start:end], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             words.precompute_compress(level=level)
             coders.append(
                 zstandard.ZstdCompressor(
@@ -136,7 +201,7 @@ def classify(text: str | None, model: Model) -> tuple[str, float]:
     pass decides; if that ties too, the more frequent language. With a single
     language the margin is 1.
     """
-    if not text or not model or not any(map(str.isalpha, text)):
+    if not text or not model.names or not any(map(str.isalpha, text)):
         return UNKNOWN, 0.0
     for level, slices in PASSES:
         sizes = _sizes(text, model, level, slices)
@@ -145,40 +210,41 @@ def classify(text: str | None, model: Model) -> tuple[str, float]:
         margin = 1.0 - sizes[best] / min(rest) if rest else 1.0
         if margin > 0:
             break
-    return model[best][0], margin
+    return model.names[best], margin
 
 
 def identify(
     docs: DataFrame,
     model: Model,
-    min_margin: float = 0.0,
+    min_margin: float | None = None,
     text: str = "text",
 ) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` (the margin, 0 to 1) and ``rejected``.
 
-    Whole texts are compressed. A document is rejected if its language is unknown
-    or its margin is not above ``min_margin``; ``lang_pred`` names the best language
-    all the same. Input columns of the three names are replaced.
+    Whole texts are compressed. A document is rejected if its language is unknown, on a
+    tie, and if its margin is below the one measured for its language and length, or not
+    above ``min_margin`` if that is given; ``lang_pred`` names the best language all the
+    same. Input columns of the three names are replaced.
     """
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.arrow_udf("struct<lang: string, margin: double>")
+    @F.arrow_udf("struct<lang: string, margin: double, length: int>")
     def judged(texts: pa.Array) -> pa.Array:
-        found = [classify(t.as_py(), shared.value) for t in texts]
-        columns = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
-        return pa.StructArray.from_arrays(columns, names=["lang", "margin"])
+        return _told(texts, shared.value)
 
     docs = without(docs, "lang_pred", "score", "rejected")
     w = free_prefix(docs)
     found = docs.withColumn(w + "found", judged(F.col(text)))
+    of, margin = F.col(w + "found"), F.col(w + "found.margin")
+    narrow = margin <= (F.lit(0.0) if min_margin is None else F.lit(min_margin))
+    if min_margin is None and model.names:
+        pairs = zip(model.names, model.margins, strict=True)
+        needed = F.create_map(*[x for name, own in pairs for x in (F.lit(name), F.array(*map(F.lit, own)))])
+        narrow = narrow | F.coalesce(margin < needed[of["lang"]][of["length"]], F.lit(False))
     return found.select(
         *docs.columns,
-        F.col(w + "found.lang").alias("lang_pred"),
-        F.col(w + "found.margin").alias("score"),
-        _rejects(F.col(w + "found"), min_margin).alias("rejected"),
+        of["lang"].alias("lang_pred"),
+        margin.alias("score"),
+        ((of["lang"] == UNKNOWN) | narrow).alias("rejected"),
     )
-
-
-def _rejects(found: Column, min_margin: float) -> Column:
-    return (found["lang"] == UNKNOWN) | (found["margin"] <= min_margin)

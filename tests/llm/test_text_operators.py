@@ -211,8 +211,8 @@ def test_language(frame, spark):
     learned = docs.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
     model = langid.fit(learned)
     assert model == langid.fit(learned)
-    assert {name for name, _ in model} == {"en", "de", "fr", "es"}
-    assert all(len(words) <= langid.DICTIONARY_BYTES for _, words in model)
+    assert set(model.names) == {"en", "de", "fr", "es"}
+    assert all(0 < len(words) <= langid.DICTIONARY_BYTES for words in model.dictionaries)
     tried = [r for r in docs.select("doc_id", "text", "lang").collect() if brute.fold(r["doc_id"]) == 0]
     right = sum(langid.classify(r["text"], model)[0] == r["lang"] for r in tried)
     assert right >= 0.95 * len(tried)
@@ -225,7 +225,15 @@ def test_language(frame, spark):
         letters = any(c.isalpha() for c in r["text"] or "")
         assert (r["lang_pred"] == "und") == (not letters)
         assert 0.0 <= r["score"] <= 1.0
-        assert r["rejected"] if not letters else r["lang_pred"] in {name for name, _ in model}
+        assert r["rejected"] if not letters else r["lang_pred"] in model.names
+    # The query's own rows are those of the classifier with its margins.
+    queried = {r["doc_id"]: r for r in QUERIES["op7_language"](spark, "/root/testdata/sf0.01").collect()}
+    for r in docs.where("doc_id % 9 = 0").collect():
+        name, margin = langid.classify(r["text"], model)
+        own = dict(zip(model.names, model.margins, strict=True)).get(name, (0.0,) * 5)[langid.length_of(r["text"])]
+        got = queried[r["doc_id"]]
+        assert (got["lang_pred"], got["score"], got["held_out"]) == (name, margin, brute.fold(r["doc_id"]) == 0)
+        assert got["rejected"] == (name == "und" or margin <= 0 or margin < own)
 
 
 def test_language_rejects_narrow_margins_and_learns_from_little(frame):
@@ -239,9 +247,94 @@ def test_language_rejects_narrow_margins_and_learns_from_little(frame):
     assert langid.identify(frame([], DOCS), model).count() == 0
 
 
+def _sentences(words: str, n: int, seed: int) -> list[str]:
+    rng = random.Random(seed)
+    return [" ".join(rng.choice(words.split()) for _ in range(rng.randrange(20, 120))) for _ in range(n)]
+
+
+_DE = "der die das und ist nicht ein auf mit sich auch es dem Haus gehen schnell wieder \u00fcber zwischen warum Stra\u00dfe"
+_EN = "the of and is not one on with itself also it house going quickly again over between why street which"
+_ES = "el la los y es no uno sobre con tambi\u00e9n casa ir r\u00e1pido otra vez entre por qu\u00e9 calle cual"
+_NL = "het een en niet met zich ook huis gaan snel weer over tussen waarom straat welke geweest worden zijn onze"
+
+
+def test_a_language_of_copies_is_learned(frame):
+    copies = _sentences(_DE, 1, 3) * 4000
+    rows = [(i, t, "de", "s", 1) for i, t in enumerate(copies)]
+    rows += [(10_000 + i, t, "en", "s", 1) for i, t in enumerate(_sentences(_EN, 300, 4))]
+    model = langid.fit(frame(rows, DOCS))
+    assert model.names == ("de", "en") and all(model.dictionaries)
+    assert len(model.dictionaries[0]) <= len(copies[0].encode()) + langid.SAMPLE_PIECES
+    assert all(langid.classify(t, model)[0] == "de" for t in _sentences(_DE, 30, 5))
+    assert all(langid.classify(t, model)[0] == "en" for t in _sentences(_EN, 30, 6))
+
+
+@pytest.mark.parametrize("size", [0, 1, 20, 200])
+def test_little_text_is_no_advantage(size):
+    much = " ".join(_sentences(_EN, 200, 7)).encode()
+    model = langid.Model(("en", "x"), (much, b"q" * size), ((0.0,) * 5,) * 2)
+    for text in _sentences(_EN, 20, 8):
+        for level, slices in langid.PASSES:
+            right, other = langid._sizes(text, model, level, slices)
+            assert right < other
+    assert langid.classify("the", model)[0] == "en"
+
+
+def test_an_unlearned_language_is_rejected(frame):
+    rows = [(i, t, name, "s", 1) for name, words in (("de", _DE), ("en", _EN), ("es", _ES))
+            for i, t in enumerate(_sentences(words, 400, len(name) + i_of(name)))]
+    model = langid.fit(frame(rows, DOCS))
+    assert all(any(own) for own in model.margins)
+    tried = frame([(i, t, name, "s", 1) for name, words in (("de", _DE), ("en", _EN), ("es", _ES), ("nl", _NL))
+                   for i, t in enumerate(_sentences(words, 100, 90 + i_of(name)))], DOCS)
+    found = langid.identify(tried, model).collect()
+    assert sum(r["rejected"] for r in found if r["lang"] == "nl") > 60
+    clean = [r for r in found if r["lang"] != "nl"]
+    assert sum(not r["rejected"] and r["lang_pred"] == r["lang"] for r in clean) >= 0.97 * len(clean)
+
+
+def i_of(name: str) -> int:
+    return sum(map(ord, name))
+
+
+def test_many_languages_share_the_bytes(frame, monkeypatch):
+    monkeypatch.setattr(langid, "MODEL_BYTES", 30_000)
+    rng = random.Random(12)
+    rows = []
+    for n in range(300):
+        words = " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(20))
+        rows += [(n, t, f"l{n:03}", "s", 1) for t in _sentences(words, 3, n)]
+    model = langid.fit(frame(rows, DOCS))
+    assert len(model.names) == 300 and all(0 < len(d) <= 100 for d in model.dictionaries)
+    tried = [r for r in rows if r[0] % 25 == 0]
+    assert sum(langid.classify(r[1], model)[0] == r[2] for r in tried) > 0.8 * len(tried)
+
+
 # Toxicity
 
 
+def test_the_model_does_not_depend_on_the_order_of_rows(frame):
+    rows = [(i, f"{'vile bad' if i % 3 == 0 else 'kind good'} word{i}", "en", "s", 1) for i in range(60)]
+    rows += [(0, "another text of the key", "de", "s", 1), (1, "more of one", None, "s", 1), (2, None, "en", "s", 1)]
+    labels = [(i, int(i % 3 == 0)) for i in range(60)]
+    seen = set()
+    for order in (1, 2, 3):
+        dealt = rows * order
+        random.Random(order).shuffle(dealt)
+        model = toxicity.fit(frame(dealt, DOCS).repartition(order), frame(labels, "doc_id long, toxic int"))
+        seen.add(tuple(toxicity.scores([r[1] and r[1].encode() for r in rows], model, model.tables())))
+    assert len(seen) == 1
+
+
+def test_copies_of_a_key_do_not_reach_the_driver(frame, monkeypatch):
+    rows = [(i % 4, f"text {i % 2}", "en", "s", 1) for i in range(4000)]
+    sent = []
+    plain = toxicity.sampled
+    monkeypatch.setattr(toxicity, "sampled", lambda *a: sent.append(plain(*a).count()) or plain(*a))
+    toxicity.fit(frame(rows, DOCS), frame([(i, i % 2) for i in range(4)], "doc_id long, toxic int"))
+    assert sent == [4]
+
+
 def test_toxicity_held_out(spark):
     got = QUERIES["op6_toxicity"](spark, "/root/testdata/sf0.1").toPandas()
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").toPandas()
