@@ -12,15 +12,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def hand_over(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written once to the shared folder and read back, and its path, for ``remove``.
 
     Cuts the lineage, survives lost executors, and gives later joins the real
     size of the data.
     """
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def hand_over(df: DataFrame, name: str) -> DataFrame:
+    """``written`` for as long as the session lasts."""
+    return written(df, name)[0]
 
 
 def small_batches(spark: SparkSession) -> None:

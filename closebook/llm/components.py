@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from closebook.llm.common import hand_over
+from closebook.llm.common import remove, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -42,11 +42,13 @@ def components(edges: DataFrame) -> DataFrame:
     repeats and self links allowed. Null ends and self links are no links. No
     links, no rows.
     """
-    edges = hand_over(edges.where("u != v").select("u", "v"), "links")
+    edges, old = written(edges.where("u != v").select("u", "v"), "links")
     before = None
     while True:
-        edges = hand_over(_small_star(_large_star(edges)), "links")
-        now = _state(edges)
+        edges, path = written(_small_star(_large_star(edges)), "links")
+        # Nothing reads the round before any more.
+        remove(edges.sparkSession, old)
+        old, now = path, _state(edges)
         if now == before or now[0] == 0:
             break
         before = now

@@ -56,7 +56,7 @@ URL_RULES = [
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url judged by rules, and else by trust spread over host links."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    return urlfilter.judge(pages, URL_RULES, rounds=None).drop("url", "html")
+    return urlfilter.judge(pages, URL_RULES).drop("url", "html")
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,7 +252,7 @@ FROM doc_words LEFT JOIN hits USING (doc_row) LEFT JOIN items USING (doc_row)
 """
 
 _OP2 = r"""
-WITH cut AS (
+WITH RECURSIVE cut AS (
   SELECT *, coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1),
                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
          coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
@@ -267,7 +267,7 @@ fits AS (
   GROUP BY page_row),
 judged AS (SELECT n.*, f.rule, f.act FROM numbered n LEFT JOIN fits f USING (page_row)),
 targets AS (
-  SELECT host AS src, unnest(regexp_extract_all(html, '(?i)<a\s[^>]*?\bhref\s*=\s*["'']?([^"''\s>]*)', 1)) AS target
+  SELECT host AS src, unnest(regexp_extract_all(html, '(?i)<a\s(?:[^>]*?\s)?href\s*=\s*["'']?([^"''\s>]*)', 1)) AS target
   FROM judged),
 named AS (
   SELECT src, translate(regexp_extract(CASE WHEN starts_with(target, '//') THEN ':' || target ELSE target END,
@@ -287,19 +287,22 @@ seeds AS (
   FROM (SELECT 'trust' AS kind, host, pages, trust AS seeded FROM hosts
         UNION ALL SELECT 'distrust', host, pages, distrust FROM hosts) WHERE seeded > 0),
 base AS (SELECT kind, host, CAST(floor(rank * CAST(1 - 0.85::DOUBLE AS DOUBLE)) AS BIGINT) AS rank FROM seeds),
-r0 AS (SELECT * FROM seeds),
-""" + "".join(
-    f"""r{i + 1} AS (
-  SELECT kind, host, CAST(sum(rank) AS BIGINT) AS rank FROM (
-    SELECT * FROM base UNION ALL
-    SELECT r.kind, e.dest, CAST(floor(r.rank * 0.85::DOUBLE * e.n / e.total) AS BIGINT)
-    FROM r{i} r JOIN edges e ON r.kind = e.kind AND r.host = e.host) GROUP BY kind, host),
-"""
-    for i in range(urlfilter.ROUNDS)
-) + f"""scored AS (
+-- Ranks never fall: the sum of all ranks stands still when a round changes nothing.
+spread AS (
+  SELECT 0 AS round, kind, host, rank, CAST(-1 AS HUGEINT) AS before, (SELECT sum(rank) FROM base) AS total FROM base
+  UNION ALL
+  SELECT round, kind, host, rank, before, sum(rank) OVER () AS total FROM (
+    SELECT round + 1 AS round, kind, host, CAST(sum(rank) AS BIGINT) AS rank, max(total) AS before FROM (
+      SELECT s.round, s.total, e.kind, e.dest AS host, CAST(floor(s.rank * 0.85::DOUBLE * e.n / e.total) AS BIGINT) AS rank
+      FROM spread s JOIN edges e ON s.kind = e.kind AND s.host = e.host WHERE s.total <> s.before
+      UNION ALL
+      SELECT t.round, t.total, b.kind, b.host, b.rank
+      FROM base b, (SELECT DISTINCT round, total, before FROM spread) t WHERE t.total <> t.before)
+    GROUP BY round, kind, host)),
+scored AS (
   SELECT host, CAST(coalesce(sum(rank) FILTER (WHERE kind = 'trust'), 0) AS BIGINT) AS trust,
          CAST(coalesce(sum(rank) FILTER (WHERE kind = 'distrust'), 0) AS BIGINT) AS distrust
-  FROM r{urlfilter.ROUNDS} GROUP BY host)
+  FROM spread WHERE round = (SELECT max(round) FROM spread) GROUP BY host)
 SELECT page_id, host, path, rule,
        coalesce(act, CASE WHEN coalesce(distrust, 0) > coalesce(trust, 0) THEN 'block' ELSE 'allow' END) AS verdict,
        coalesce(trust, 0) AS trust, coalesce(distrust, 0) AS distrust

@@ -17,11 +17,11 @@ from closebook.llm.common import free_prefix, hand_over, remove, without
 from closebook.session import fresh_path
 
 ALLOW, BLOCK = "allow", "block"
-#: Part of a rank that follows links, units of a whole seed, and the rounds of the SQL statement.
-DAMPING, UNITS, ROUNDS = 0.85, 10**12, 8
+#: Part of a rank that follows links, units of a whole seed.
+DAMPING, UNITS = 0.85, 10**12
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_LINK = r"""(?i)<a\s[^>]*?\bhref\s*=\s*["']?([^"'\s>]*)"""
+_LINK = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*["']?([^"'\s>]*)"""
 
 
 @dataclass(frozen=True)
@@ -77,9 +77,7 @@ def host_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     return links.groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def spread(
-    seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int | None = None
-) -> DataFrame:
+def spread(seeds: DataFrame, links: DataFrame, damping: float = DAMPING) -> DataFrame:
     """kind, host and rank: trust along ``links`` (src, dst, n), distrust against them.
 
     ``seeds`` has kind, host and rank in whole units. Each round a host keeps
@@ -88,8 +86,7 @@ def spread(
     depend on their order. Hosts without links pass nothing on. Ends when a
     round changes nothing, which may take two hundred rounds. Ranks start at
     1 - ``damping`` of the seeds and never fall, so that this comes: the whole
-    numbers are bounded by the seeds. ``rounds`` starts at the seeds and ends
-    after so many rounds at the latest, as the statement in SQL does.
+    numbers are bounded by the seeds.
     """
     along = links.select(F.lit("trust").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), "n")
     against = links.select(F.lit("distrust").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), "n")
@@ -100,8 +97,8 @@ def spread(
     base = seeds.select("kind", "host", F.floor(F.col("rank") * F.lit(1 - damping)).alias("rank"))
     # Multiplied in this order, as the statement in SQL does.
     part = F.floor(F.col("rank") * F.lit(damping) * F.col("n") / F.col("total"))
-    ranks, state, done, old = base if rounds is None else seeds, None, 0, None
-    while rounds is None or done < rounds:
+    ranks, state, old = base, None, None
+    while True:
         passed = ranks.join(edges, ["kind", "host"]).select("kind", F.col("to").alias("host"), part.alias("rank"))
         ranks = base.union(passed).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
         path = fresh_path(ranks.sparkSession, "ranks")
@@ -110,7 +107,7 @@ def spread(
         if old is not None:
             # Nothing reads the round before any more.
             remove(ranks.sparkSession, old)
-        old, done = path, done + 1
+        old = path
         checked = F.sum(F.xxhash64("kind", "host", "rank").cast("decimal(38,0)"))
         now = tuple(ranks.agg(F.count("*"), checked).first())
         if now == state:
@@ -124,17 +121,16 @@ def judge(
     rules: list[Rule],
     threshold: float = 0.0,
     damping: float = DAMPING,
-    rounds: int | None = ROUNDS,
     url: str = "url",
     html: str = "html",
 ) -> DataFrame:
     """``pages`` with host, path, rule, verdict, trust and distrust.
 
     The rule's verdict counts; without a rule, a page is blocked if its host's
-    distrust exceeds trust by more than ``threshold`` (1 is a host whose pages are
-    all seeds), else allowed. A host is a trusted (blocked) seed by the part of
-    its pages that a rule allows (blocks). Trust spreads for ``rounds`` rounds, with
-    None until nothing changes, see ``spread``. A null url, or one without ://, has an
+    distrust exceeds trust by more than ``threshold``, else allowed. A host is a
+    trusted (blocked) seed by the part of its pages that a rule allows (blocks); trust
+    spreads until nothing changes, see ``spread``. Of a rank, 1 is a whole seed, and a
+    host of seeds to which nobody links ends at 1 - ``damping``. A null url, or one without ://, has an
     empty host and path, fits no rule and is allowed. Null or empty html has no
     links. Repeated pages count as often as they occur. Input columns of the six
     names are replaced.
@@ -153,9 +149,7 @@ def judge(
     seeds = hosts.select("host", "pages", F.stack(F.lit(2), F.lit("trust"), "trust", F.lit("distrust"), "distrust"))
     seeds = seeds.toDF("host", "pages", "kind", "seeded").where("seeded > 0")
     units = F.floor(F.lit(float(UNITS)) * F.col("seeded") / F.col("pages"))
-    ranks = spread(
-        seeds.select("kind", "host", units.alias("rank")), host_links(pages, url, html), damping, rounds
-    )
+    ranks = spread(seeds.select("kind", "host", units.alias("rank")), host_links(pages, url, html), damping)
     of = {k: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("rank"))), F.lit(0)) for k in ("trust", "distrust")}
     scored = ranks.groupBy(F.col("host").alias(w + "name")).agg(*[of[k].alias(w + k) for k in of])
     joined = found.join(scored, F.col(w + "host") == F.col(w + "name"), "left")
