@@ -85,7 +85,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = hand_over(tokencount.scan(spark, path), "token-blocks")
     remove(spark, path)
     found = tokencount.stitch(blocks)
-    part = F.concat_ws("-", F.regexp_extract("file", r"part-(\d+)", 1), F.regexp_extract("file", r"-c(\d+)", 1))
+    part = F.concat_ws("-", F.regexp_extract("file", r"part-(\d+)", 1), F.regexp_extract("file", r"piece=(\d+)", 1))
     return found.withColumn("file", part)
 
 

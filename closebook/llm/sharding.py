@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from closebook.llm.common import free_prefix, text_key, unit, without
+from closebook.llm.common import free_prefix, hand_over, text_key, unit, without
 
 #: Rows that one bucket of a rank holds on average.
 BUCKET_ROWS = 256
@@ -23,6 +23,27 @@ def _ahead(counts: DataFrame, within: list[str], order: str, n: str, before: str
     return counts.withColumn(before, F.coalesce(F.sum(n).over(window), F.lit(0)))
 
 
+def _spread_copies(
+    rows: DataFrame, own: list[str], s: str, h: str, n: str, most: int
+) -> DataFrame:
+    """``rows`` with new hashes where more than ``most`` of a source share one.
+
+    Such rows are reduced to different ones with a count, a partial sum in every task, and
+    the copies come back by exploding it: a hash of all columns and the copy number tells
+    them apart.
+    """
+    crowded = rows.groupBy(s, h).agg(F.count("*").alias(n)).where(F.col(n) > most).select(s, h)
+    crowded = hand_over(crowded, "crowded")
+    if crowded.isEmpty():
+        return rows
+    alone = rows.join(crowded, [s, h], "left_anti").select(*rows.columns)
+    met = rows.join(crowded, [s, h], "left_semi").groupBy(*rows.columns).agg(F.count("*").alias(n))
+    met = met.withColumn(n, F.explode(F.sequence(F.lit(1).cast("long"), F.col(n))))
+    hashed = [F.col(f"`{c}`") for c, kind in met.select(*own).dtypes if "map<" not in kind]
+    again = F.xxhash64(h, n, *[x for c in hashed for x in (c, F.isnull(c))])
+    return alone.unionByName(met.withColumn(h, again).select(*rows.columns))
+
+
 def interleave(
     docs: DataFrame,
     shards: int = 24,
@@ -39,9 +60,11 @@ def interleave(
     of a shard is its share of the corpus, to within a row or two.
 
     Rows without a source form a source of their own; null keys and null or
-    empty texts are hashed like any value. Rows with equal key and text are
-    interchangeable: each gets its own slot. No rows in, no rows out. Input
-    columns named shard, slot or fraction are replaced.
+    empty texts are hashed like any value. Equal texts are dealt like any others, by the
+    hash of key and text. Rows with equal key and text are interchangeable: each gets
+    its own slot. Where more of them meet than a bucket holds, equal rows are counted and
+    dealt out again by copy number, so no task ranks them all. No rows in, no rows out.
+    Input columns named shard, slot or fraction are replaced.
     """
     docs = without(docs, "shard", "slot", "fraction")
     w = free_prefix(docs)
@@ -54,13 +77,15 @@ def interleave(
             h: F.xxhash64(F.lit(seed), F.col(key).cast("string"), F.col(text)),
             size: F.length(text),
         }
-    ).withColumn(b, F.floor(unit(F.col(h)) * buckets))
+    )
+    rows = _spread_copies(rows, docs.columns, s, h, n, bucket_rows)
+    rows = rows.withColumn(b, F.floor(unit(F.col(h)) * buckets))
 
     # Rank in the source: rows in earlier hash buckets, then the order inside the bucket.
     counts = rows.groupBy(s, b).agg(F.count("*").alias(n))
     counts = _ahead(counts, [s], b, n, k + "0")
     counts = counts.withColumn(n, F.sum(n).over(Window.partitionBy(s)))
-    inside = Window.partitionBy(s, b).orderBy(h, key, size)
+    inside = Window.partitionBy(s, b).orderBy(unit(F.col(h)), h, key, size)
     ranked = rows.withColumn(k, F.row_number().over(inside) - 1).join(counts, [s, b])
     ranked = ranked.withColumn(k, F.col(k) + F.col(k + "0"))
     # Each source starts at a hashed offset: sources of one row do not all meet in the middle.

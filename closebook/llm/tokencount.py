@@ -26,8 +26,9 @@ from closebook.llm.common import small_batches
 TOKEN, END_OF_DOCUMENT, SEPARATOR = ">u2", 0xC480, "Ā"
 #: Fixed value: how the public vocabularies of byte-level BPE cut a text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Tokens searched at once; documents of one file, which Spark reads as one value (below 2 GB).
-BLOCK, FILE_DOCS = 1 << 20, 50_000
+#: Tokens searched at once; bytes of a file, which Spark reads as one value. A file may end one
+#: document later.
+BLOCK, FILE_BYTES = 1 << 20, 1 << 25
 
 
 @lru_cache(maxsize=2)
@@ -40,22 +41,32 @@ def encoding(vocabulary: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def write_tokens(docs: DataFrame, path: str, vocabulary: str, text: str = "text") -> None:
+def write_tokens(
+    docs: DataFrame, path: str, vocabulary: str, text: str = "text", file_bytes: int = FILE_BYTES
+) -> None:
     """Write all texts as flat token files below ``path``, a new folder all executors share.
 
     ``vocabulary`` is a file at the same place on every executor. A null or empty text
-    is a document without tokens.
+    is a document without tokens. A task begins a new file, in a folder ``piece=<n>``, when
+    ``file_bytes`` are full, however many or few documents that takes; a document is
+    never cut.
     """
     small_batches(docs.sparkSession)
 
-    @F.arrow_udf("binary")
-    def coded(texts: pa.Array) -> pa.Array:
-        encode = encoding(vocabulary).encode_to_numpy
-        return pa.array([encode(t.as_py() or "").astype(TOKEN).tobytes() for t in texts], pa.binary())
-
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, full = encoding(vocabulary).encode_to_numpy, 0
+        for batch in batches:
+            flat = [encode(t.as_py() or "").astype(TOKEN).tobytes() for t in batch.column(0)]
+            pieces = []
+            for tokens in flat:
+                pieces.append(full // file_bytes)
+                full += len(tokens) + len(SEPARATOR.encode())
+            yield pa.RecordBatch.from_arrays([pa.array(flat, pa.binary()), pa.array(pieces, pa.int64())], names=["value", "piece"])
+
+    flat = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(coded, "value binary, piece long")
     # The writer copies the bytes of a value as they are.
-    flat = docs.select(coded(F.coalesce(F.col(text), F.lit(""))).cast("string").alias("value"))
-    flat.write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", FILE_DOCS).text(path)
+    flat = flat.select(F.col("value").cast("string").alias("value"), "piece")
+    flat.write.partitionBy("piece").option("lineSep", SEPARATOR).text(path)
 
 
 def scan(

@@ -80,6 +80,12 @@ def test_distrust_reaches_hosts_of_many_links_away(spark, tmp_path):
     assert {r["verdict"] for r in got} == {"block"} and min(r["distrust"] for r in got) > 0
 
 
+def test_only_href_is_a_link(frame):
+    html = "<a data-href='//evil.net/'>x</a><a class=y HREF=//good.org/z>l</a><a\nhref = 'x://Other.com?q'>m</a><abbr href='//no.net'>"
+    links = urlfilter.host_links(frame([("https://own.org/", html)], "url string, html string")).collect()
+    assert sorted(r["dst"] for r in links) == ["good.org", "other.com"]
+
+
 def test_url_edges(frame):
     rows = [(1, None, None, "kept"), (2, "x", "", "kept")]
     pages = frame(rows, "page_id long, url string, html string, Verdict string")

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from closebook.llm import mixing, sharding
+from closebook.llm.common import text_key, unit
 from closebook.llm.queries import op9_shards
 from tests.llm.brute import DOCS
 
@@ -121,3 +122,54 @@ def test_query_of_all_documents(spark):
         assert (r["law"], r["grown_shard"]) == ("rows", None)
     again = sorted(tuple(r) for r in op9_shards(spark, FOLDER).collect())
     assert again == sorted(tuple(r) for r in got)
+
+
+def _ranked(docs, shards: int, seed: int) -> list[tuple]:
+    """Key, shard, slot and fraction of rows whose hashes differ, by sorting all of them."""
+    hashed = docs.select(
+        "doc_id", text_key(F.col("source")).alias("s"), F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), "text").alias("h")
+    )
+    starts = {r["s"]: r["u"] for r in hashed.select("s", unit(F.xxhash64(F.lit(seed + 1), "s")).alias("u")).distinct().collect()}
+    by_source, placed = defaultdict(list), []
+    for r in hashed.collect():
+        by_source[r["s"]].append((r["h"] % 2**64 >> 11, r["h"], r["doc_id"]))
+    for s, rows in by_source.items():
+        for k, (_, _, doc) in enumerate(sorted(rows)):
+            placed.append(((k + starts[s]) / len(rows), s, k, doc))
+    total, found = len(placed), []
+    for place, (fraction, _, _, doc) in enumerate(sorted(placed)):
+        shard = place * shards // total
+        found.append((doc, shard, place - -(-shard * total // shards), fraction))
+    return sorted(found)
+
+
+@pytest.mark.parametrize("bucket_rows", [4, 256])
+def test_ranks_equal_a_plain_sort(spark, bucket_rows):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    got = sharding.interleave(docs, shards=24, seed=7, bucket_rows=bucket_rows)
+    assert sorted(tuple(r) for r in got.select("doc_id", "shard", "slot", "fraction").collect()) == _ranked(docs, 24, 7)
+    if bucket_rows == 256:
+        queried = op9_shards(spark, FOLDER).select("doc_id", "shard", "slot", "fraction").collect()
+        assert sorted(map(tuple, queried)) == _ranked(docs, 24, 7)
+
+
+def test_equal_rows_are_dealt_to_many_buckets(frame):
+    rows = [(None, None, "en", "s", 1)] * 5000 + [(7, "same", "en", "s", i % 3) for i in range(900)]
+    rows += [(i, f"t{i}", "en", "s" if i % 2 else None, 1) for i in range(600)]
+    docs = frame(rows, DOCS).repartition(7)
+    cut = docs.select("*", F.col("source").alias("_s"), F.xxhash64("doc_id", "text").alias("_h"), F.length("text").alias("_size"))
+    dealt = sharding._spread_copies(cut, docs.columns, "_s", "_h", "_n", 64)
+    assert dealt.columns == cut.columns
+    assert dealt.groupBy("_s", "_h").count().agg(F.max("count")).first()[0] == 1
+    got = sharding.interleave(docs, shards=24, bucket_rows=64).collect()
+    assert sorted(map(str, (tuple(r)[:5] for r in got))) == sorted(map(str, rows))
+    slots = defaultdict(list)
+    for r in got:
+        slots[r["shard"]].append((r["slot"], r["fraction"]))
+    assert {len(s) for s in slots.values()} <= {270, 271} and len(slots) == 24
+    for held in slots.values():
+        assert [s for s, _ in sorted(held)] == list(range(len(held)))
+        assert [f for _, f in sorted(held)] == sorted(f for _, f in held)
+    share = Counter((r["source"], r["shard"]) for r in got)
+    for source, n in Counter(r[3] for r in rows).items():
+        assert all(abs(share[source, shard] - n / 24) <= 2 for shard in range(24))

@@ -574,3 +574,17 @@ def test_null_and_empty_texts_are_documents(frame, tmp_path, spark):
     assert sorted(r["n_tokens"] for r in got) == [0, 0, 2, 2]
     tokencount.write_tokens(docs.where("false"), str(tmp_path / "none"), VOCABULARY)
     assert tokencount.count_tokens(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_files_are_bounded_by_bytes(frame, tmp_path, spark):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["word", "many", "x1"]) for _ in range(rng.choice([0, 1, 5, 40, 900]))) for _ in range(120)]
+    path = tmp_path / "flat"
+    tokencount.write_tokens(frame([(t,) for t in texts], "text string").coalesce(2), str(path), VOCABULARY, file_bytes=200)
+    encode = tokencount.encoding(VOCABULARY).encode_ordinary
+    sizes = sorted(len(encode(t)) for t in texts)
+    files = [f.stat().st_size for f in path.rglob("part-*")]
+    assert len(files) > 20 and max(files) < 200 + 2 * sizes[-1] + 2
+    assert sum(files) == 2 * (sum(sizes) + len(texts))
+    got = tokencount.count_tokens(spark, str(path), block=64).collect()
+    assert sorted(r["n_tokens"] for r in got) == sizes and all(r["closed"] for r in got)
