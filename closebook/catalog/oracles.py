@@ -755,6 +755,11 @@ SELECT o_orderkey, o_custkey % 5 AS grp,
   last_value(CASE WHEN o_orderkey % 11 = 0 THEN o_totalprice END IGNORE NULLS) OVER (PARTITION BY o_custkey % 5
     ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS amount
 FROM orders""")
+_state("ffill_ties", f"""
+SELECT o_orderkey,
+  last_value(CASE WHEN o_orderkey % 7 = 0 THEN o_orderpriority END IGNORE NULLS) OVER above AS label,
+  {_money("last_value(CASE WHEN o_orderkey % 11 = 0 THEN o_totalprice END IGNORE NULLS) OVER above")} AS amount
+FROM orders WINDOW above AS (ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 _state("scan_decimal_comma", f"SELECT I17COSTREVENUE, {_sum('I17ESTAMOUNT', 'amount')} FROM bcm WHERE I17COSTREVENUE IS NOT NULL GROUP BY I17COSTREVENUE")
 STATEMENTS["csv_sink_roundtrip"] = STATEMENTS["bcm_balance_open"]
 STATEMENTS["scan_decimal_point"] = STATEMENTS["scan_decimal_comma"]

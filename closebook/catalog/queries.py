@@ -671,9 +671,8 @@ def portfolio_lookup(given):
     listed = dictionary.once(given.bcm(), ["I17REFOBJID"])
     found = ledger.portfolio_lookup(_assigned(listed, "I17REFOBJID"))
     paid = dictionary.once(given.act(), ["I17PORTID"])
-    placed = ledger.portfolio_contracts(_assigned(paid, "I17PORTID", dictionary.ROWS))
-    results = placed.groupBy("contract").agg(F.sum(dictionary.ROWS).alias("n"))
-    return lookups.left_lookup(results, found, ["contract"])
+    placed = ledger.enrich_with_portfolio(_assigned(paid, "I17PORTID", dictionary.ROWS).drop("Local Portfolio"), found)
+    return placed.groupBy("contract", "local_portfolio").agg(F.sum(dictionary.ROWS).alias("n"))
 
 
 @query
@@ -740,6 +739,18 @@ def ffill(given):
     return fill.fill_slices(whole, "o_orderkey", ["amount"], ["grp"]).drop("_slice")
 
 
+@query
+def ffill_ties(given):
+    """Filled along the order date, on which many orders fall: the order key decides between them."""
+    df = given.table("orders").select(
+        "o_orderkey",
+        "o_orderdate",
+        F.when(F.col("o_orderkey") % 7 == 0, F.col("o_orderpriority")).alias("label"),
+        F.when(F.col("o_orderkey") % 11 == 0, F.col("o_totalprice")).alias("amount"),
+    )
+    return fill.forward_fill(df, ["o_orderdate", "o_orderkey"], ["label", "amount"]).drop("o_orderdate")
+
+
 def _comma_files(given: StarInputs) -> str:
     path = fresh_path(given.spark, "cashflows")
     delimited.write_delimited(given.bcm(), path)

@@ -13,29 +13,42 @@ from closebook.session import cut_lineage
 SLICE_ROWS = 100_000
 
 
-def with_slices(df: DataFrame, order: str, slices: int | None = None) -> DataFrame:
+#: One column, or several of which each decides between rows equal in those before it.
+Order = str | Sequence[str]
+
+
+def _listed(order: Order) -> list[str]:
+    return [order] if isinstance(order, str) else list(order)
+
+
+def with_slices(df: DataFrame, order: Order, slices: int | None = None) -> DataFrame:
     """Rows with ``_slice``, their range of the order; written once to the shared folder.
 
-    The number of slices follows from the row count, whatever it is. Spark cuts the
-    ranges itself; they are written because a second run could cut them elsewhere.
+    Rows equal in the whole order are in one range. The number of slices follows from the
+    row count, whatever it is. ``df`` is worked out once: the count and Spark's cutting of
+    the ranges read what is written, and the ranges are written because a second run could
+    cut them elsewhere.
     """
     if slices is None:
+        df = cut_lineage(df, "rows")
         slices = df.count() // SLICE_ROWS + 1
-    ranged = df.repartitionByRange(slices, F.col(order)).withColumn("_slice", F.spark_partition_id())
+    ranged = df.repartitionByRange(slices, *_listed(order)).withColumn("_slice", F.spark_partition_id())
     return cut_lineage(ranged, "slices")
 
 
 def fill_slices(
-    sliced: DataFrame, order: str, columns: Sequence[str], partition_by: Sequence[str] = ()
+    sliced: DataFrame, order: Order, columns: Sequence[str], partition_by: Sequence[str] = ()
 ) -> DataFrame:
     """Forward fill of rows that hold their ``_slice``; several fills may follow each other."""
+    keys = _listed(order)
+    place = F.struct(*keys)
     # A struct equals another one with nulls in the same places, so null
     # partition values need no special join.
     group = F.struct(*[F.col(p) for p in partition_by]) if partition_by else F.struct(F.lit(0))
     grouped = sliced.withColumn("_group", group)
     ends = grouped.groupBy("_group", "_slice").agg(
         *[
-            F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_end_{c}")
+            F.max_by(F.col(c), F.when(F.col(c).isNotNull(), place)).alias(f"_end_{c}")
             for c in columns
         ]
     )
@@ -51,7 +64,7 @@ def fill_slices(
     )
     within = (
         Window.partitionBy("_group", "_slice")
-        .orderBy(order)
+        .orderBy(*keys)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     filled = grouped.withColumns(
@@ -64,14 +77,16 @@ def fill_slices(
 
 def forward_fill(
     df: DataFrame,
-    order: str,
+    order: Order,
     columns: Sequence[str],
     partition_by: Sequence[str] = (),
     slices: int | None = None,
 ) -> DataFrame:
     """Blank cells take the last value above them, within each partition if given.
 
-    ``order`` has unique values. Ranges of it cut the rows into slices, each slice is
+    ``order`` is one column or several; its values are unique as a whole (nulls first),
+    so that slices, windows and carried values agree on the row above. Where a date is not
+    unique, name a key after it. Ranges of the order cut the rows into slices, each slice is
     filled by its own window, and the last value of the slices before it (one row
     per slice) carries over. So neither an unpartitioned fill nor one huge
     partition runs in a single task.

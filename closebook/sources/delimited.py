@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from closebook.functions import money
+from closebook.sources.tables import FILE_ROWS, gathered
 
 
 def _quoted(name: str) -> str:
@@ -91,9 +92,14 @@ def with_source(df: DataFrame, length: int | None = None) -> DataFrame:
 
 
 def write_delimited(
-    df: DataFrame, path: str, sep: str = ";", decimal: str = ",", mode: str = "errorifexists"
+    df: DataFrame,
+    path: str,
+    sep: str = ";",
+    decimal: str = ",",
+    mode: str = "errorifexists",
+    file_rows: int = FILE_ROWS,
 ) -> None:
-    """One file per partition with a header; amounts exact and in plain notation."""
+    """A file with a header for each task and ``file_rows`` rows; amounts exact and in plain notation."""
     columns = []
     for field in df.schema:
         value = F.col(_quoted(field.name))
@@ -103,9 +109,13 @@ def write_delimited(
         if fractional and decimal == ",":
             value = money.to_decimal_comma(value)
         columns.append(value.alias(field.name))
-    df.select(*columns).write.csv(path, sep=sep, header=True, mode=mode)
+    writer = df.select(*columns).write.option("maxRecordsPerFile", file_rows)
+    writer.csv(path, sep=sep, header=True, mode=mode)
 
 
-def write_by_source(df: DataFrame, path: str, sep: str = ";", mode: str = "errorifexists") -> None:
-    """Files with a header in one folder for each value of ``src``."""
-    df.write.partitionBy("src").csv(path, sep=sep, header=True, mode=mode)
+def write_by_source(
+    df: DataFrame, path: str, sep: str = ";", mode: str = "errorifexists", file_rows: int = FILE_ROWS
+) -> None:
+    """Files of at most ``file_rows`` rows with a header, in one folder for each value of ``src``."""
+    writer = gathered(df, ["src"]).write.option("maxRecordsPerFile", file_rows)
+    writer.partitionBy("src").csv(path, sep=sep, header=True, mode=mode)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from fractions import Fraction
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -273,3 +274,37 @@ def test_days_outside_the_calendar_are_errors(frame, rows):
         odd = calendar.look_up(frame([(day,)], "d int"), "d", {"end": calendar.MONTH_END}, params)
         with pytest.raises(Exception, match="d is no day of the calendar"):
             odd.collect()
+
+
+# Forward fill with ties
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_fill_over_a_composite_order_equals_pandas(frame, seed):
+    rng = random.Random(seed)
+    rows = [
+        (rng.choice([None, 1, 2, 3, 4]), i, rng.choice("ab"), rng.choice([None, None, float(i)]), rng.choice([None, f"v{i}"]))
+        for i in range(150)
+    ]
+    rng.shuffle(rows)
+    df = frame(rows, "day int, n int, grp string, x double, label string")
+    table = pd.DataFrame(rows, columns=["day", "n", "grp", "x", "label"]).sort_values(["day", "n"], na_position="first")
+    whole = table.assign(label=table["label"].ffill(), x=table["x"].ffill())
+    within = table.assign(**{c: table.groupby("grp")[c].ffill() for c in ("x", "label")})
+    for want, groups in ((whole, ()), (within, ("grp",))):
+        want = {r.n: (None if pd.isna(r.x) else r.x, None if pd.isna(r.label) else r.label) for r in want.itertuples()}
+        for slices in (None, 1, 7):
+            got = fill.forward_fill(df, ["day", "n"], ["x", "label"], groups, slices)
+            assert got.columns == df.columns
+            assert {r["n"]: (r["x"], r["label"]) for r in got.collect()} == want
+
+
+def test_a_fill_works_its_input_out_once(spark, frame):
+    seen = spark.sparkContext.accumulator(0)
+
+    def noted(n):
+        seen.add(1)
+        return n
+
+    df = spark.range(300).withColumn("x", F.udf(noted, "int")(F.col("id").cast("int")))
+    assert fill.forward_fill(df, "id", ["x"]).count() == 300 and seen.value == 300

@@ -17,7 +17,7 @@ FOLDER = "/root/testdata/sf0.001"
 WRITTEN = {
     "headerless_scan", "scan_decimal_comma", "scan_decimal_point", "decimal_scan", "nan_as_null",
     "csv_sink_roundtrip", "result_table_roundtrip", "ledger_project", "trailing_minus_parse",
-    "run_hand_off", "control_totals", "sign_flag_remap", "ffill", "data_quality", "checked_balance",
+    "run_hand_off", "control_totals", "sign_flag_remap", "ffill", "ffill_ties", "data_quality", "checked_balance",
 }
 HEAVY = ("bcm_balance_open", "ir_rollforward", "pl_movement_lrc", "sign_flag_remap", "bcm_reduction")
 

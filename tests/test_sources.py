@@ -130,3 +130,28 @@ def test_files_by_source(spark, frame, tmp_path):
     df = frame([("202201", 1), ("202202", 2)], "src string, a int")
     delimited.write_by_source(df, str(tmp_path / "by"))
     assert sorted(p.name for p in (tmp_path / "by").glob("src=*")) == ["src=202201", "src=202202"]
+
+
+def test_partitioned_writes_make_few_files(spark, tmp_path):
+    df = spark.range(0, 20_000, 1, 50).selectExpr("if(id % 10 = 0, 'rare', 'hot') AS src", "id AS v")
+    for name, write in (
+        ("result", lambda path, rows: tables.write_result(df, path, ["src"], file_rows=rows)),
+        ("delimited", lambda path, rows: delimited.write_by_source(df, path, file_rows=rows)),
+    ):
+        write(str(tmp_path / name), 5_000_000)
+        files = [f for f in (tmp_path / name).rglob("part-*")]
+        assert 2 <= len(files) <= 4
+        write(str(tmp_path / f"{name}-bounded"), 3000)
+        hot = list((tmp_path / f"{name}-bounded" / "src=hot").glob("part-*"))
+        assert 6 <= len(hot) <= 8
+        assert len(list((tmp_path / f"{name}-bounded" / "src=rare").glob("part-*"))) <= 2
+    back = tables.read_result(spark, str(tmp_path / "result-bounded"))
+    assert back.groupBy("src").count().orderBy("src").collect() == [("hot", 18_000), ("rare", 2000)]
+    assert max(r["count"] for r in back.groupBy(F.input_file_name()).count().collect()) == 3000
+
+
+def test_unpartitioned_writes_are_bounded_too(spark, tmp_path):
+    tables.write_result(spark.range(0, 100, 1, 1), str(tmp_path / "t"), file_rows=30)
+    assert len(list((tmp_path / "t").glob("part-*"))) == 4
+    delimited.write_delimited(spark.range(0, 100, 1, 1), str(tmp_path / "c"), file_rows=30)
+    assert len(list((tmp_path / "c").glob("part-*"))) == 4
