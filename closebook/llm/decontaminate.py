@@ -206,13 +206,14 @@ def find(
     docs = without(docs, "n_words", "spans", "items", "n_hit", "n_items", "contaminated")
     w = free_prefix(docs)
     given = benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("text"))
-    given = given.where(F.octet_length("text") > 0)
+    # Repeated items are one; items of one text are dealt to the blocks by their ids.
+    given = given.where(F.octet_length("text") > 0).distinct()
     blocks = (given.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BENCHMARK_BYTES + 1
     found = docs
     for b in range(blocks):
         if b:
             found = hand_over(found, "passages")
-        part = given.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b)
+        part = given.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b)
         phrases = phrases_of(((r["item"], r["text"]) for r in part.toLocalIterator()), window)
         found = _with_block(found, phrases, text, f"{w}{b}")
     names = [F.col(f"{w}{b}") for b in range(blocks)]

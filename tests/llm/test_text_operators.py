@@ -167,6 +167,17 @@ def test_passages_equal_brute_force(frame, monkeypatch, shard, block, benchmark)
         assert hit == {p for a, b in spans for p in range(a, b + 1)}
 
 
+def test_items_of_one_text_are_dealt_to_blocks(frame, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BENCHMARK_BYTES", 400)
+    sent, plain = [], decontaminate.phrases_of
+    monkeypatch.setattr(decontaminate, "phrases_of", lambda items, window: plain(sent.append(list(items)) or sent[-1], window))
+    body = "one two three four five six seven eight nine ten"
+    items = frame([(i % 40, body) for i in range(400)], "item_id long, text string")
+    got = decontaminate.find(frame([(1, f"x {body} y", "en", "s", 1)], DOCS), items).first()
+    assert (got["n_hit"], got["n_items"], got["items"]) == (10, 40, sorted(map(str, range(40))))
+    assert sum(map(len, sent)) == 40 and max(map(len, sent)) < 30 and len(sent) > 3
+
+
 def test_spans_merge():
     assert decontaminate.merged([(5, 6), (0, 1), (2, 3), (9, 9), (5, 8)]) == [(0, 3), (5, 9)]
 
