@@ -146,17 +146,11 @@ def _margins(texts: DataFrame, model: Model) -> tuple[tuple[float, ...], ...]:
 
 
 def _told(bodies: pa.Array, model: Model) -> pa.StructArray:
-    found = [(*classify(t.as_py(), model), length_of(t.as_py())) for t in bodies]
+    found = [judge(t.as_py(), model) for t in bodies]
     columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.int32()))]
     return pa.StructArray.from_arrays(columns, names=["lang", "margin", "length"])
 
 
-def length_of(text: str | None) -> int:
-    """The number of the length a text has, see ``LENGTHS``."""
-    size = sum(map(len, _pieces(text or "")))
-    return sum(size >= end for end in LENGTHS)
-
-
 @lru_cache(maxsize=4)
 def _compressors(model: Model, level: int, slices: int) -> list[list[zstandard.ZstdCompressor]]:
     """As many compressors for each language, over equal slices of its dictionary.
@@ -184,15 +178,30 @@ def _compressors(model: Model, level: int, slices: int) -> list[list[zstandard.Z
 
 
 def _sizes(text: str, model: Model, level: int, slices: int) -> list[int]:
-    """Compressed bytes of the text by language, summed over pieces and slices."""
+    """Compressed bytes of the text by language, summed over pieces and slices, and last its cleaned bytes."""
     coders = _compressors(model, level, slices)
-    sizes = [0] * len(coders)
+    sizes = [0] * (len(coders) + 1)
     for piece in _pieces(text):
+        sizes[-1] += len(piece)
         for i, own in enumerate(coders):
             sizes[i] += sum(len(coder.compress(piece)) for coder in own)
     return sizes
 
 
+def judge(text: str | None, model: Model) -> tuple[str, float, int]:
+    """Language, margin and the number of the length a text has, see ``classify`` and ``LENGTHS``."""
+    if not text or not model.names or not any(map(str.isalpha, text)):
+        return UNKNOWN, 0.0, 0
+    for level, slices in PASSES:
+        *sizes, size = _sizes(text, model, level, slices)
+        best = min(range(len(sizes)), key=sizes.__getitem__)
+        rest = sizes[:best] + sizes[best + 1 :]
+        margin = 1.0 - sizes[best] / min(rest) if rest else 1.0
+        if margin > 0:
+            break
+    return model.names[best], margin, sum(size >= end for end in LENGTHS)
+
+
 def classify(text: str | None, model: Model) -> tuple[str, float]:
     """Language and margin, the part by which the smallest size is below the second.
 
@@ -201,16 +210,7 @@ def classify(text: str | None, model: Model) -> tuple[str, float]:
     pass decides; if that ties too, the more frequent language. With a single
     language the margin is 1.
     """
-    if not text or not model.names or not any(map(str.isalpha, text)):
-        return UNKNOWN, 0.0
-    for level, slices in PASSES:
-        sizes = _sizes(text, model, level, slices)
-        best = min(range(len(sizes)), key=sizes.__getitem__)
-        rest = sizes[:best] + sizes[best + 1 :]
-        margin = 1.0 - sizes[best] / min(rest) if rest else 1.0
-        if margin > 0:
-            break
-    return model.names[best], margin
+    return judge(text, model)[:2]
 
 
 def identify(

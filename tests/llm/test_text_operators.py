@@ -240,8 +240,8 @@ def test_language(frame, spark):
     # The query's own rows are those of the classifier with its margins.
     queried = {r["doc_id"]: r for r in QUERIES["op7_language"](spark, "/root/testdata/sf0.01").collect()}
     for r in docs.where("doc_id % 9 = 0").collect():
-        name, margin = langid.classify(r["text"], model)
-        own = dict(zip(model.names, model.margins, strict=True)).get(name, (0.0,) * 5)[langid.length_of(r["text"])]
+        name, margin, length = langid.judge(r["text"], model)
+        own = dict(zip(model.names, model.margins, strict=True)).get(name, (0.0,) * 5)[length]
         got = queried[r["doc_id"]]
         assert (got["lang_pred"], got["score"], got["held_out"]) == (name, margin, brute.fold(r["doc_id"]) == 0)
         assert got["rejected"] == (name == "und" or margin <= 0 or margin < own)
@@ -286,7 +286,7 @@ def test_little_text_is_no_advantage(size):
     model = langid.Model(("en", "x"), (much, b"q" * size), ((0.0,) * 5,) * 2)
     for text in _sentences(_EN, 20, 8):
         for level, slices in langid.PASSES:
-            right, other = langid._sizes(text, model, level, slices)
+            right, other, _ = langid._sizes(text, model, level, slices)
             assert right < other
     assert langid.classify("the", model)[0] == "en"
 
