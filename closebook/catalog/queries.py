@@ -496,11 +496,11 @@ def _ir(given: StarInputs) -> DataFrame:
     )
 
 
-def _both_runs(given: StarInputs) -> DataFrame:
-    balance = valuation.balance_rates(given.rates_close())
-    return runs.tagged_rows(
-        given.bcm_runs(), given.rates_open(), balance, given.curves(), PARAMS
-    )
+def _both_runs(given: StarInputs, periods: list[str] | None = None) -> DataFrame:
+    flows, balance = given.bcm_runs(), valuation.balance_rates(given.rates_close())
+    if periods is not None:
+        flows = movements.by_date(flows, periods, PARAMS)
+    return runs.tagged_rows(flows, given.rates_open(), balance, given.curves(), PARAMS)
 
 
 def _sm(given: StarInputs, make) -> DataFrame:
@@ -546,7 +546,8 @@ def pl_movement_lrc(given):
 @query
 def pl_movement_lic_past(given):
     return movements.movement_lic_past_of(
-        _both_runs(given), given.accounts_by_code("LIC"), given.rates_close(), PARAMS
+        _both_runs(given, [PARAMS.past_label]), given.accounts_by_code("LIC"),
+        given.rates_close(), PARAMS, chosen=True,
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -50,9 +51,24 @@ def _as_int(day: dt.date) -> int:
     return day.year * 10000 + day.month * 100 + day.day
 
 
-def _quarters(ymd: Column, params: CloseParams, before: Column, after: Column) -> Column:
+def _starts(params: CloseParams) -> list[int]:
+    """First days of the four quarters and of the time after."""
     opening_year_end = dt.date(params.plan_year - 1, 12, 31)
-    starts = [_as_int(shift_month_end(opening_year_end, m)) for m in (1, 4, 7, 10, 13)]
+    return [_as_int(shift_month_end(opening_year_end, m)) for m in (1, 4, 7, 10, 13)]
+
+
+def in_past_or_first_quarter(ymd: Column, periods: Iterable[str], params: CloseParams) -> Column:
+    """Whether a day lies in the past, in the first quarter or in either, as one integer range."""
+    first, second, *_ = _starts(params)
+    wanted = set(periods)
+    if not wanted or wanted - {params.past_label, "Q1"}:
+        raise ValueError(f"no single range: {sorted(wanted)}")
+    until = ymd < (second if "Q1" in wanted else first)
+    return until if params.past_label in wanted else (ymd >= first) & until
+
+
+def _quarters(ymd: Column, params: CloseParams, before: Column, after: Column) -> Column:
+    starts = _starts(params)
     label = F.when(ymd < starts[0], before)
     for number, start in enumerate(starts[1:], 1):
         label = label.when(ymd < start, F.lit(f"Q{number}"))

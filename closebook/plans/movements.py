@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from closebook.functions import dates
 from closebook.functions.money import divide, member, zero_if_null
 from closebook.operators.classify import class_by_code, derive_key
 from closebook.operators.grouping import combine_runs, group_sum
@@ -32,6 +33,20 @@ def classify_run(run: DataFrame, params: CloseParams, closing: bool | Column) ->
     return class_by_code(short, params, first_quarter_is_claim=closing)
 
 
+def by_date(flows: DataFrame, periods: list[str], params: CloseParams) -> DataFrame:
+    """Cash flows whose selecting date lies in the given periods (the past, the first quarter).
+
+    The rows that ``_selected`` would leave, told by integer ranges before anything is looked
+    up or valued: they reach the file scan. Movements of such rows are ``chosen``.
+    """
+    code = F.col("I17COSTREVENUE")
+    settled = dates.in_past_or_first_quarter(F.col("I17SETTLEMDATE"), periods, params)
+    incurred = dates.in_past_or_first_quarter(F.col("I17INCURREDDATE"), periods, params)
+    return flows.filter(
+        (code.isin(*params.settlement_codes) & settled) | (code.isin(*params.incurred_codes) & incurred)
+    )
+
+
 def _selected(
     run: DataFrame, periods: list[str], params: CloseParams, inside: bool = True
 ) -> DataFrame:
@@ -39,8 +54,7 @@ def _selected(
 
     A row without a selecting period counts as outside. The period stands for
     the class as well: claims are exactly the past period and, in a closing
-    run, the first quarter. Spelled per code list, so that the optimizer turns
-    each label test into a date range before pushing it to the scan.
+    run, the first quarter.
     """
     code = F.col("I17COSTREVENUE")
     hit = (member(code, params.settlement_codes) & member(F.col("settlement"), periods)) | (
@@ -57,10 +71,16 @@ def _to_base(df: DataFrame, rates: DataFrame, columns: dict[str, str], params) -
     )
 
 
-def movement_ir(ir: DataFrame, accounts: DataFrame, rates: DataFrame, params: CloseParams) -> DataFrame:
-    """Release of the opening run: past and first-quarter rows, negated."""
+def movement_ir(
+    ir: DataFrame, accounts: DataFrame, rates: DataFrame, params: CloseParams, chosen: bool = False
+) -> DataFrame:
+    """Release of the opening run: past and first-quarter rows, negated.
+
+    ``chosen`` rows are those periods' alone, see ``by_date``.
+    """
     df = classify_run(ir, params, closing=False)
-    df = _selected(df, [params.past_label, FIRST_QUARTER], params)
+    if not chosen:
+        df = _selected(df, [params.past_label, FIRST_QUARTER], params)
     df = left_lookup(df, accounts, ["I17COSTREVENUE"], ["account"])
     keys = ["account", *MOVEMENT_KEYS]
     originals = ["nominal_original_CCY", _original(TYC), _original(YEAR_END)]
@@ -114,12 +134,13 @@ def _run_change(
 
 
 def _tagged_change(
-    rows: DataFrame, periods: list[str], inside: bool, measures: dict, params: CloseParams
+    rows: DataFrame, periods: list[str] | None, inside: bool, measures: dict, params: CloseParams
 ) -> DataFrame:
     """The same from one table of both runs' rows: one pass, opening rows with the other sign."""
     closing = F.col("run") == CLOSING
     own = classify_run(rows, params, closing)
-    signed = _selected(own, periods, params, inside).select(
+    own = own if periods is None else _selected(own, periods, params, inside)
+    signed = own.select(
         *MOVEMENT_KEYS,
         *[F.when(closing, F.col(c)).otherwise(-F.col(o)).alias(m) for m, (c, o) in measures.items()],
     )
@@ -151,18 +172,19 @@ def movement_lic_past(
 
 
 def movement_lic_past_of(
-    rows: DataFrame, accounts: DataFrame, rates: DataFrame, params: CloseParams
+    rows: DataFrame, accounts: DataFrame, rates: DataFrame, params: CloseParams, chosen: bool = False
 ) -> DataFrame:
-    """``movement_lic_past`` of the tagged rows of both runs."""
-    change = _tagged_change(rows, [params.past_label], True, _LIC_PAST, params)
+    """``movement_lic_past`` of the tagged rows of both runs; of the past alone if ``chosen``."""
+    change = _tagged_change(rows, None if chosen else [params.past_label], True, _LIC_PAST, params)
     return _posted(change, accounts, rates, _LIC_PAST_BASE, params)
 
 
 def movement_lic_current(
-    sm: DataFrame, accounts: DataFrame, rates: DataFrame, params: CloseParams
+    sm: DataFrame, accounts: DataFrame, rates: DataFrame, params: CloseParams, chosen: bool = False
 ) -> DataFrame:
-    """Claims of the first quarter: closing rows as they are."""
-    closing = _selected(classify_run(sm, params, closing=True), [FIRST_QUARTER], params)
+    """Claims of the first quarter: closing rows as they are, of that quarter alone if ``chosen``."""
+    closing = classify_run(sm, params, closing=True)
+    closing = closing if chosen else _selected(closing, [FIRST_QUARTER], params)
     originals = ["nominal_original_CCY", _original(TYC_SHIFT), _original(YEAR_END_SHIFT)]
     summed = group_sum(closing, MOVEMENT_KEYS, originals).withColumnRenamed(
         "nominal_original_CCY", "amount_original_CCY"

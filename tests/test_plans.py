@@ -379,3 +379,42 @@ def test_ledger_zero_sum_and_code_totals(frame, book, rows):
     flows = book(flow(), flow(amount=1.0), flow(ref=SECOND))
     assert rows(ledger.code_totals(flows)) == [("Y204", 201.0)]
     assert ledger.contract_totals(ledger.single_contract(flows, FIRST)).first()[1] == 101.0
+
+
+def test_rows_chosen_by_date_are_those_of_the_labels(spark, book, rates, closing_rates, curves, frame, rows, tmp_path):
+    days = [20191231, 20211230, 20211231, 20220130, 20220131, 20220315, 20220429, 20220430, 20221231, 20230601]
+    flows = [
+        flow(code=code, exposure=exposure, incurred=a, settled=b, amount=float(i + 1))
+        for i, (a, b) in enumerate((a, b) for a in days for b in days)
+        for code in ("Y204", "Y100", "Y999", None) for exposure in (10, 60)
+    ]
+    book(*flows).write.parquet(str(tmp_path / "flows"))
+    stored = spark.read.parquet(str(tmp_path / "flows"))
+    accounts = frame([("Y204", "A1"), ("Y100", "A2")], "I17COSTREVENUE string, account string")
+    single = valuation.balance_rates(closing_rates)
+    past, early = PARAMS.past_label, movements.FIRST_QUARTER
+
+    def opening(df):
+        return runs.opening_rows_of(df.filter("I17EXPCHANGE = 10"), rates, curves, PARAMS)
+
+    def closing(df):
+        return runs.closing_rows(df, single, curves, PARAMS)
+
+    def both(df):
+        tagged = df.withColumn("run", F.when(F.col("I17EXPCHANGE") == 10, runs.OPENING).otherwise(runs.CLOSING))
+        return runs.tagged_rows(tagged, rates, single, curves, PARAMS)
+
+    for make, movement, periods in (
+        (opening, movements.movement_ir, [past, early]),
+        (both, movements.movement_lic_past_of, [past]),
+        (closing, movements.movement_lic_current, [early]),
+    ):
+        labelled = movement(make(stored), accounts, closing_rates, PARAMS)
+        cut = movements.by_date(stored, periods, PARAMS)
+        chosen = movement(make(cut), accounts, closing_rates, PARAMS, chosen=True)
+        assert rows(chosen) == rows(labelled) and chosen.count() > 0
+        plan = chosen._jdf.queryExecution().executedPlan().toString()
+        pushed = plan[plan.index("PushedFilters:"):].split("ReadSchema")[0]
+        assert "LessThan(I17SETTLEMDATE" in pushed and "LessThan(I17INCURREDDATE" in pushed
+    with pytest.raises(ValueError, match="single range"):
+        movements.by_date(stored, ["Q3"], PARAMS)
