@@ -413,7 +413,9 @@ def test_rows_chosen_by_date_are_those_of_the_labels(spark, book, rates, closing
         cut = movements.by_date(stored, periods, PARAMS)
         chosen = movement(make(cut), accounts, closing_rates, PARAMS, chosen=True)
         assert rows(chosen) == rows(labelled) and chosen.count() > 0
+        spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
         plan = chosen._jdf.queryExecution().executedPlan().toString()
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
         pushed = plan[plan.index("PushedFilters:"):].split("ReadSchema")[0]
         assert "LessThan(I17SETTLEMDATE" in pushed and "LessThan(I17INCURREDDATE" in pushed
     with pytest.raises(ValueError, match="single range"):
