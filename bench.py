@@ -36,6 +36,7 @@ HEADLINE = (
     "pl_movement_lic_past",
     "pl_movement_lic_current",
     "ledger_reconcile",
+    "portfolio_lookup",
 )
 
 
