@@ -20,8 +20,9 @@ from closebook.llm.common import hand_over, unit
 from closebook.llm.wholevectors import LEAST, exact, finite, floored, largest, ragged, saturated
 
 #: Rows of a shard and queries of a block on average; rows on average of the sample that
-#: gives each query its first score to beat; dimensions probed between two prunings.
-SHARD_ROWS, BLOCK_QUERIES, SAMPLE_ROWS, PROBES = 8192, 2048, 4096, 4
+#: gives each query its first score to beat; dimensions probed between two prunings; the
+#: part of a shard's rows (one by this number) from which a posting is read as a whole column.
+SHARD_ROWS, BLOCK_QUERIES, SAMPLE_ROWS, PROBES, DENSE = 8192, 2048, 4096, 4, 8
 
 _FOUND = "query_id long, vec_id long, score long"
 
@@ -31,12 +32,14 @@ class Shard:
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray) -> None:
         self.ids, self.columns = ids, np.ascontiguousarray(rows.T)
-        self.postings: list[tuple[list, list]] = []
-        for column in self.columns:
-            up, down = np.flatnonzero(column > 0), np.flatnonzero(column < 0)
-            self.postings.append(([up, down], [column[up], -column[down]]))
-        sizes = [[part.max() if len(part) else 0 for part in sizes] for _, sizes in self.postings]
-        self.most = np.array(sizes, dtype=rows.dtype).reshape(-1, 2)
+        # A posting of many rows is its column; of the others the rows and sizes are kept.
+        self.postings: list[list[tuple[np.ndarray, np.ndarray] | None]] = []
+        self.most = np.zeros((len(self.columns), 2), dtype=rows.dtype)
+        for term, column in enumerate(self.columns):
+            both = [np.flatnonzero(column > 0), np.flatnonzero(column < 0)]
+            sized = [(where, np.abs(column[where])) for where in both]
+            self.most[term] = [sizes.max() if len(sizes) else 0 for _, sizes in sized]
+            self.postings.append([p if DENSE * len(p[0]) < len(ids) else None for p in sized])
 
     def search(self, query_id: int, query: np.ndarray, k: int, beat: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the ``k`` best ids but the query's own, none below ``beat``.
@@ -58,12 +61,17 @@ class Shard:
             split = int(np.argmax(rest < beat))
             essential, left = order[:split], order[split:]
             for term in essential:
-                where, sizes = self.postings[term]
-                scores[where[sign[term]]] += size[term] * sizes[sign[term]]
+                posting = self.postings[term][sign[term]]
+                if posting is None:
+                    # The column holds the other sign's posting too: nothing is left to take away.
+                    scores += self.columns[term] * query[term]
+                else:
+                    scores[posting[0]] += size[term] * posting[1]
             found = np.flatnonzero(scores + rest[split] >= beat)
         scores, rest = scores[found], rest[len(essential) :]
-        # Essential terms were only traversed where they add; what they take away comes first.
-        losing = essential[np.argsort(-size[essential], kind="stable")]
+        # Of the others, what was traversed only adds; what they take away comes first.
+        losing = np.array([t for t in essential if self.postings[t][sign[t]] is not None], dtype=np.int64)
+        losing = losing[np.argsort(-size[losing], kind="stable")]
         for at in range(0, len(losing), PROBES):
             terms = losing[at : at + PROBES]
             met = self.columns[terms[:, None], found[None]] * query[terms][:, None]
@@ -113,7 +121,11 @@ def _wide(rows: np.ndarray, dims: int) -> np.ndarray:
 def search_shard(ids: np.ndarray, rows: np.ndarray, asked: np.ndarray, queries: np.ndarray, beat: list, k: int):
     """query_id, vec_id and score of the best rows of a shard for each query, by MaxScore."""
     dims = max(rows.shape[1], queries.shape[1])
-    rows, queries = exact(dims, largest(rows, queries), _wide(rows, dims), _wide(queries, dims))
+    most = largest(rows, queries)
+    rows, queries = exact(dims, most, _wide(rows, dims), _wide(queries, dims))
+    if dims * most * most < 2**53:
+        # Doubles add up exactly too, and faster.
+        rows, queries = rows.astype(np.float64), queries.astype(np.float64)
     shard = Shard(ids, rows)
     out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
     for query_id, query, least in zip(asked.tolist(), queries, beat, strict=True):
