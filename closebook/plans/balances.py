@@ -63,9 +63,10 @@ def map_to_account(
 ) -> DataFrame:
     """Summed rows -> local portfolio (by contract) -> account (by code).
 
-    A contract has one portfolio and a code one account: a second one stops the job.
+    A code has one account: a second one stops the job. Pass ``checked`` portfolios to refuse a
+    second portfolio of a contract as well; that sums the whole list of contracts.
     """
-    placed = left_lookup(df, checked(portfolios, ["contract"]), ["contract"], ["local_portfolio"])
+    placed = left_lookup(df, portfolios, ["contract"], ["local_portfolio"])
     return left_lookup(placed, checked(accounts, account_keys), account_keys, ["account"])
 
 
