@@ -346,6 +346,53 @@ def test_copies_of_a_key_do_not_reach_the_driver(frame, monkeypatch):
     assert sent == [4]
 
 
+def test_long_documents_teach_toxicity(frame):
+    texts = [f"{'vile ' if i % 3 == 0 else 'kind '}" + f"word{'abc'[i % 2]} " * (5000 if i % 3 == 0 else 20) for i in range(90)]
+    docs = frame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], DOCS)
+    model = toxicity.fit(docs, frame([(i, int(i % 3 == 0)) for i in range(90)], "doc_id long, toxic int"))
+    tried = [b"kind words", b"vile words"]
+    assert [x >= 0.5 for x in toxicity.scores(tried, model, model.tables())] == [False, True]
+
+
+@pytest.mark.parametrize("shard", [1000, 1 << 20])
+def test_all_labelled_documents_teach_toxicity(frame, monkeypatch, shard):
+    # Every word is in 12 documents: two thirds of a label left out would leave most of them unlearned.
+    monkeypatch.setattr(toxicity, "SHARD_DOCS", shard, raising=False)
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(1000)]
+    rows = [(i, f"so it goes {words[i % 1000]}", "en", "s", 1) for i in range(12_000)]
+    labels = [(i, i % 2) for i in range(12_000)]
+    model = toxicity.fit(frame(rows, DOCS), frame(labels, "doc_id long, toxic int"))
+    found = toxicity.scores((w.encode() for w in words), model, model.tables())
+    assert sum((x >= 0.5) == i % 2 for i, x in enumerate(found)) > 950
+
+
+def test_documents_of_labelled_keys_are_never_left_out(frame, monkeypatch):
+    docs = frame([(i if i % 50 else None, f"text {i}", "en", "s", 1) for i in range(3000)], DOCS)
+    known = frame([(i, 1) for i in range(0, 3000, 7)], "sample_key long, label int")
+    keys = {r[0] for r in known.collect() if r[0] % 50}
+    near = {r[0] for r in toxicity.labelled(docs, known, known.count(), "doc_id").select("doc_id").collect()}
+    assert keys <= near and len(near) < 1200
+    short = known.select(F.col("sample_key").cast("int"), "label")
+    assert toxicity.labelled(docs, short, 1, "doc_id") is docs
+    monkeypatch.setattr(toxicity, "MOST_KEYS", 10)
+    assert toxicity.labelled(docs, known, known.count(), "doc_id") is docs
+
+
+def test_thresholds_of_toxicity_are_the_middle_of_the_best(frame):
+    # A network whose output is the number of the word: one embedding, one filter.
+    words = [toxicity._packed(toxicity.hashed_words(w)) for w in (b"one", b"two", b"three", b"four")]
+    like = toxicity._start(np.zeros((2, toxicity.ROWS)), np.zeros(2), 1)
+    model = toxicity._nothing(like)
+    for i, body in enumerate(words):
+        model.embed[toxicity._unpacked(body)[0, 0], 0] = i + 1
+    model.filters[1, 0][0, 0] = model.out[0] = 1
+    model = toxicity.replace(model, language_words=np.zeros((toxicity.ROWS, 1), np.float32))
+    for labels, want in (([0, 0, 1, 1], 2.5), ([0, 1, 0, 1], 2.5), ([0, 0, 0, 0], 5.0), ([1, 1, 1, 1], 0.0)):
+        docs = frame([(bytearray(w), m) for w, m in zip(words, labels, strict=True)], "ids binary, label int")
+        assert toxicity._offsets(docs, model).tolist() == [want]
+
+
 def test_toxicity_held_out(spark):
     got = QUERIES["op6_toxicity"](spark, "/root/testdata/sf0.1").toPandas()
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").toPandas()
