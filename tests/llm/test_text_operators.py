@@ -304,6 +304,24 @@ def test_an_unlearned_language_is_rejected(frame):
     assert sum(not r["rejected"] and r["lang_pred"] == r["lang"] for r in clean) >= 0.97 * len(clean)
 
 
+def test_margins_come_from_all_texts_beside_the_dictionaries(frame):
+    texts = [(t, n) for n, words in (("de", _DE), ("en", _EN)) for t in _sentences(words, 400, i_of(n))]
+    docs = frame([(i, t, n, "s", 1) for i, (t, n) in enumerate(texts + texts[::7])], DOCS)
+    model = langid.fit(docs, sample_docs=20)
+    drawn = docs.where("doc_id < 800").withColumn("u", langid.unit(F.xxhash64(F.lit(5), "text"))).collect()
+    for name, margins in zip(model.names, model.margins, strict=True):
+        by_length = {}
+        for r in drawn:
+            told, margin, length = langid.judge(r["text"], model)
+            if r["lang"] == told == name and r["u"] >= 20 / 400:
+                by_length.setdefault(length, []).append(margin)
+        assert sum(map(len, by_length.values())) > 300
+        for length, found in by_length.items():
+            if len(found) >= langid.MEASURED:
+                level = np.percentile(found, 100 * (1 - langid.KEPT)) * langid.NEEDED
+                assert margins[length] > 0 and level - 2 / langid.GRID <= margins[length] <= level
+
+
 def i_of(name: str) -> int:
     return sum(map(ord, name))
 
